@@ -17,16 +17,18 @@ def _c(col: Column | str) -> Column:
 
 
 def dk_round(col: Column | str, places: int) -> Column:
-    """Round a double half away from zero on its binary value.
-
-    Spark's ``round`` rounds the decimal rendering of the double (1.005 -> 1.01)
-    while the analytical SQL the marts were specified in scales the binary
-    value first (1.005 -> 1.0). This reproduces the latter with codegen'd
-    built-ins. Exact decimal sums use ``round_money`` instead.
+    """Round a double as the analytical SQL does: scale, round half away, unscale.
+
+    ``round(x, p)`` in Spark rounds the decimal rendering of ``x`` (1.005 ->
+    1.01); the marts were specified with ``round(x * 10^p) / 10^p`` on the
+    binary value (1.005 * 100 = 100.49999999999999 -> 1.0). Rounding the
+    already-scaled double to 0 places is exact half-away-from-zero, unlike
+    ``floor(y + 0.5)``, which fails when ``y + 0.5`` itself rounds up.
+    Exact decimal sums use ``round_money`` instead.
     """
     x = _c(col).cast("double")
     m = float(10 ** places)
-    return F.signum(x) * F.floor(F.abs(x) * m + 0.5) / m
+    return F.round(x * m, 0) / m
 
 
 def round_money(col: Column | str, places: int = 2) -> Column:

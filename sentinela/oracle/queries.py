@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sentinela.oracle.sql import with_ctes
+from sentinela.oracle.sql import strip_sql, title_sql, with_ctes
 
 ORACLE: dict[str, str] = {}
 
@@ -113,3 +113,300 @@ FROM m3 WHERE classificacao_risco = 'CRITICO'""")
 ORACLE["insight_melhor_dia"] = _over(mart_diario(), "m4", """
 SELECT data, volume_total, total_transacoes, taxa_fraude_pct FROM m4
 ORDER BY volume_total DESC, data ASC LIMIT 1""")
+
+
+# ------------------------------------------------------------------ cleaning
+
+def _q(names, body, extra=None):
+    return with_ctes(names, body, extra)
+
+
+SILVER_T_COLS = ("id_transacao, id_conta, id_categoria, id_comerciante, valor, tipo, status, canal, descricao, "
+                 "data_transacao, data_processamento, is_fraude, score_fraude, ip_origem, device_id, faixa_valor, "
+                 "fora_horario_comercial")
+
+ORACLE["clean_clientes"] = _q(["silver_clientes"], "SELECT * FROM silver_clientes")
+ORACLE["clean_transacoes"] = _q(["silver_transacoes"], f"SELECT {SILVER_T_COLS} FROM silver_transacoes")
+ORACLE["clean_contas"] = _q(["silver_contas"], "SELECT * FROM silver_contas")
+ORACLE["clean_generic"] = _q(["silver_comerciantes"], "SELECT * FROM silver_comerciantes")
+ORACLE["bronze_audit"] = _q(["bronze_clientes"], """
+SELECT *, 'postgresql://financeiro_source' AS _fonte, 'clientes' AS _tabela_origem FROM bronze_clientes""")
+ORACLE["scan_full_load"] = _q(["bronze_transacoes"], """
+SELECT *, 'postgresql://financeiro_source' AS _fonte, 'transacoes' AS _tabela_origem FROM bronze_transacoes""")
+ORACLE["drop_audit"] = _q(["bronze_contas"], "SELECT * FROM bronze_contas")
+ORACLE["drop_invalid_dates"] = _q(["bronze_transacoes"], """
+SELECT id_transacao, data_transacao FROM bronze_transacoes WHERE TRY_CAST(data_transacao AS TIMESTAMP) IS NULL""")
+ORACLE["apply_defaults"] = _q(["bronze_contas"], """
+SELECT id_conta, coalesce(saldo, CAST(0 AS DECIMAL(15,2))) AS saldo, coalesce(limite, CAST(0 AS DECIMAL(15,2))) AS limite,
+  coalesce(ativa, TRUE) AS ativa FROM bronze_contas""")
+
+# ------------------------------------------------------------------ quality
+
+
+def _problems(*items: str) -> str:
+    return "array_to_string(list_filter([" + ", ".join(items) + "], lambda x: x IS NOT NULL), ' | ')"
+
+
+def _problem(n: str, fmt: str, *extra: str) -> str:
+    args = ", ".join([n, *extra])
+    return f"CASE WHEN {n} > 0 THEN printf('{fmt}', {args}) END"
+
+
+Q_CLIENTES = f"""
+SELECT 'clientes' AS tabela, n AS total_original, n AS total_silver, CAST(0 AS BIGINT) AS removidos,
+  {_problems(_problem('n_cpf', '%d CPFs com tamanho inválido'),
+             _problem('n_null', '%d scores preenchidos com mediana (%d)', 'CAST(round_even(med, 0) AS BIGINT)'))}
+    AS problemas,
+  CAST(NULL AS BIGINT) AS fraudes, CAST(NULL AS DOUBLE) AS valor_total, CAST(NULL AS DOUBLE) AS valor_medio
+FROM (SELECT CAST(COUNT(*) AS BIGINT) AS n,
+        CAST(SUM(CASE WHEN coalesce(length(regexp_replace(cpf, '[.\\-]', '', 'g')), -1) <> 11 THEN 1 ELSE 0 END)
+             AS BIGINT) AS n_cpf,
+        CAST(SUM(CASE WHEN score_credito IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_null,
+        median(score_credito) AS med FROM bronze_clientes) q"""
+
+Q_TRANSACOES = f"""
+SELECT 'transacoes' AS tabela, n AS total_original, kept AS total_silver, n - kept AS removidos,
+  {_problems(_problem('bad', '%d datas inválidas encontradas'),
+             _problem('neg', '%d valores negativos convertidos para positivo'),
+             _problem('zero', '%d transações com valor zero'))} AS problemas,
+  fraudes, CAST(soma AS DOUBLE) AS valor_total, CAST(soma AS DOUBLE) / nv AS valor_medio
+FROM (SELECT CAST(COUNT(*) AS BIGINT) AS n,
+        CAST(SUM(CASE WHEN dt IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS bad,
+        CAST(SUM(CASE WHEN dt IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS kept,
+        CAST(SUM(CASE WHEN dt IS NOT NULL AND valor < 0 THEN 1 ELSE 0 END) AS BIGINT) AS neg,
+        CAST(SUM(CASE WHEN dt IS NOT NULL AND valor = 0 THEN 1 ELSE 0 END) AS BIGINT) AS zero,
+        CAST(SUM(CASE WHEN dt IS NOT NULL AND is_fraude THEN 1 ELSE 0 END) AS BIGINT) AS fraudes,
+        SUM(CASE WHEN dt IS NOT NULL THEN abs(valor) END) AS soma,
+        COUNT(CASE WHEN dt IS NOT NULL THEN valor END) AS nv
+      FROM (SELECT *, TRY_CAST(data_transacao AS TIMESTAMP) AS dt FROM bronze_transacoes) b) q"""
+
+Q_CONTAS = f"""
+SELECT 'contas' AS tabela, n AS total_original, n AS total_silver, CAST(0 AS BIGINT) AS removidos,
+  {_problems(_problem('nulls', '%d saldos nulos preenchidos com 0'))} AS problemas,
+  CAST(NULL AS BIGINT) AS fraudes, CAST(NULL AS DOUBLE) AS valor_total, CAST(NULL AS DOUBLE) AS valor_medio
+FROM (SELECT CAST(COUNT(*) AS BIGINT) AS n,
+        CAST(SUM(CASE WHEN saldo IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS nulls FROM bronze_contas) q"""
+
+
+def _q_generic(table: str, cte: str) -> str:
+    return f"""
+SELECT '{table}' AS tabela, CAST(COUNT(*) AS BIGINT) AS total_original, CAST(COUNT(*) AS BIGINT) AS total_silver,
+  CAST(0 AS BIGINT) AS removidos, '' AS problemas, CAST(NULL AS BIGINT) AS fraudes,
+  CAST(NULL AS DOUBLE) AS valor_total, CAST(NULL AS DOUBLE) AS valor_medio FROM {cte}"""
+
+
+ORACLE["quality_clientes"] = _q(["bronze_clientes"], Q_CLIENTES)
+ORACLE["quality_transacoes"] = _q(["bronze_transacoes"], Q_TRANSACOES)
+ORACLE["quality_contas"] = _q(["bronze_contas"], Q_CONTAS)
+ORACLE["quality_report"] = _q(
+    ["bronze_clientes", "bronze_contas", "bronze_transacoes", "bronze_comerciantes", "bronze_categorias"],
+    "\nUNION ALL\n".join([Q_CLIENTES, Q_CONTAS, Q_TRANSACOES, _q_generic("comerciantes", "bronze_comerciantes"),
+                          _q_generic("categorias_transacao", "bronze_categorias")]))
+
+
+def _count_rows(table: str, cte: str, checks: dict[str, str], value: str) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{table}' AS tabela, '{col}' AS coluna, CAST(SUM(CASE WHEN {cond} THEN 1 ELSE 0 END) AS BIGINT)"
+        f" AS {value} FROM {cte}" for col, cond in checks.items())
+
+
+def _in(col: str, values: list[str]) -> str:
+    return f"{col} IS NOT NULL AND {col} NOT IN (" + ", ".join(f"'{v}'" for v in values) + ")"
+
+
+ORACLE["audit_domains"] = _q(["silver_clientes", "silver_contas", "silver_categorias", "silver_transacoes"],
+                             "\nUNION ALL\n".join([
+    _count_rows("clientes", "silver_clientes", {
+        "genero": _in("genero", ["M", "F", "O"]),
+        "score_credito": "score_credito IS NOT NULL AND NOT (score_credito BETWEEN 0 AND 1000)"}, "violacoes"),
+    _count_rows("contas", "silver_contas", {
+        "tipo_conta": _in("tipo_conta", ["corrente", "poupanca", "investimento", "cartao"])}, "violacoes"),
+    _count_rows("categorias_transacao", "silver_categorias", {"tipo": _in("tipo", ["debito", "credito"])},
+                "violacoes"),
+    _count_rows("transacoes", "silver_transacoes", {
+        "tipo": _in("tipo", ["debito", "credito", "pix", "ted", "doc", "boleto"]),
+        "status": _in("status", ["aprovada", "negada", "cancelada", "pendente", "suspeita"]),
+        "canal": _in("canal", ["app", "web", "pos", "atm", "agencia"]),
+        "score_fraude": "score_fraude IS NOT NULL AND NOT (score_fraude BETWEEN 0 AND 1)"}, "violacoes"),
+]))
+
+NOT_NULL_SQL = {
+    ("clientes", "bronze_clientes"): ["id_cliente", "nome", "cpf", "email", "data_nascimento"],
+    ("contas", "bronze_contas"): ["id_conta", "id_cliente", "numero_conta", "tipo_conta"],
+    ("comerciantes", "bronze_comerciantes"): ["id_comerciante", "nome"],
+    ("categorias_transacao", "bronze_categorias"): ["id_categoria", "nome", "tipo"],
+    ("transacoes", "bronze_transacoes"): ["id_transacao", "id_conta", "valor", "tipo", "status", "data_transacao"],
+}
+ORACLE["audit_not_null"] = _q([cte for _, cte in NOT_NULL_SQL], "\nUNION ALL\n".join(
+    _count_rows(t, cte, {c: f"{c} IS NULL" for c in cols}, "nulos") for (t, cte), cols in NOT_NULL_SQL.items()))
+
+UNIQUE_SQL = {
+    ("clientes", "silver_clientes"): ["id_cliente", "cpf", "email"],
+    ("contas", "silver_contas"): ["id_conta", "numero_conta"],
+    ("comerciantes", "silver_comerciantes"): ["id_comerciante", "cnpj"],
+    ("categorias_transacao", "silver_categorias"): ["id_categoria", "nome"],
+    ("transacoes", "silver_transacoes"): ["id_transacao"],
+}
+ORACLE["audit_unique"] = _q([cte for _, cte in UNIQUE_SQL], "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS tabela, '{c}' AS coluna, CAST(COUNT(*) AS BIGINT) AS chaves_duplicadas, "
+    f"CAST(coalesce(SUM(n), 0) AS BIGINT) AS linhas_duplicadas FROM "
+    f"(SELECT {c}, COUNT(*) AS n FROM {cte} WHERE {c} IS NOT NULL GROUP BY {c} HAVING COUNT(*) > 1) d"
+    for (t, cte), cols in UNIQUE_SQL.items() for c in cols))
+
+FK_SQL = [("contas", "id_cliente", "clientes", "id_cliente", "silver_contas", "silver_clientes"),
+          ("transacoes", "id_conta", "contas", "id_conta", "silver_transacoes", "silver_contas"),
+          ("transacoes", "id_categoria", "categorias_transacao", "id_categoria", "silver_transacoes",
+           "silver_categorias"),
+          ("transacoes", "id_comerciante", "comerciantes", "id_comerciante", "silver_transacoes",
+           "silver_comerciantes")]
+ORACLE["audit_fk_orphans"] = _q(
+    ["silver_contas", "silver_clientes", "silver_transacoes", "silver_categorias", "silver_comerciantes"],
+    "\nUNION ALL\n".join(
+        f"SELECT '{ct}.{cc}->{pt}.{pc}' AS relacao, CAST(COUNT(DISTINCT c.{cc}) AS BIGINT) AS chaves_orfas, "
+        f"CAST(COUNT(*) AS BIGINT) AS linhas_orfas FROM {ccte} c WHERE c.{cc} IS NOT NULL AND NOT EXISTS "
+        f"(SELECT 1 FROM {pcte} p WHERE p.{pc} = c.{cc})" for ct, cc, pt, pc, ccte, pcte in FK_SQL))
+
+# ------------------------------------------------------------------ scalar functions
+
+ORACLE["str_strip"] = _q(["bronze_clientes"], f"""
+SELECT id_cliente, nome AS nome_bruto, {strip_sql('nome')} AS nome FROM bronze_clientes""")
+ORACLE["str_title"] = _q(["bronze_clientes"], f"""
+SELECT id_cliente, {title_sql(strip_sql('nome'))} AS nome, {title_sql(strip_sql('cidade'))} AS cidade
+FROM bronze_clientes""")
+ORACLE["str_case"] = _q(["bronze_clientes"], f"""
+SELECT id_cliente, lower({strip_sql('email')}) AS email, {strip_sql('upper(estado)')} AS estado FROM bronze_clientes""")
+ORACLE["str_cpf_digits"] = _q(["bronze_clientes"], """
+SELECT id_cliente, cpf AS cpf_bruto, regexp_replace(cpf, '[.\\-]', '', 'g') AS cpf,
+  coalesce(length(regexp_replace(cpf, '[.\\-]', '', 'g')), -1) <> 11 AS cpf_invalido FROM bronze_clientes""")
+ORACLE["null_fill"] = _q(["silver_contas"], "SELECT id_conta, saldo FROM silver_contas")
+ORACLE["median_fill"] = _q(["silver_clientes"], "SELECT id_cliente, score_credito FROM silver_clientes")
+ORACLE["agg_median"] = _q(["bronze_clientes"], "SELECT median(score_credito) AS mediana_score FROM bronze_clientes")
+ORACLE["ts_coerce"] = _q(["bronze_transacoes"], """
+SELECT id_transacao, data_transacao AS texto, TRY_CAST(data_transacao AS TIMESTAMP) AS data_transacao
+FROM bronze_transacoes""")
+ORACLE["math_abs"] = _q(["bronze_transacoes"], """
+SELECT id_transacao, valor AS valor_bruto, abs(valor) AS valor FROM bronze_transacoes""")
+ORACLE["faixa_valor"] = _q(["silver_transacoes", "silver_transacoes_o"], """
+SELECT 'events' AS layout, id_transacao, valor, faixa_valor FROM silver_transacoes
+UNION ALL
+SELECT 'orders' AS layout, id_transacao, valor, faixa_valor FROM silver_transacoes_o""")
+ORACLE["fora_horario"] = _q(["silver_transacoes"], """
+SELECT id_transacao, CAST(extract(hour FROM data_transacao) AS BIGINT) AS hora, fora_horario_comercial
+FROM silver_transacoes""")
+ORACLE["dk_round"] = """
+SELECT event_id, ROUND(value / 7, 2) AS r2, ROUND(value / 7, 4) AS r4, ROUND(value * 1.005, 0) AS r0,
+  ROUND(-value / 3, 1) AS rneg FROM events"""
+ORACLE["partition_cols"] = _q(["silver_transacoes"], """
+SELECT id_transacao, strftime(data_transacao, '%Y') AS ano, strftime(data_transacao, '%m') AS mes,
+  strftime(data_transacao, '%d') AS dia FROM silver_transacoes""")
+ORACLE["json_roundtrip"] = _q(["silver_transacoes"], """
+SELECT lpad(CAST(id_transacao AS VARCHAR), 12, '0') AS evento_id, id_conta, CAST(valor AS DOUBLE) AS valor, tipo,
+  status, CAST(score_fraude AS DOUBLE) AS score_fraude FROM silver_transacoes""")
+
+# ------------------------------------------------------------------ aggregates
+
+ORACLE["agg_count"] = _q(["silver_transacoes"], """
+SELECT CAST(COUNT(*) AS BIGINT) AS linhas, CAST(COUNT(id_comerciante) AS BIGINT) AS com_comerciante
+FROM silver_transacoes""")
+ORACLE["count_fraudes"] = _q(["silver_transacoes"], """
+SELECT CAST(COUNT(*) AS BIGINT) AS fraudes FROM silver_transacoes WHERE is_fraude = TRUE""")
+ORACLE["agg_basic"] = _q(["silver_transacoes"], f"""
+SELECT tipo, CAST(ROUND(SUM(valor), 2) AS DOUBLE) AS soma, ROUND({_avg('valor')}, 2) AS media,
+  CAST(ROUND(MAX(valor), 2) AS DOUBLE) AS maximo FROM silver_transacoes GROUP BY tipo""")
+ORACLE["agg_conditional"] = _q(["silver_transacoes"], """
+SELECT canal, CAST(SUM(CASE WHEN is_fraude THEN 1 ELSE 0 END) AS BIGINT) AS fraudes,
+  CAST(ROUND(SUM(CASE WHEN is_fraude THEN valor ELSE 0 END), 2) AS DOUBLE) AS valor_fraudes
+FROM silver_transacoes GROUP BY canal""")
+ORACLE["agg_distinct"] = _q(["silver_transacoes"], """
+SELECT status, CAST(COUNT(*) AS BIGINT) AS linhas, CAST(COUNT(DISTINCT id_conta) AS BIGINT) AS contas
+FROM silver_transacoes GROUP BY status""")
+ORACLE["agg_ratio"] = _q(["silver_transacoes"], """
+SELECT tipo, ROUND(SUM(CASE WHEN is_fraude THEN 1 ELSE 0 END) * 100.0 / COUNT(*), 2) AS pct2,
+  ROUND(SUM(CASE WHEN is_fraude THEN 1 ELSE 0 END) * 100.0 / COUNT(*), 4) AS pct4
+FROM silver_transacoes GROUP BY tipo""")
+ORACLE["risk_score"] = _over(mart_risco(), "m3", "SELECT id_cliente, score_risco_composto FROM m3")
+ORACLE["risk_class"] = _over(mart_risco(), "m3", "SELECT id_cliente, classificacao_risco FROM m3")
+ORACLE["vw_transacoes_completa"] = _q(
+    ["silver_transacoes", "silver_contas", "silver_clientes", "silver_categorias", "silver_comerciantes"], """
+SELECT t.id_transacao, t.data_transacao, t.valor, t.tipo, t.status, t.canal, t.is_fraude, t.score_fraude,
+  c.numero_conta, c.tipo_conta, cl.nome AS nome_cliente, cl.cidade AS cidade_cliente, cl.estado AS estado_cliente,
+  cl.score_credito, cat.nome AS categoria, com.nome AS comerciante
+FROM silver_transacoes t
+JOIN silver_contas c ON t.id_conta = c.id_conta
+JOIN silver_clientes cl ON c.id_cliente = cl.id_cliente
+LEFT JOIN silver_categorias cat ON t.id_categoria = cat.id_categoria
+LEFT JOIN silver_comerciantes com ON t.id_comerciante = com.id_comerciante""")
+
+# ------------------------------------------------------------------ fraud rules
+
+EVENTS_CTE = """
+SELECT lpad(CAST(id_transacao AS VARCHAR), 12, '0') AS evento_id, data_transacao AS event_ts, id_conta,
+  CAST(valor AS DOUBLE) AS valor, tipo, status, canal, is_fraude, CAST(score_fraude AS DOUBLE) AS score_fraude,
+  ip_origem, device_id, descricao, id_comerciante FROM {src}"""
+
+
+def _events_q(body: str, layout: str = "events", extra: dict | None = None) -> str:
+    src = "silver_transacoes" if layout == "events" else "silver_transacoes_o"
+    return with_ctes([src], body, {"ev": EVENTS_CTE.format(src=src), **(extra or {})})
+
+
+SCORE_TXT = "printf('Score %s acima do limite 0.65', CAST(score_fraude AS VARCHAR))"
+VALOR_TXT = "printf('Transação de R$ %s acima do limite', format('{:,.2f}', valor))"
+
+
+def trailing_sql(key: str, seconds: int) -> str:
+    w = seconds * 1_000_000 - 1
+    return (f"COUNT(*) OVER (PARTITION BY {key} ORDER BY epoch_us(event_ts) RANGE BETWEEN {w} PRECEDING AND CURRENT ROW)"
+            f" - COUNT(*) OVER (PARTITION BY {key}, epoch_us(event_ts))"
+            f" + ROW_NUMBER() OVER (PARTITION BY {key}, epoch_us(event_ts) ORDER BY evento_id)")
+
+
+ORACLE["rule_score"] = _events_q(f"SELECT evento_id, score_fraude, {SCORE_TXT} AS descricao FROM ev "
+                                 "WHERE score_fraude > 0.65")
+ORACLE["rule_valor"] = _events_q(f"SELECT evento_id, valor, {VALOR_TXT} AS descricao FROM ev WHERE valor > 5000.00",
+                                 "orders")
+ORACLE["rule_status"] = _events_q("SELECT evento_id, status FROM ev WHERE status = 'suspeita'")
+ORACLE["filter_suspeitas"] = _events_q("SELECT evento_id, valor, score_fraude FROM ev "
+                                       "WHERE score_fraude > 0.65 OR valor > 5000.00")
+ORACLE["rule_descriptions"] = _events_q(f"SELECT evento_id, {SCORE_TXT} AS texto_score, {VALOR_TXT} AS texto_valor "
+                                        "FROM ev", "orders")
+ORACLE["velocity_trailing"] = _events_q(f"SELECT evento_id, descricao AS chave, {trailing_sql('descricao', 3600)} "
+                                        "AS janela_n FROM ev")
+ORACLE["rule_velocity"] = _events_q(f"""
+SELECT evento_id, id_conta, janela_n, janela_n > 5 AS alerta
+FROM (SELECT evento_id, id_conta, {trailing_sql('id_conta', 60)} AS janela_n FROM ev) v""")
+
+
+def alerts_sql(key: str, seconds: int) -> dict:
+    """CTEs producing one row per (alerting event, fired rule)."""
+    return {
+        "counted": f"SELECT *, {trailing_sql(key, seconds)} AS janela_n FROM ev",
+        "fired": f"""
+SELECT evento_id, id_conta, valor, tipo, score_fraude, id_comerciante, r.ordem0, r.regra, r.descricao, r.severidade
+FROM counted, LATERAL (VALUES
+  (1, CASE WHEN score_fraude > 0.65 THEN 'SCORE_FRAUDE_ALTO' END, {SCORE_TXT}, 'ALTA'),
+  (2, CASE WHEN valor > 5000.00 THEN 'VALOR_SUSPEITO' END, {VALOR_TXT}, 'MEDIA'),
+  (3, CASE WHEN janela_n > 5 THEN 'VELOCITY_CHECK' END,
+      printf('Conta %d com %d transações no último minuto', id_conta, janela_n), 'ALTA'),
+  (4, CASE WHEN status = 'suspeita' THEN 'STATUS_SUSPEITA' END,
+      'Transação marcada como suspeita pelo sistema de origem', 'ALTA')) r(ordem0, regra, descricao, severidade)
+WHERE r.regra IS NOT NULL""",
+        "docs": """
+SELECT f.*, cl.estado AS estado,
+  CAST(ROW_NUMBER() OVER (PARTITION BY f.evento_id ORDER BY f.ordem0) - 1 AS BIGINT) AS ordem
+FROM fired f
+LEFT JOIN (SELECT co.id_conta, cl.estado FROM silver_contas co JOIN silver_clientes cl
+           ON co.id_cliente = cl.id_cliente) cl ON f.id_conta = cl.id_conta""",
+    }
+
+
+def _alerts_q(body: str, key: str = "id_conta", seconds: int = 60) -> str:
+    return with_ctes(["silver_transacoes", "silver_contas", "silver_clientes"], body,
+                     {"ev": EVENTS_CTE.format(src="silver_transacoes"), **alerts_sql(key, seconds)})
+
+
+ALERT_COLS = "evento_id, id_conta, valor, tipo, estado, score_fraude, ordem, regra, descricao, severidade"
+ORACLE["alert_documents"] = _alerts_q(f"SELECT {ALERT_COLS} FROM docs")
+ORACLE["alert_velocity_by_type"] = _alerts_q(f"SELECT {ALERT_COLS} FROM docs", "descricao", 3600)
+ORACLE["rule_names"] = _alerts_q("SELECT evento_id, string_agg(regra, ' | ' ORDER BY ordem) AS regras "
+                                 "FROM docs GROUP BY evento_id")

@@ -10,9 +10,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sentinela.operators import marts
+from sentinela import functions as fn
+from sentinela.functions.numeric import dk_round, mean, pct, round_money
+from sentinela.functions.timefn import coerce_timestamp, hour_of_day
+from sentinela.operators import clean, marts, quality, rules
+from sentinela.operators.velocity import trailing_count
 from sentinela.plans.layers import Layers
+from sentinela.sources import lake, testdata
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -80,3 +86,338 @@ def q_insight_criticos(spark, sf_dir):
 @register("insight_melhor_dia")
 def q_insight_melhor_dia(spark, sf_dir):
     return marts.insight_melhor_dia(Layers(spark, sf_dir).mart_diario())
+
+
+# ------------------------------------------------------------------ helpers
+
+def _bronze(spark, sf_dir, layout="events"):
+    return Layers(spark, sf_dir, layout).bronze
+
+
+def _silver(spark, sf_dir, layout="events"):
+    return Layers(spark, sf_dir, layout).silver
+
+
+def _joined_problems(df: DataFrame) -> DataFrame:
+    """Quality rows with the problem list rendered as one ``" | "``-joined string."""
+    return df.withColumn("problemas", F.array_join("problemas", " | "))
+
+
+# ------------------------------------------------------------------ Silver cleaning
+
+@register("clean_clientes")
+def q_clean_clientes(spark, sf_dir):
+    return _silver(spark, sf_dir)["clientes"]
+
+
+@register("clean_transacoes")
+def q_clean_transacoes(spark, sf_dir):
+    return _silver(spark, sf_dir)["transacoes"]
+
+
+@register("clean_contas")
+def q_clean_contas(spark, sf_dir):
+    return _silver(spark, sf_dir)["contas"]
+
+
+@register("clean_generic")
+def q_clean_generic(spark, sf_dir):
+    return _silver(spark, sf_dir)["comerciantes"]
+
+
+@register("bronze_audit")
+def q_bronze_audit(spark, sf_dir):
+    b = lake.add_audit_columns(_bronze(spark, sf_dir)["clientes"], "clientes")
+    return b.drop("_ingestao_timestamp")
+
+
+@register("scan_full_load")
+def q_scan_full_load(spark, sf_dir):
+    src = lake.TableSource(lambda name: _bronze(spark, sf_dir)[name])
+    return lake.full_load(src, "transacoes").drop("_ingestao_timestamp")
+
+
+@register("drop_audit")
+def q_drop_audit(spark, sf_dir):
+    return clean.drop_audit(lake.add_audit_columns(_bronze(spark, sf_dir)["contas"], "contas"))
+
+
+@register("drop_invalid_dates")
+def q_drop_invalid_dates(spark, sf_dir):
+    t = _bronze(spark, sf_dir)["transacoes"]
+    return t.filter(coerce_timestamp("data_transacao").isNull()).select("id_transacao", "data_transacao")
+
+
+@register("apply_defaults")
+def q_apply_defaults(spark, sf_dir):
+    c = quality.apply_defaults(_bronze(spark, sf_dir)["contas"], "contas")
+    return c.select("id_conta", "saldo", "limite", "ativa")
+
+
+# ------------------------------------------------------------------ quality and audits
+
+@register("quality_clientes")
+def q_quality_clientes(spark, sf_dir):
+    return _joined_problems(quality.quality_row("clientes", _bronze(spark, sf_dir)["clientes"]))
+
+
+@register("quality_transacoes")
+def q_quality_transacoes(spark, sf_dir):
+    return _joined_problems(quality.quality_row("transacoes", _bronze(spark, sf_dir)["transacoes"]))
+
+
+@register("quality_contas")
+def q_quality_contas(spark, sf_dir):
+    return _joined_problems(quality.quality_row("contas", _bronze(spark, sf_dir)["contas"]))
+
+
+@register("quality_report")
+def q_quality_report(spark, sf_dir):
+    return _joined_problems(quality.quality_report(_bronze(spark, sf_dir)))
+
+
+@register("audit_domains")
+def q_audit_domains(spark, sf_dir):
+    return quality.audit_domains(_silver(spark, sf_dir))
+
+
+@register("audit_not_null")
+def q_audit_not_null(spark, sf_dir):
+    return quality.audit_not_null(_bronze(spark, sf_dir))
+
+
+@register("audit_unique")
+def q_audit_unique(spark, sf_dir):
+    return quality.audit_unique(_silver(spark, sf_dir))
+
+
+@register("audit_fk_orphans")
+def q_audit_fk_orphans(spark, sf_dir):
+    return quality.audit_fk_orphans(_silver(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ scalar functions
+
+@register("str_strip")
+def q_str_strip(spark, sf_dir):
+    c = _bronze(spark, sf_dir)["clientes"]
+    return c.select("id_cliente", F.col("nome").alias("nome_bruto"), fn.strip("nome").alias("nome"))
+
+
+@register("str_title")
+def q_str_title(spark, sf_dir):
+    c = _bronze(spark, sf_dir)["clientes"]
+    return c.select("id_cliente", fn.title_case(fn.strip("nome")).alias("nome"),
+                    fn.title_case(fn.strip("cidade")).alias("cidade"))
+
+
+@register("str_case")
+def q_str_case(spark, sf_dir):
+    c = _bronze(spark, sf_dir)["clientes"]
+    return c.select("id_cliente", F.lower(fn.strip("email")).alias("email"),
+                    fn.strip(F.upper("estado")).alias("estado"))
+
+
+@register("str_cpf_digits")
+def q_str_cpf_digits(spark, sf_dir):
+    c = _bronze(spark, sf_dir)["clientes"]
+    return c.select("id_cliente", F.col("cpf").alias("cpf_bruto"), fn.digits_only("cpf").alias("cpf"),
+                    fn.cpf_invalid(fn.digits_only("cpf")).alias("cpf_invalido"))
+
+
+@register("null_fill")
+def q_null_fill(spark, sf_dir):
+    return _silver(spark, sf_dir)["contas"].select("id_conta", "saldo")
+
+
+@register("median_fill")
+def q_median_fill(spark, sf_dir):
+    return _silver(spark, sf_dir)["clientes"].select("id_cliente", "score_credito")
+
+
+@register("agg_median")
+def q_agg_median(spark, sf_dir):
+    c = _bronze(spark, sf_dir)["clientes"]
+    return c.agg(F.median("score_credito").alias("mediana_score"))
+
+
+@register("ts_coerce")
+def q_ts_coerce(spark, sf_dir):
+    t = _bronze(spark, sf_dir)["transacoes"]
+    return t.select("id_transacao", F.col("data_transacao").alias("texto"),
+                    coerce_timestamp("data_transacao").alias("data_transacao"))
+
+
+@register("math_abs")
+def q_math_abs(spark, sf_dir):
+    t = _bronze(spark, sf_dir)["transacoes"]
+    return t.select("id_transacao", F.col("valor").alias("valor_bruto"), F.abs("valor").alias("valor"))
+
+
+@register("faixa_valor")
+def q_faixa_valor(spark, sf_dir):
+    parts = [_silver(spark, sf_dir, layout)["transacoes"]
+             .select(F.lit(layout).alias("layout"), "id_transacao", "valor", "faixa_valor")
+             for layout in ("events", "orders")]
+    return parts[0].unionByName(parts[1])
+
+
+@register("fora_horario")
+def q_fora_horario(spark, sf_dir):
+    t = _silver(spark, sf_dir)["transacoes"]
+    return t.select("id_transacao", hour_of_day("data_transacao").alias("hora"),
+                    fn.fora_horario("data_transacao").alias("fora_horario_comercial"))
+
+
+@register("dk_round")
+def q_dk_round(spark, sf_dir):
+    ev = testdata.read_table(spark, sf_dir, "events")
+    v = F.col("value")
+    return ev.select("event_id", fn.dk_round(v / 7, 2).alias("r2"), fn.dk_round(v / 7, 4).alias("r4"),
+                     fn.dk_round(v * 1.005, 0).alias("r0"), fn.dk_round(-v / 3, 1).alias("rneg"))
+
+
+@register("partition_cols")
+def q_partition_cols(spark, sf_dir):
+    t = _silver(spark, sf_dir)["transacoes"]
+    return t.select("id_transacao", *lake.partition_columns(F.col("data_transacao")))
+
+
+@register("json_roundtrip")
+def q_json_roundtrip(spark, sf_dir):
+    ev = rules.events_from_silver(_silver(spark, sf_dir)["transacoes"])
+    cols = ["evento_id", "id_conta", "valor", "tipo", "status", "score_fraude"]
+    as_json = ev.select(F.to_json(F.struct(*cols)).alias("value"))
+    schema = "evento_id string, id_conta bigint, valor double, tipo string, status string, score_fraude double"
+    return as_json.select(F.from_json("value", schema).alias("e")).select("e.*")
+
+
+# ------------------------------------------------------------------ aggregates
+
+@register("agg_count")
+def q_agg_count(spark, sf_dir):
+    t = _silver(spark, sf_dir)["transacoes"]
+    return t.agg(F.count(F.lit(1)).alias("linhas"), F.count("id_comerciante").alias("com_comerciante"))
+
+
+@register("count_fraudes")
+def q_count_fraudes(spark, sf_dir):
+    t = _silver(spark, sf_dir)["transacoes"]
+    return t.filter("is_fraude").agg(F.count(F.lit(1)).alias("fraudes"))
+
+
+@register("agg_basic")
+def q_agg_basic(spark, sf_dir):
+    t = _silver(spark, sf_dir)["transacoes"]
+    g = t.groupBy("tipo").agg(F.sum("valor").alias("s"), F.count("valor").alias("n"), F.max("valor").alias("mx"))
+    return g.select("tipo", round_money("s").alias("soma"), dk_round(mean(F.col("s"), F.col("n")), 2).alias("media"),
+                    round_money("mx").alias("maximo"))
+
+
+@register("agg_conditional")
+def q_agg_conditional(spark, sf_dir):
+    t = _silver(spark, sf_dir)["transacoes"]
+    return t.groupBy("canal").agg(
+        F.count_if("is_fraude").cast("bigint").alias("fraudes"),
+        round_money(F.sum(F.when(F.col("is_fraude"), F.col("valor")).otherwise(F.lit(0)))).alias("valor_fraudes"))
+
+
+@register("agg_distinct")
+def q_agg_distinct(spark, sf_dir):
+    t = _silver(spark, sf_dir)["transacoes"]
+    return t.groupBy("status").agg(F.count(F.lit(1)).alias("linhas"),
+                                   F.count_distinct("id_conta").cast("bigint").alias("contas"))
+
+
+@register("agg_ratio")
+def q_agg_ratio(spark, sf_dir):
+    t = _silver(spark, sf_dir)["transacoes"]
+    g = t.groupBy("tipo").agg(F.count_if("is_fraude").alias("f"), F.count(F.lit(1)).alias("n"))
+    return g.select("tipo", pct(F.col("f"), F.col("n"), 2).alias("pct2"), pct(F.col("f"), F.col("n"), 4).alias("pct4"))
+
+
+@register("risk_score")
+def q_risk_score(spark, sf_dir):
+    return Layers(spark, sf_dir).mart_risco().select("id_cliente", "score_risco_composto")
+
+
+@register("risk_class")
+def q_risk_class(spark, sf_dir):
+    return Layers(spark, sf_dir).mart_risco().select("id_cliente", "classificacao_risco")
+
+
+@register("vw_transacoes_completa")
+def q_vw_transacoes_completa(spark, sf_dir):
+    s = _silver(spark, sf_dir)
+    return marts.vw_transacoes_completa(s["transacoes"], s["contas"], s["clientes"],
+                                        s["categorias_transacao"], s["comerciantes"])
+
+
+# ------------------------------------------------------------------ fraud rules (batch)
+
+def _events(spark, sf_dir, layout="events"):
+    return rules.events_from_silver(_silver(spark, sf_dir, layout)["transacoes"])
+
+
+@register("rule_score")
+def q_rule_score(spark, sf_dir):
+    ev = _events(spark, sf_dir)
+    return ev.filter(rules.score_alto()).select("evento_id", "score_fraude",
+                                                rules.score_text(F.col("score_fraude")).alias("descricao"))
+
+
+@register("rule_valor")
+def q_rule_valor(spark, sf_dir):
+    ev = _events(spark, sf_dir, "orders")
+    return ev.filter(rules.valor_suspeito()).select("evento_id", "valor",
+                                                    rules.valor_text(F.col("valor")).alias("descricao"))
+
+
+@register("rule_status")
+def q_rule_status(spark, sf_dir):
+    ev = _events(spark, sf_dir)
+    return ev.filter(rules.status_suspeita()).select("evento_id", "status")
+
+
+@register("filter_suspeitas")
+def q_filter_suspeitas(spark, sf_dir):
+    ev = _events(spark, sf_dir)
+    return ev.filter(rules.score_alto() | rules.valor_suspeito()).select("evento_id", "valor", "score_fraude")
+
+
+@register("rule_descriptions")
+def q_rule_descriptions(spark, sf_dir):
+    ev = _events(spark, sf_dir, "orders")
+    return ev.select("evento_id", rules.score_text(F.col("score_fraude")).alias("texto_score"),
+                     rules.valor_text(F.col("valor")).alias("texto_valor"))
+
+
+@register("velocity_trailing")
+def q_velocity_trailing(spark, sf_dir):
+    ev = _events(spark, sf_dir)
+    out = trailing_count(ev, "descricao", "event_ts", "evento_id", 3600)
+    return out.select("evento_id", F.col("descricao").alias("chave"), "janela_n")
+
+
+@register("rule_velocity")
+def q_rule_velocity(spark, sf_dir):
+    ev = _events(spark, sf_dir)
+    out = trailing_count(ev, "id_conta", "event_ts", "evento_id", rules.JANELA_SEGUNDOS)
+    return out.select("evento_id", "id_conta", "janela_n", rules.velocity().alias("alerta"))
+
+
+@register("alert_documents")
+def q_alert_documents(spark, sf_dir):
+    return rules.flatten_alerts(rules.batch_alerts(_silver(spark, sf_dir)))
+
+
+@register("rule_names")
+def q_rule_names(spark, sf_dir):
+    docs = rules.batch_alerts(_silver(spark, sf_dir))
+    return docs.select("evento_id", rules.rule_names().alias("regras"))
+
+
+@register("alert_velocity_by_type")
+def q_alert_velocity_by_type(spark, sf_dir):
+    """All four rules with the velocity key set to the event type over one hour."""
+    return rules.flatten_alerts(rules.batch_alerts(_silver(spark, sf_dir), key="descricao", window_seconds=3600))

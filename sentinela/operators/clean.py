@@ -36,14 +36,21 @@ def median_of(df: DataFrame, column: str) -> Column:
     return df.agg(F.median(column)).scalar()
 
 
-def clean_clientes(df: DataFrame, with_stamp: bool = True) -> DataFrame:
+def clean_clientes(df: DataFrame, with_stamp: bool = True, median_source: DataFrame | None = None) -> DataFrame:
+    """Trim/case names, e-mails, cities and states; CPF digits; median-filled scores.
+
+    ``median_source`` (default ``df``) is the frame the median is taken from,
+    so a caller that attached ``observe`` metrics to ``df`` does not collect
+    them a second time inside the median subquery.
+    """
+    median = median_of(median_source if median_source is not None else df, "score_credito")
     cleaned = df.withColumns({
         "nome": title_case(strip("nome")),
         "email": F.lower(strip("email")),
         "cidade": title_case(strip("cidade")),
         "estado": strip(F.upper("estado")),
         "cpf": digits_only("cpf"),
-        "score_credito": F.coalesce(F.col("score_credito").cast("double"), median_of(df, "score_credito")),
+        "score_credito": F.coalesce(F.col("score_credito").cast("double"), median),
     })
     cleaned = drop_audit(cleaned)
     if with_stamp:

@@ -410,3 +410,48 @@ ORACLE["alert_documents"] = _alerts_q(f"SELECT {ALERT_COLS} FROM docs")
 ORACLE["alert_velocity_by_type"] = _alerts_q(f"SELECT {ALERT_COLS} FROM docs", "descricao", 3600)
 ORACLE["rule_names"] = _alerts_q("SELECT evento_id, string_agg(regra, ' | ' ORDER BY ordem) AS regras "
                                  "FROM docs GROUP BY evento_id")
+
+
+# ------------------------------------------------------------------ lake I/O
+
+ORACLE["write_read_roundtrip"] = _q(["silver_transacoes"], """
+SELECT '2026' AS ano, '06' AS mes, '04' AS dia, CAST(COUNT(*) AS BIGINT) AS linhas,
+  CAST(ROUND(SUM(valor), 2) AS DOUBLE) AS valor_total FROM silver_transacoes
+UNION ALL
+SELECT '2026', '06', '05', CAST(COUNT(*) AS BIGINT), CAST(ROUND(SUM(valor), 2) AS DOUBLE) FROM silver_transacoes""")
+ORACLE["union_snapshots"] = _q(["bronze_clientes"], """
+SELECT *, CAST(NULL AS INTEGER) AS _lote FROM bronze_clientes
+UNION ALL
+SELECT *, 2 AS _lote FROM bronze_clientes""")
+ORACLE["latest_snapshot"] = _q(["bronze_contas"], "SELECT * FROM bronze_contas")
+
+_MANIFEST_PARTS = [("clientes", "bronze_clientes", 14), ("contas", "bronze_contas", 11),
+                   ("comerciantes", "bronze_comerciantes", 9), ("categorias_transacao", "bronze_categorias", 6),
+                   ("transacoes", "bronze_transacoes", 18)]
+_MANIFEST = "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS tabela, CAST(COUNT(*) AS BIGINT) AS linhas, {n} AS colunas, 'sucesso' AS status FROM {cte}"
+    for t, cte, n in _MANIFEST_PARTS)
+ORACLE["ingest_manifest"] = _q([c for _, c, _ in _MANIFEST_PARTS], _MANIFEST)
+ORACLE["ingest_totals"] = _q([c for _, c, _ in _MANIFEST_PARTS], f"""
+SELECT CAST(COUNT(*) AS BIGINT) AS total_tabelas,
+  CAST(SUM(CASE WHEN status = 'sucesso' THEN 1 ELSE 0 END) AS BIGINT) AS total_sucesso,
+  CAST(SUM(CASE WHEN status = 'erro' THEN 1 ELSE 0 END) AS BIGINT) AS total_erro,
+  CAST(SUM(linhas) AS BIGINT) AS total_linhas FROM ({_MANIFEST}) m""")
+ORACLE["silver_run_report"] = ORACLE["quality_report"]
+ORACLE["gold_export_estado"] = ORACLE["gold_fraude_estado"]
+
+
+def _gold_counts() -> str:
+    parts = []
+    for name, sql, ncols in [("gold_resumo_fraudes_por_estado", mart_estado(), 9),
+                             ("gold_transacoes_por_hora", mart_hora(), 8),
+                             ("gold_perfil_risco_cliente", mart_risco(), 15),
+                             ("gold_resumo_executivo_diario", mart_diario(), 15)]:
+        head, _, tail = sql.rpartition("\nSELECT")
+        parts.append(f"SELECT '{name}' AS tabela, CAST(COUNT(*) AS BIGINT) AS linhas, "
+                     f"CAST(COUNT(*) AS BIGINT) AS com_timestamp, CAST({ncols} AS BIGINT) AS colunas "
+                     f"FROM ({sql}) m")
+    return "\nUNION ALL\n".join(parts)
+
+
+ORACLE["gold_export"] = _gold_counts()

@@ -8,6 +8,7 @@ their whole extent; the matching DuckDB statement lives in
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from sentinela.functions.timefn import coerce_timestamp, hour_of_day
 from sentinela.operators import clean, marts, quality, rules
 from sentinela.operators.velocity import trailing_count
 from sentinela.plans.layers import Layers
+from sentinela.session import scratch_path
 from sentinela.sources import lake, testdata
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -421,3 +423,98 @@ def q_rule_names(spark, sf_dir):
 def q_alert_velocity_by_type(spark, sf_dir):
     """All four rules with the velocity key set to the event type over one hour."""
     return rules.flatten_alerts(rules.batch_alerts(_silver(spark, sf_dir), key="descricao", window_seconds=3600))
+
+
+# ------------------------------------------------------------------ lake I/O (writes below the shared folder)
+
+DAY1 = datetime(2026, 6, 4, 21, 1, 22)
+DAY2 = datetime(2026, 6, 5, 15, 57, 22)
+
+
+@register("write_read_roundtrip")
+def q_write_read_roundtrip(spark, sf_dir):
+    """Same-day rerun replaces its partition, another day is kept (K2)."""
+    path = lake.layer_path(scratch_path(spark, "roundtrip"), "silver", "transacoes")
+    t = _silver(spark, sf_dir)["transacoes"]
+    lake.write_partitioned(t.filter(F.col("valor") > 100), path, F.lit(DAY1).cast("timestamp"))
+    lake.write_partitioned(t, path, F.lit(DAY1).cast("timestamp"))      # rerun of day 1: replaces
+    lake.write_partitioned(t, path, F.lit(DAY2).cast("timestamp"))
+    back = lake.read_layer(spark, path)
+    return back.groupBy("ano", "mes", "dia").agg(F.count(F.lit(1)).alias("linhas"),
+                                                  round_money(F.sum("valor")).alias("valor_total"))
+
+
+@register("union_snapshots")
+def q_union_snapshots(spark, sf_dir):
+    """Every load date of a table, by column name, duplicates kept."""
+    path = lake.layer_path(scratch_path(spark, "snapshots"), "bronze", "clientes")
+    b = _bronze(spark, sf_dir)["clientes"]
+    lake.write_partitioned(b, path, F.lit(DAY1).cast("timestamp"))
+    lake.write_partitioned(b.withColumn("_lote", F.lit(2)), path, F.lit(DAY2).cast("timestamp"))
+    return lake.read_snapshots(spark, path, "all")
+
+
+@register("latest_snapshot")
+def q_latest_snapshot(spark, sf_dir):
+    """Only the newest load date (partition-pruned read)."""
+    path = lake.layer_path(scratch_path(spark, "snapshots"), "bronze", "contas")
+    b = _bronze(spark, sf_dir)["contas"]
+    lake.write_partitioned(b.filter(F.col("id_conta") % 2 == 0), path, F.lit(DAY1).cast("timestamp"))
+    lake.write_partitioned(b, path, F.lit(DAY2).cast("timestamp"))
+    return lake.read_snapshots(spark, path, "latest")
+
+
+def _medallion_root(spark, sf_dir):
+    from sentinela.plans import medallion
+    root = scratch_path(spark, "lake")
+    src = lake.TableSource(lambda name: _bronze(spark, sf_dir)[name])
+    manifest = medallion.run_bronze(spark, src, root, load_ts=DAY1)
+    return medallion, root, manifest
+
+
+@register("ingest_manifest")
+def q_ingest_manifest(spark, sf_dir):
+    """Load manifest rows of a Bronze run, row counts observed during the writes (K5)."""
+    _, _, manifest = _medallion_root(spark, sf_dir)
+    rows = lake.manifest_rows(spark, manifest["tabelas"])
+    return rows.select("tabela", "linhas", "colunas", "status")
+
+
+@register("ingest_totals")
+def q_ingest_totals(spark, sf_dir):
+    """Manifest roll-up: tables, successes, errors, rows."""
+    _, _, manifest = _medallion_root(spark, sf_dir)
+    return lake.manifest_totals(lake.manifest_rows(spark, manifest["tabelas"]))
+
+
+@register("silver_run_report")
+def q_silver_run_report(spark, sf_dir):
+    """Quality report of a Silver run over the Bronze lake, metrics observed in the writes (K7)."""
+    medallion, root, _ = _medallion_root(spark, sf_dir)
+    report = medallion.run_silver(spark, root, load_ts=DAY2)
+    return _joined_problems(spark.createDataFrame(report, quality.REPORT_SCHEMA))
+
+
+@register("gold_export")
+def q_gold_export(spark, sf_dir):
+    """Marts exported with ``_gold_timestamp`` and read back from Parquet (K3, K4)."""
+    medallion, root, _ = _medallion_root(spark, sf_dir)
+    medallion.run_silver(spark, root, load_ts=DAY2)
+    medallion.run_gold(spark, root, load_ts=DAY2)
+    parts = []
+    for name in medallion.GOLD_TABLES:
+        back = lake.read_snapshots(spark, lake.layer_path(root, "gold", name), "latest")
+        parts.append(back.agg(F.lit(name).alias("tabela"), F.count(F.lit(1)).alias("linhas"),
+                              F.count("_gold_timestamp").alias("com_timestamp"),
+                              F.lit(len(back.columns)).cast("bigint").alias("colunas")))
+    return lake.union_by_name(parts)
+
+
+@register("gold_export_estado")
+def q_gold_export_estado(spark, sf_dir):
+    """Mart 1 as read back from the exported Gold Parquet."""
+    medallion, root, _ = _medallion_root(spark, sf_dir)
+    medallion.run_silver(spark, root, load_ts=DAY2)
+    medallion.run_gold(spark, root, load_ts=DAY2)
+    back = lake.read_snapshots(spark, lake.layer_path(root, "gold", "gold_resumo_fraudes_por_estado"), "latest")
+    return back.drop("_gold_timestamp")

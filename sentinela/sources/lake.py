@@ -14,6 +14,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Partition column names and the source URI recorded in Bronze.
 PARTITION_COLUMNS = ["ano", "mes", "dia"]
@@ -84,6 +85,18 @@ def write_partitioned(df: DataFrame, path: str, load_ts: Column | None = None) -
        .partitionBy(*PARTITION_COLUMNS).parquet(path))
 
 
+def read_layer(spark: SparkSession, path: str) -> DataFrame:
+    """Read a partitioned table with ``ano``/``mes``/``dia`` kept as strings.
+
+    Partition discovery would turn ``"06"`` into the integer 6; stating the
+    schema (footers merged, partition columns as strings) keeps the padding.
+    """
+    discovered = spark.read.option("mergeSchema", "true").parquet(path).schema
+    fields = [T.StructField(f.name, T.StringType(), True) if f.name in PARTITION_COLUMNS else f
+              for f in discovered.fields]
+    return spark.read.option("mergeSchema", "true").schema(T.StructType(fields)).parquet(path)
+
+
 def read_snapshots(spark: SparkSession, path: str, snapshot: str = "all") -> DataFrame:
     """Read every load-date snapshot of a table.
 
@@ -91,7 +104,7 @@ def read_snapshots(spark: SparkSession, path: str, snapshot: str = "all") -> Dat
     reference behaviour); ``"latest"`` keeps only the newest load date, which
     Spark prunes to one folder. Partition columns are dropped either way.
     """
-    df = spark.read.option("mergeSchema", "true").parquet(path)
+    df = read_layer(spark, path)
     if snapshot == "latest":
         key = F.concat_ws("-", *PARTITION_COLUMNS)
         newest = df.select(key.alias("_k")).agg(F.max("_k")).scalar()

@@ -455,3 +455,27 @@ def _gold_counts() -> str:
 
 
 ORACLE["gold_export"] = _gold_counts()
+
+
+# ------------------------------------------------------------------ streaming
+
+EVENT_DOC_CTE = """
+SELECT lpad(CAST(t.id_transacao AS VARCHAR), 12, '0') AS evento_id, t.data_transacao AS event_ts, t.id_conta,
+  CAST(t.valor AS DOUBLE) AS valor, t.tipo, t.status, t.canal, e.estado AS estado_origem, t.is_fraude,
+  CAST(t.score_fraude AS DOUBLE) AS score_fraude, t.ip_origem, t.device_id, m.nome AS comerciante, t.descricao
+FROM silver_transacoes t
+LEFT JOIN (SELECT co.id_conta, cl.estado FROM silver_contas co JOIN silver_clientes cl
+           ON co.id_cliente = cl.id_cliente) e ON t.id_conta = e.id_conta
+LEFT JOIN silver_comerciantes m ON t.id_comerciante = m.id_comerciante"""
+_STREAM_TABLES = ["silver_transacoes", "silver_contas", "silver_clientes", "silver_comerciantes"]
+
+ORACLE["stream_parse_events"] = with_ctes(_STREAM_TABLES, "SELECT * FROM evdoc", {"evdoc": EVENT_DOC_CTE})
+ORACLE["keyed_json_records"] = with_ctes(_STREAM_TABLES, """
+SELECT CAST(id_conta AS VARCHAR) AS key, evento_id, strftime(event_ts, '%Y-%m-%dT%H:%M:%S.%f') AS "timestamp",
+  id_conta, valor, tipo, status, canal, estado_origem, is_fraude, score_fraude, ip_origem, device_id, comerciante,
+  descricao FROM evdoc""", {"evdoc": EVENT_DOC_CTE})
+ORACLE["stream_alerts"] = ORACLE["alert_documents"]
+ORACLE["alert_rate"] = _alerts_q("""
+SELECT CAST(COUNT(*) AS BIGINT) AS processadas, CAST(n_alert AS BIGINT) AS alertas,
+  ROUND(n_alert * 100.0 / COUNT(*), 1) AS taxa_alertas_pct
+FROM ev, (SELECT COUNT(DISTINCT evento_id) AS n_alert FROM docs) a GROUP BY n_alert""")

@@ -518,3 +518,55 @@ def q_gold_export_estado(spark, sf_dir):
     medallion.run_gold(spark, root, load_ts=DAY2)
     back = lake.read_snapshots(spark, lake.layer_path(root, "gold", "gold_resumo_fraudes_por_estado"), "latest")
     return back.drop("_gold_timestamp")
+
+
+# ------------------------------------------------------------------ streaming (file source replaying the tables)
+
+def _replay(spark, sf_dir, slices=4):
+    from sentinela.streaming import events as sev
+    root = scratch_path(spark, "stream")
+    sev.write_event_files(sev.events_from_tables(_silver(spark, sf_dir)), f"{root}/in", slices)
+    return root
+
+
+@register("stream_parse_events")
+def q_stream_parse_events(spark, sf_dir):
+    """JSON event stream decoded with a fixed schema."""
+    from sentinela.streaming import events as sev
+    root = _replay(spark, sf_dir)
+    parsed = sev.parse_events(sev.text_source(spark, f"{root}/in", 1))
+    q = (parsed.writeStream.format("parquet").option("checkpointLocation", f"{root}/chk_parse")
+         .trigger(availableNow=True).start(f"{root}/parsed"))
+    q.awaitTermination()
+    return spark.read.parquet(f"{root}/parsed")
+
+
+@register("keyed_json_records")
+def q_keyed_json_records(spark, sf_dir):
+    """Key/value records for a keyed topic: key = account, value = event JSON (K9)."""
+    from sentinela.streaming import events as sev
+    rec = sev.keyed_records(sev.events_from_tables(_silver(spark, sf_dir)))
+    return rec.select("key", F.from_json("value", sev.EVENT_SCHEMA).alias("v")).select("key", "v.*")
+
+
+def _stream_alerts(spark, sf_dir):
+    from sentinela.streaming import alerts as sal
+    from sentinela.streaming import events as sev
+    root = _replay(spark, sf_dir)
+    q = sal.start_alert_stream(sev.text_source(spark, f"{root}/in", 1), f"{root}/out", f"{root}/chk")
+    q.awaitTermination()
+    return sal, root
+
+
+@register("stream_alerts")
+def q_stream_alerts(spark, sf_dir):
+    """Alert documents of the streaming detector, velocity kept in keyed state."""
+    sal, root = _stream_alerts(spark, sf_dir)
+    return rules.flatten_alerts(sal.read_alerts(spark, f"{root}/out"))
+
+
+@register("alert_rate")
+def q_alert_rate(spark, sf_dir):
+    """Processed / alerted counters summed over all micro-batches."""
+    sal, root = _stream_alerts(spark, sf_dir)
+    return sal.alert_rate(spark, f"{root}/out")

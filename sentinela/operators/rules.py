@@ -40,20 +40,20 @@ def _alert(rule: tuple[str, str], descricao: Column) -> Column:
     return F.struct(F.lit(rule[0]).alias("regra"), descricao.alias("descricao"), F.lit(rule[1]).alias("severidade"))
 
 
-def score_alto(score: Column = F.col("score_fraude")) -> Column:
-    return score > LIMITE_SCORE_FRAUDE
+def score_alto(score: Column | None = None) -> Column:
+    return (F.col("score_fraude") if score is None else score) > LIMITE_SCORE_FRAUDE
 
 
-def valor_suspeito(valor: Column = F.col("valor")) -> Column:
-    return valor > LIMITE_VALOR_SUSPEITO
+def valor_suspeito(valor: Column | None = None) -> Column:
+    return (F.col("valor") if valor is None else valor) > LIMITE_VALOR_SUSPEITO
 
 
-def status_suspeita(status: Column = F.col("status")) -> Column:
-    return status == STATUS_SUSPEITA
+def status_suspeita(status: Column | None = None) -> Column:
+    return (F.col("status") if status is None else status) == STATUS_SUSPEITA
 
 
-def velocity(n: Column = F.col("janela_n"), limit: int = MAX_TRANSACOES_JANELA) -> Column:
-    return n > limit
+def velocity(n: Column | None = None, limit: int = MAX_TRANSACOES_JANELA) -> Column:
+    return (F.col("janela_n") if n is None else n) > limit
 
 
 def score_text(score: Column) -> Column:
@@ -81,8 +81,9 @@ def alert_list(with_velocity: bool = True) -> Column:
     return F.array_compact(F.array(*items))
 
 
-def rule_names(alertas: Column = F.col("alertas")) -> Column:
+def rule_names(alertas: Column | None = None) -> Column:
     """``"A | B"`` from an alert list."""
+    alertas = F.col("alertas") if alertas is None else alertas
     return F.array_join(F.transform(alertas, lambda a: a["regra"]), " | ")
 
 

@@ -18,7 +18,7 @@ from sentinela.functions.numeric import dk_round, mean, pct, round_money
 from sentinela.functions.timefn import coerce_timestamp, hour_of_day
 from sentinela.operators import clean, marts, quality, rules
 from sentinela.operators.velocity import trailing_count
-from sentinela.plans.layers import Layers
+from sentinela.plans.layers import layers_for as Layers
 from sentinela.session import scratch_path
 from sentinela.sources import lake, testdata
 
@@ -534,7 +534,7 @@ def q_stream_parse_events(spark, sf_dir):
     """JSON event stream decoded with a fixed schema."""
     from sentinela.streaming import events as sev
     root = _replay(spark, sf_dir)
-    parsed = sev.parse_events(sev.text_source(spark, f"{root}/in", 1))
+    parsed = sev.parse_events(sev.text_source(spark, f"{root}/in"))
     q = (parsed.writeStream.format("parquet").option("checkpointLocation", f"{root}/chk_parse")
          .trigger(availableNow=True).start(f"{root}/parsed"))
     q.awaitTermination()
@@ -549,12 +549,20 @@ def q_keyed_json_records(spark, sf_dir):
     return rec.select("key", F.from_json("value", sev.EVENT_SCHEMA).alias("v")).select("key", "v.*")
 
 
-def _stream_alerts(spark, sf_dir):
+def _stream_alerts(spark, sf_dir, slices=2):
+    """Replay the tables slice by slice; each slice is one ``availableNow`` run.
+
+    Every run after the first restarts the query from its checkpoint, so the
+    velocity state is restored from the state store between slices.
+    """
     from sentinela.streaming import alerts as sal
     from sentinela.streaming import events as sev
-    root = _replay(spark, sf_dir)
-    q = sal.start_alert_stream(sev.text_source(spark, f"{root}/in", 1), f"{root}/out", f"{root}/chk")
-    q.awaitTermination()
+    root = scratch_path(spark, "stream")
+    sliced = sev.event_slices(sev.events_from_tables(_silver(spark, sf_dir)), slices)
+    for s in range(slices):
+        sev.write_slice(sliced, f"{root}/in", s)
+        q = sal.start_alert_stream(sev.text_source(spark, f"{root}/in"), f"{root}/out", f"{root}/chk")
+        q.awaitTermination()
     return sal, root
 
 

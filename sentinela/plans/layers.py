@@ -7,12 +7,35 @@ filters from whichever query finally uses it.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
 from sentinela.operators import clean, marts
 from sentinela.sources import testdata
+from sentinela.sources.constants import categorias_df
+
+
+class LazyTables(Mapping):
+    """Read-only mapping that builds each table's DataFrame on first access.
+
+    A query that touches one table pays for one plan, not five.
+    """
+
+    def __init__(self, factories: dict[str, Callable[[], DataFrame]]):
+        self._factories, self._built = factories, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._factories[name]()
+        return self._built[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._factories)
+
+    def __len__(self) -> int:
+        return len(self._factories)
 
 
 class Layers:
@@ -20,12 +43,20 @@ class Layers:
         self.spark, self.sf_dir, self.layout = spark, sf_dir, layout
 
     @cached_property
-    def bronze(self) -> dict[str, DataFrame]:
-        return testdata.sources(self.spark, self.sf_dir, self.layout).as_dict()
+    def bronze(self) -> Mapping[str, DataFrame]:
+        sp, sf, lay = self.spark, self.sf_dir, self.layout
+        return LazyTables({
+            "clientes": lambda: testdata.clientes(sp, sf),
+            "contas": lambda: testdata.contas(sp, sf, lay),
+            "transacoes": lambda: testdata.transacoes(sp, sf, lay),
+            "comerciantes": lambda: testdata.comerciantes(sp, sf),
+            "categorias_transacao": lambda: categorias_df(sp),
+        })
 
     @cached_property
-    def silver(self) -> dict[str, DataFrame]:
-        return clean.clean_all(self.bronze, with_stamp=False)
+    def silver(self) -> Mapping[str, DataFrame]:
+        b = self.bronze
+        return LazyTables({name: (lambda n=name: clean.CLEANERS[n](b[n], False)) for name in b})
 
     # Gold marts -------------------------------------------------------
     def mart_estado(self) -> DataFrame:
@@ -49,3 +80,18 @@ class Layers:
             "gold_perfil_risco_cliente": self.mart_risco(),
             "gold_resumo_executivo_diario": self.mart_diario(),
         }
+
+
+_CACHE: dict[tuple, Layers] = {}
+
+
+def layers_for(spark: SparkSession, sf_dir: str, layout: str = "events") -> Layers:
+    """Shared lazy layers per (session, folder, layout).
+
+    Like temp views registered once per application, repeated queries reuse
+    the same DataFrame plans instead of re-listing and re-analysing the scans.
+    """
+    key = (spark._jsparkSession.hashCode(), sf_dir.rstrip("/"), layout)
+    if key not in _CACHE:
+        _CACHE[key] = Layers(spark, sf_dir, layout)
+    return _CACHE[key]

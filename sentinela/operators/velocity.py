@@ -7,11 +7,20 @@ order.
 
 A plain ``Window.partitionBy(key)`` would put every event of a key into one
 task, and one key may hold a third of all rows. Instead time is cut into
-buckets of width ``W``: bucket ``b`` holds its own events plus a copy of
-bucket ``b - 1`` (history). Since ``(t - W, t]`` never reaches further back
-than the previous bucket, the window partitioned by ``(key, bucket)`` sees
-every event it needs, each partition holds at most two buckets of one key,
-and the data is copied only once. The result is exact, not sampled.
+sub-buckets of width ``B = W / k``. For an event in sub-bucket ``b`` the
+window spans:
+
+* the tail of sub-bucket ``b - k`` (events after ``t - W``),
+* the whole sub-buckets ``b - k + 1 .. b - 1``,
+* the head of sub-bucket ``b`` (events up to ``t``).
+
+The first and last parts are counted exactly by a range window partitioned
+by ``(key, b)`` over the sub-bucket's own events plus one copy of sub-bucket
+``b - k`` (so data is copied once whatever ``k`` is). The middle part comes
+from a pre-aggregated ``(key, sub-bucket) -> count`` table, summed over the
+``k - 1`` preceding sub-buckets. Each window partition holds two sub-buckets
+of one key, so a hot key is spread over many bounded tasks, and the count is
+exact.
 """
 
 from __future__ import annotations
@@ -22,22 +31,48 @@ from pyspark.sql import functions as F
 from sentinela.functions.timefn import epoch_micros
 
 US_PER_SECOND = 1_000_000
+TARGET_SUB_BUCKET_SECONDS = 60
+
+
+def default_pieces(window_seconds: int) -> int:
+    """Sub-buckets per window: about one per minute, dividing the window exactly."""
+    k = max(1, int(window_seconds) // TARGET_SUB_BUCKET_SECONDS)
+    while (int(window_seconds) * US_PER_SECOND) % k:
+        k -= 1
+    return k
 
 
 def trailing_count(df: DataFrame, key: str, ts_col: str, order_col: str,
-                   window_seconds: int, out_col: str = "janela_n") -> DataFrame:
+                   window_seconds: int, out_col: str = "janela_n", pieces: int | None = None) -> DataFrame:
     w_us = int(window_seconds) * US_PER_SECOND
+    k = pieces or default_pieces(window_seconds)
+    if w_us % k:
+        raise ValueError("pieces must divide the window in whole microseconds")
+    b_us = w_us // k
     us, bucket = "_us", "_bucket"
     own = (df.withColumn(us, epoch_micros(ts_col))
-             .withColumn(bucket, F.floor(F.col(us) / F.lit(w_us)))
+             .withColumn(bucket, F.floor(F.col(us) / F.lit(b_us)))
              .withColumn("_own", F.lit(True)))
-    history = own.select(key, us, order_col, (F.col(bucket) + 1).alias(bucket), F.lit(False).alias("_own"))
+    history = own.select(key, us, order_col, (F.col(bucket) + k).alias(bucket), F.lit(False).alias("_own"))
     both = own.unionByName(history, allowMissingColumns=True)
 
     in_range = Window.partitionBy(key, bucket).orderBy(us).rangeBetween(-(w_us - 1), 0)
     peers = Window.partitionBy(key, bucket, us)
     peer_order = Window.partitionBy(key, bucket, us).orderBy(order_col)
-    counted = both.withColumn(
-        out_col,
-        F.count(F.lit(1)).over(in_range) - F.count(F.lit(1)).over(peers) + F.row_number().over(peer_order))
-    return counted.filter(F.col("_own")).drop(us, bucket, "_own")
+    edges = both.withColumn(
+        "_edges",
+        F.count(F.lit(1)).over(in_range) - F.count(F.lit(1)).over(peers) + F.row_number().over(peer_order)
+    ).filter(F.col("_own"))
+    if k == 1:
+        return edges.withColumn(out_col, F.col("_edges")).drop(us, bucket, "_own", "_edges")
+
+    # Whole sub-buckets strictly inside the window, from per-(key, sub-bucket) counts.
+    per_bucket = own.groupBy(key, bucket).agg(F.count(F.lit(1)).alias("_n"))
+    middle = per_bucket.select(
+        key, bucket,
+        F.coalesce(F.sum("_n").over(Window.partitionBy(key).orderBy(bucket).rangeBetween(-(k - 1), -1)),
+                   F.lit(0)).alias("_mid"))
+    joined = edges.join(middle, (edges[key].eqNullSafe(middle[key])) & (edges[bucket] == middle[bucket]), "left") \
+        .drop(middle[key]).drop(middle[bucket])
+    return joined.withColumn(out_col, F.col("_edges") + F.coalesce(F.col("_mid"), F.lit(0))) \
+        .drop(us, bucket, "_own", "_edges", "_mid")

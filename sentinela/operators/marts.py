@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from sentinela.functions.numeric import dk_round, mean, pct, round_money
 from sentinela.functions.timefn import hour_of_day
+from sentinela.operators.joins import join_dimension
 
 # Risk classes by mean fraud score (strict, first match wins).
 RISK_CLASSES = [(0.7, "CRITICO"), (0.4, "ALTO"), (0.2, "MEDIO")]
@@ -185,9 +186,12 @@ def vw_transacoes_completa(transacoes: DataFrame, contas: DataFrame, clientes: D
                            categorias: DataFrame, comerciantes: DataFrame) -> DataFrame:
     """Denormalised access view: 2 inner joins, 2 left joins, 16 columns.
 
-    Categories are a fixed 14-row table and are broadcast. The other sides
-    are left to Catalyst/AQE, which broadcast them only when their measured
-    size is under ``spark.sql.autoBroadcastJoinThreshold``.
+    Accounts are joined to customers first (account-sized), then looked up
+    from the fact with hot accounts isolated (:func:`join_dimension`).
+    Categories are a fixed 14-row table and are broadcast; merchants are left
+    to Catalyst/AQE, which broadcast them only when their measured size is
+    under ``spark.sql.autoBroadcastJoinThreshold`` and split skewed
+    partitions otherwise.
     """
     t = transacoes.select("id_transacao", "data_transacao", "valor", "tipo", "status", "canal",
                           "is_fraude", "score_fraude", "id_conta", "id_categoria", "id_comerciante")
@@ -197,8 +201,10 @@ def vw_transacoes_completa(transacoes: DataFrame, contas: DataFrame, clientes: D
                          "score_credito")
     cat = F.broadcast(categorias.select("id_categoria", F.col("nome").alias("categoria")))
     com = comerciantes.select("id_comerciante", F.col("nome").alias("comerciante"))
-    return (t.join(co, "id_conta").join(cl, "id_cliente")
-            .join(cat, "id_categoria", "left").join(com, "id_comerciante", "left")
+    account = co.join(cl, "id_cliente")          # one row per account: account-sized join
+    return (join_dimension(t, account, "id_conta")
+            .join(cat, "id_categoria", "left")
+            .join(com, "id_comerciante", "left")
             .select("id_transacao", "data_transacao", "valor", "tipo", "status", "canal", "is_fraude",
                     "score_fraude", "numero_conta", "tipo_conta", "nome_cliente", "cidade_cliente",
                     "estado_cliente", "score_credito", "categoria", "comerciante"))

@@ -121,7 +121,12 @@ def events_from_silver(transacoes: DataFrame) -> DataFrame:
 
 
 def enrich(events: DataFrame, contas: DataFrame, clientes: DataFrame, comerciantes: DataFrame) -> DataFrame:
-    """Attach the customer's state and the merchant name (left joins)."""
+    """Attach the customer's state and the merchant name (left joins).
+
+    Only alerting events reach this join. The input is a windowed result, so
+    a multi-pass hot-key split would recompute it; runtime skew is left to
+    AQE's skew-join split (``spark.sql.adaptive.skewJoin.enabled``).
+    """
     estado = (contas.select("id_conta", "id_cliente")
               .join(clientes.select("id_cliente", F.col("estado").alias("estado_origem")), "id_cliente")
               .drop("id_cliente"))

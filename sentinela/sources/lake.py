@@ -68,6 +68,11 @@ def full_load(source: TableSource, table: str) -> DataFrame:
     return add_audit_columns(source.read(table), table, source.uri)
 
 
+def load_clock(ts) -> Column:
+    """A load time as a zone-free ``timestamp_ntz`` literal (wall clock kept as written)."""
+    return F.lit(ts.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
+
+
 def layer_path(root: str, layer: str, table: str) -> str:
     return f"{root.rstrip('/')}/{layer}/{table}"
 

@@ -558,7 +558,7 @@ def _stream_alerts(spark, sf_dir, slices=2):
     from sentinela.streaming import alerts as sal
     from sentinela.streaming import events as sev
     root = scratch_path(spark, "stream")
-    sliced = sev.event_slices(sev.events_from_tables(_silver(spark, sf_dir)), slices)
+    sliced = sev.stage_slices(sev.events_from_tables(_silver(spark, sf_dir)), f"{root}/staged", slices)
     for s in range(slices):
         sev.write_slice(sliced, f"{root}/in", s)
         q = sal.start_alert_stream(sev.text_source(spark, f"{root}/in"), f"{root}/out", f"{root}/chk")

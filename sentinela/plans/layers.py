@@ -91,7 +91,8 @@ def layers_for(spark: SparkSession, sf_dir: str, layout: str = "events") -> Laye
     Like temp views registered once per application, repeated queries reuse
     the same DataFrame plans instead of re-listing and re-analysing the scans.
     """
-    key = (spark._jsparkSession.hashCode(), sf_dir.rstrip("/"), layout)
-    if key not in _CACHE:
-        _CACHE[key] = Layers(spark, sf_dir, layout)
-    return _CACHE[key]
+    key = (id(spark), sf_dir.rstrip("/"), layout)
+    cached = _CACHE.get(key)
+    if cached is None or cached.spark is not spark:
+        cached = _CACHE[key] = Layers(spark, sf_dir, layout)
+    return cached

@@ -31,6 +31,13 @@ def test_three_rule_alert(spark):
     assert docs[0]["estado"] == "SP" and docs[0]["transacao"]["evento_id"] == "a"
 
 
+def test_score_and_status_alert(spark):
+    df = spark.createDataFrame([event("a", 0, 7, 812.5, "suspeita", 0.8123)], EV_SCHEMA)
+    docs = rules.alert_documents(rules.evaluate(df)).collect()
+    assert [a["regra"] for a in docs[0]["alertas"]] == ["SCORE_FRAUDE_ALTO", "STATUS_SUSPEITA"]
+    assert docs[0]["alertas"][0]["descricao"] == "Score 0.8123 acima do limite 0.65"
+
+
 def test_status_only_and_no_alert(spark):
     df = spark.createDataFrame([event("a", 0, status="suspeita"), event("b", 1, conta=2)], EV_SCHEMA)
     docs = rules.alert_documents(rules.evaluate(df)).collect()

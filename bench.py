@@ -4,6 +4,8 @@ Environment:
   BENCH_SF_DIR  scale-factor folder (default /root/testdata/sf0.1)
   BENCH_CPUS    local cores (default 8)
   BENCH_RUNS    timed warm runs per query, best kept (default 2)
+  BENCH_EVENT_LOG_DIR  if set, Spark's event log is written there (stage/task
+                times: ``python tools/stage_times.py <dir>``)
 
 Each query is executed to completion with the ``noop`` sink (the whole plan
 runs, nothing is collected). The first run of a query is reported as
@@ -42,8 +44,10 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "2"))
     shuffle = max(cpus, 8)
-    spark = build_session(f"local[{cpus}]", app="sentinela-bench", shuffle_partitions=shuffle,
-                          extra={"spark.driver.memory": "16g"})
+    extra = {"spark.driver.memory": "16g"}
+    if os.environ.get("BENCH_EVENT_LOG_DIR"):
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG_DIR"]})
+    spark = build_session(f"local[{cpus}]", app="sentinela-bench", shuffle_partitions=shuffle, extra=extra)
     names = [n for n in (sys.argv[1:] or HEADLINE) if n in QUERIES]
     cold, warm = {}, {}
     for name in names:

@@ -16,6 +16,7 @@ is restored from the checkpoint after a restart or a lost executor.
 
 from __future__ import annotations
 
+import json
 from bisect import bisect_right, insort
 from collections.abc import Iterator
 
@@ -29,9 +30,29 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from sentinela.functions.timefn import epoch_micros
 
 STATE_SCHEMA = T.StructType([T.StructField("tempos", T.ArrayType(T.LongType()))])
+BUFFER_STATE_SCHEMA = T.StructType([T.StructField("tempos", T.ArrayType(T.LongType())),
+                                    T.StructField("pendentes", T.ArrayType(T.StringType()))])
 
 
-def _counter(window_us: int):
+def count_against(history: list[int], us: np.ndarray, window_us: int) -> tuple[np.ndarray, list[int]]:
+    """Trailing counts of ``us`` (sorted) against earlier ``history`` (sorted); returns counts, new history."""
+    if not history or us[0] >= history[-1]:
+        # In-order: one vectorised searchsorted over history + new times.
+        allt = np.concatenate([np.asarray(history, dtype=np.int64), us])
+        pos = np.arange(len(history), len(allt))
+        first_in = np.searchsorted(allt, us - window_us, side="right")
+        return pos - first_in + 1, allt.tolist()
+    # Late events: count against everything that came before, one by one.
+    history = list(history)
+    counts = np.empty(len(us), dtype=np.int64)
+    for i, t in enumerate(us.tolist()):
+        counts[i] = bisect_right(history, t) - bisect_right(history, t - window_us) + 1
+        insort(history, t)
+    return counts, history
+
+
+def _counter(window_us: int, order_col: str, out_cols: list[str]):
+    """Arrival mode: count each event as it arrives (micro-batch order, then time)."""
     def count_group(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
@@ -39,41 +60,83 @@ def _counter(window_us: int):
         pdf = pd.concat(list(batches), ignore_index=True)
         if pdf.empty:
             return
-        pdf = pdf.sort_values(["_us", "evento_id"], kind="stable", ignore_index=True)
+        pdf = pdf.sort_values(["_us", order_col], kind="stable", ignore_index=True)
         history = list(state.get[0]) if state.exists else []
-        us = pdf["_us"].to_numpy(dtype=np.int64)
-        if not history or us[0] >= history[-1]:
-            # In-order arrival: one vectorised searchsorted over history + batch.
-            allt = np.concatenate([np.asarray(history, dtype=np.int64), us])
-            pos = np.arange(len(history), len(allt))
-            first_in = np.searchsorted(allt, us - window_us, side="right")
-            counts = pos - first_in + 1
-            history = allt.tolist()
-        else:
-            # Late events: count against everything that arrived before, one by one.
-            counts = np.empty(len(us), dtype=np.int64)
-            for i, t in enumerate(us.tolist()):
-                counts[i] = bisect_right(history, t) - bisect_right(history, t - window_us) + 1
-                insort(history, t)
+        counts, history = count_against(history, pdf["_us"].to_numpy(dtype=np.int64), window_us)
         newest = max(history)
-        keep = [t for t in history if t > newest - window_us]
-        state.update((keep,))
+        state.update(([t for t in history if t > newest - window_us],))
         state.setTimeoutTimestamp(newest // 1000 + window_us // 1000 + 1)
         pdf["janela_n"] = counts
-        yield pdf.drop(columns=["_us"])
+        yield pdf[out_cols]
+    return count_group
+
+
+def _encode(pdf: pd.DataFrame) -> list[str]:
+    if pdf.empty:
+        return []
+    return [json.dumps(r, ensure_ascii=False) for r in json.loads(pdf.to_json(orient="records", date_unit="us"))]
+
+
+def _decode(docs: list[str], ts_cols: list[str]) -> pd.DataFrame:
+    pdf = pd.DataFrame.from_records([json.loads(d) for d in docs])
+    for c in ts_cols:
+        pdf[c] = pd.to_datetime(pdf[c], unit="us")
+    return pdf
+
+
+def _buffered_counter(window_us: int, order_col: str, out_cols: list[str], ts_cols: list[str]):
+    """Event-time mode: hold events until the watermark passes them, then count in time order.
+
+    Every event not later than the watermark delay gets exactly the batch
+    count; the price is alert latency equal to that delay.
+    """
+    def count_group(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        wm_ms = state.getCurrentWatermarkMs()
+        wm_us = wm_ms * 1000
+        history = list(state.get[0]) if state.exists else []
+        frames = [_decode(list(state.get[1]), ts_cols)] if state.exists and state.get[1] else []
+        if not state.hasTimedOut:
+            frames += [b for b in batches if not b.empty]
+        base_cols = [c for c in out_cols if c != "janela_n"] + ["_us"]
+        pdf = pd.concat(frames, ignore_index=True)[base_cols] if frames else pd.DataFrame(columns=base_cols)
+        ready = pdf[pdf["_us"] <= wm_us].sort_values(["_us", order_col], kind="stable", ignore_index=True)
+        rest = pdf[pdf["_us"] > wm_us]
+        if len(ready):
+            counts, history = count_against(history, ready["_us"].to_numpy(dtype=np.int64), window_us)
+            ready["janela_n"] = counts
+            yield ready[out_cols]
+        history = [t for t in history if t > wm_us - window_us]
+        if rest.empty and not history:
+            state.remove()
+            return
+        state.update((history, _encode(rest)))
+        due = (max(history) + window_us) // 1000 if rest.empty else int(rest["_us"].min()) // 1000
+        state.setTimeoutTimestamp(max(due, wm_ms + 1))
     return count_group
 
 
 def stream_trailing_count(events: DataFrame, key: str = "id_conta", window_seconds: int = 60,
-                          watermark: str = "2 minutes") -> DataFrame:
-    """Add ``janela_n`` to a streaming (or static) event DataFrame using keyed state."""
+                          watermark: str = "2 minutes", mode: str = "arrival",
+                          order_col: str = "evento_id", ts_col: str = "event_ts") -> DataFrame:
+    """Add ``janela_n`` to a streaming event DataFrame using keyed state.
+
+    ``mode="arrival"`` counts an event as soon as it arrives (in-order streams
+    match the batch count exactly); ``mode="event_time"`` waits for the
+    watermark and matches the batch count for every event within the delay.
+    """
     window_us = int(window_seconds) * 1_000_000
-    prepared = (events.withColumn("_us", epoch_micros("event_ts"))
+    prepared = (events.withColumn("_us", epoch_micros(ts_col))
                 .withColumn("_wm", F.timestamp_micros("_us"))
                 .withWatermark("_wm", watermark))
-    out_fields = [f for f in prepared.schema.fields if f.name not in ("_us",)] + \
-        [T.StructField("janela_n", T.LongType())]
-    return (prepared.groupBy(key)
-            .applyInPandasWithState(_counter(window_us), T.StructType(out_fields), STATE_SCHEMA,
-                                    "append", GroupStateTimeout.EventTimeTimeout)
-            .drop("_wm"))
+    out_fields = [f for f in events.schema.fields] + [T.StructField("janela_n", T.LongType())]
+    out_cols = [f.name for f in out_fields if f.name != "janela_n"] + ["janela_n"]
+    if mode == "arrival":
+        fn, state_schema = _counter(window_us, order_col, out_cols), STATE_SCHEMA
+    elif mode == "event_time":
+        ts_cols = [f.name for f in events.schema.fields
+                   if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType))]
+        fn, state_schema = _buffered_counter(window_us, order_col, out_cols, ts_cols), BUFFER_STATE_SCHEMA
+    else:
+        raise ValueError("mode must be 'arrival' or 'event_time'")
+    return prepared.groupBy(key).applyInPandasWithState(
+        fn, T.StructType(out_fields), state_schema, "append", GroupStateTimeout.EventTimeTimeout)

@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sentinela.functions.timefn import epoch_micros
+from sentinela.session import shared_root
 
 US_PER_SECOND = 1_000_000
 TARGET_SUB_BUCKET_SECONDS = 60
@@ -42,8 +43,25 @@ def default_pieces(window_seconds: int) -> int:
     return k
 
 
-def trailing_count(df: DataFrame, key: str, ts_col: str, order_col: str,
-                   window_seconds: int, out_col: str = "janela_n", pieces: int | None = None) -> DataFrame:
+def trailing_count(df: DataFrame, key: str, ts_col: str, order_col: str, window_seconds: int,
+                   out_col: str = "janela_n", pieces: int | None = None, method: str = "bucketed",
+                   max_group_rows: int = 5_000_000) -> DataFrame:
+    """Trailing count per event; see the module notes.
+
+    ``method="bucketed"`` windows over ``(key, sub-bucket)`` partitions;
+    ``method="ranked"`` uses distributed ranks and tolerates any burst;
+    ``method="auto"`` measures the largest ``(key, sub-bucket)`` group first and
+    takes the ranked plan only when it exceeds ``max_group_rows``.
+    """
+    if method == "ranked":
+        return ranked_trailing_count(df, key, ts_col, order_col, window_seconds, out_col)
+    if method == "auto":
+        k = pieces or default_pieces(window_seconds)
+        b_us = int(window_seconds) * US_PER_SECOND // k
+        biggest = (df.groupBy(key, F.floor(epoch_micros(ts_col) / F.lit(b_us)).alias("_b"))
+                   .agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0)
+        method = "ranked" if biggest > max_group_rows else "bucketed"
+        return trailing_count(df, key, ts_col, order_col, window_seconds, out_col, pieces, method)
     w_us = int(window_seconds) * US_PER_SECOND
     k = pieces or default_pieces(window_seconds)
     if w_us % k:
@@ -76,3 +94,45 @@ def trailing_count(df: DataFrame, key: str, ts_col: str, order_col: str,
         .drop(middle[key]).drop(middle[bucket])
     return joined.withColumn(out_col, F.col("_edges") + F.coalesce(F.col("_mid"), F.lit(0))) \
         .drop(us, bucket, "_own", "_edges", "_mid")
+
+
+def ranked_trailing_count(df: DataFrame, key: str, ts_col: str, order_col: str, window_seconds: int,
+                          out_col: str = "janela_n", partitions: int | None = None) -> DataFrame:
+    """Exact trailing count from distributed ranks; no group is ever held by one task.
+
+    ``count(t) = R(t) - L(t)`` where ``R(t)`` is the event's rank within its
+    key in ``(time, order_col)`` order and ``L(t)`` the number of the key's
+    events at or before ``t - W``. Events and one probe per event (at
+    ``t - W``, sorting after events of equal time) are range-partitioned on
+    ``(key, time, kind, order_col)``: range bounds are sampled, so even a
+    single key in a single instant is cut into many partitions. Within a
+    partition a running count gives local ranks; the offset of each
+    ``(partition, key)`` is the number of the key's events in earlier
+    partitions, taken from a table with one row per ``(partition, key)``.
+    ``order_col`` must identify an event within its key.
+    """
+    w_us = int(window_seconds) * US_PER_SECOND
+    n_parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ev = df.withColumn("_us", epoch_micros(ts_col))
+    points = ev.select(key, "_us", F.lit(0).alias("_kind"), order_col).unionByName(
+        ev.select(key, (F.col("_us") - F.lit(w_us)).alias("_us"), F.lit(1).alias("_kind"), order_col))
+    # Range bounds are sampled; checkpointing (reliable, in the shared checkpoint folder)
+    # freezes the partition ids so both uses below, and any recomputation, agree.
+    shared_root(df.sparkSession)
+    ranged = (points.repartitionByRange(n_parts, key, "_us", "_kind", order_col)
+              .withColumn("_pid", F.spark_partition_id())).checkpoint(eager=True)
+    is_event = (F.col("_kind") == 0).cast("long")
+    local = ranged.withColumn("_local", F.sum(is_event).over(
+        Window.partitionBy("_pid", key).orderBy("_us", "_kind", order_col)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    per_part = ranged.groupBy("_pid", key).agg(F.sum(is_event).alias("_n"))
+    offsets = per_part.select(
+        "_pid", key,
+        F.coalesce(F.sum("_n").over(Window.partitionBy(key).orderBy("_pid")
+                                    .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    ranks = local.join(offsets, ["_pid", key]).select(
+        key, order_col, "_kind", (F.col("_off") + F.col("_local")).alias("_rank"))
+    r = ranks.filter("_kind = 0").select(key, order_col, F.col("_rank").alias("_r"))
+    left = ranks.filter("_kind = 1").select(key, order_col, F.col("_rank").alias("_l"))
+    counts = r.join(left, [key, order_col]).select(key, order_col, (F.col("_r") - F.col("_l")).alias(out_col))
+    return ev.drop("_us").join(counts, [key, order_col])

@@ -44,7 +44,7 @@ def default_pieces(window_seconds: int) -> int:
 
 
 def trailing_count(df: DataFrame, key: str, ts_col: str, order_col: str, window_seconds: int,
-                   out_col: str = "janela_n", pieces: int | None = None, method: str = "bucketed",
+                   out_col: str = "janela_n", pieces: int | None = None, method: str = "auto",
                    max_group_rows: int = 5_000_000) -> DataFrame:
     """Trailing count per event; see the module notes.
 

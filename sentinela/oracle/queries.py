@@ -479,3 +479,4 @@ ORACLE["alert_rate"] = _alerts_q("""
 SELECT CAST(COUNT(*) AS BIGINT) AS processadas, CAST(n_alert AS BIGINT) AS alertas,
   ROUND(n_alert * 100.0 / COUNT(*), 1) AS taxa_alertas_pct
 FROM ev, (SELECT COUNT(DISTINCT evento_id) AS n_alert FROM docs) a GROUP BY n_alert""")
+ORACLE["velocity_ranked"] = ORACLE["velocity_trailing"]

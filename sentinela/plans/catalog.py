@@ -578,3 +578,11 @@ def q_alert_rate(spark, sf_dir):
     """Processed / alerted counters summed over all micro-batches."""
     sal, root = _stream_alerts(spark, sf_dir)
     return sal.alert_rate(spark, f"{root}/out")
+
+
+@register("velocity_ranked")
+def q_velocity_ranked(spark, sf_dir):
+    """``velocity_trailing`` through the distributed-rank plan used for bursts."""
+    ev = _events(spark, sf_dir)
+    out = trailing_count(ev, "descricao", "event_ts", "evento_id", 3600, method="ranked")
+    return out.select("evento_id", F.col("descricao").alias("chave"), "janela_n")

@@ -65,7 +65,7 @@ def _counter(window_us: int, order_col: str, out_cols: list[str]):
         counts, history = count_against(history, pdf["_us"].to_numpy(dtype=np.int64), window_us)
         newest = max(history)
         state.update(([t for t in history if t > newest - window_us],))
-        state.setTimeoutTimestamp(newest // 1000 + window_us // 1000 + 1)
+        state.setTimeoutTimestamp(max(newest // 1000 + window_us // 1000 + 1, state.getCurrentWatermarkMs() + 1))
         pdf["janela_n"] = counts
         yield pdf[out_cols]
     return count_group

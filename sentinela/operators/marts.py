@@ -47,7 +47,7 @@ def account_partials(transacoes: DataFrame) -> DataFrame:
     )
 
 
-def _rollup(*keys: str, extra=()) -> list:
+def _rollup(extra=()) -> list:
     s = F.sum
     return [s("n").alias("n"), s("n_fraude").alias("n_fraude"), s("s_valor").alias("s_valor"),
             s("n_valor").alias("n_valor"), s("s_valor_fraude").alias("s_valor_fraude"),

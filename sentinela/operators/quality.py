@@ -87,7 +87,7 @@ REPORT_SCHEMA = T.StructType([
 
 # ---------------------------------------------------------------- metrics
 
-def quality_metrics(table: str, schema: T.StructType | None = None) -> dict[str, Column]:
+def quality_metrics(table: str) -> dict[str, Column]:
     """Aggregate expressions over the *Bronze* rows of ``table``."""
     m: dict[str, Column] = {"total_original": F.count(F.lit(1))}
     if table == "clientes":

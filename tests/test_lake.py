@@ -2,7 +2,6 @@
 
 from datetime import datetime
 
-from pyspark.sql import functions as F
 
 from sentinela.plans import medallion
 from sentinela.session import scratch_path

@@ -3,7 +3,6 @@
 from datetime import datetime, timedelta
 
 import pytest
-from pyspark.sql import functions as F
 
 from sentinela.operators import rules
 from sentinela.operators.velocity import trailing_count

@@ -49,3 +49,16 @@ def test_failure_isolated_per_table(spark):
     manifest = medallion.run_bronze(spark, lake.TableSource(read), root, load_ts=D1)
     assert manifest["total_erro"] == 1 and manifest["total_sucesso"] == 4
     assert [r["erro"] for r in manifest["tabelas"] if r["status"] == "erro"] == ["source down"]
+
+
+def test_silver_report_document_is_a_list(spark):
+    import json
+    import os
+    root = scratch_path(spark, "t-report")
+    src = lake.TableSource(lambda name: testdata.sources(spark, SF).as_dict()[name])
+    medallion.run_bronze(spark, src, root, load_ts=D1)
+    medallion.run_silver(spark, root, load_ts=D2)
+    folder = f"{root.replace('file:', '')}/silver/_relatorio_qualidade_20260605_100000"
+    part = [f for f in os.listdir(folder) if f.startswith("part-")][0]
+    doc = json.loads(open(os.path.join(folder, part), encoding="utf-8").read())
+    assert [r["tabela"] for r in doc] == lake.TABELAS

@@ -21,6 +21,8 @@ PARTITION_COLUMNS = ["ano", "mes", "dia"]
 FONTE = "postgresql://financeiro_source"
 AUDIT_TS, AUDIT_FONTE, AUDIT_TABELA = "_ingestao_timestamp", "_fonte", "_tabela_origem"
 TABELAS = ["clientes", "contas", "comerciantes", "categorias_transacao", "transacoes"]
+# Upper bound on rows per written file (a large task rolls over to a new file).
+MAX_RECORDS_PER_FILE = 20_000_000
 
 
 def add_audit_columns(df: DataFrame, table: str, fonte: str = FONTE) -> DataFrame:
@@ -81,12 +83,14 @@ def write_partitioned(df: DataFrame, path: str, load_ts: Column | None = None) -
     """Write ``df`` under today's (or ``load_ts``'s) ``ano/mes/dia`` partition.
 
     The load date is one value for the whole write, so each task writes into
-    one folder; ``mode("overwrite")`` with dynamic partition overwrite
-    replaces only that folder.
+    one folder (files capped at ``MAX_RECORDS_PER_FILE`` rows);
+    ``mode("overwrite")`` with dynamic partition overwrite replaces only that
+    folder.
     """
     ts = load_ts if load_ts is not None else F.current_timestamp()
     (df.withColumns(dict(zip(PARTITION_COLUMNS, [c for c in partition_columns(ts)])))
        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
        .partitionBy(*PARTITION_COLUMNS).parquet(path))
 
 

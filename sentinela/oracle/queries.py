@@ -415,15 +415,15 @@ ORACLE["rule_names"] = _alerts_q("SELECT evento_id, string_agg(regra, ' | ' ORDE
 # ------------------------------------------------------------------ lake I/O
 
 ORACLE["write_read_roundtrip"] = _q(["silver_transacoes"], """
-SELECT '2026' AS ano, '06' AS mes, '04' AS dia, CAST(COUNT(*) AS BIGINT) AS linhas,
+SELECT '2026' AS ano, '06' AS mes, '04' AS dia, 2 AS _versao, CAST(COUNT(*) AS BIGINT) AS linhas,
   CAST(ROUND(SUM(valor), 2) AS DOUBLE) AS valor_total FROM silver_transacoes
 UNION ALL
-SELECT '2026', '06', '05', CAST(COUNT(*) AS BIGINT), CAST(ROUND(SUM(valor), 2) AS DOUBLE) FROM silver_transacoes""")
+SELECT '2026', '06', '05', 2, CAST(COUNT(*) AS BIGINT), CAST(ROUND(SUM(valor), 2) AS DOUBLE) FROM silver_transacoes""")
 ORACLE["union_snapshots"] = _q(["bronze_clientes"], """
 SELECT *, CAST(NULL AS INTEGER) AS _lote FROM bronze_clientes
 UNION ALL
 SELECT *, 2 AS _lote FROM bronze_clientes""")
-ORACLE["latest_snapshot"] = _q(["bronze_contas"], "SELECT * FROM bronze_contas")
+ORACLE["latest_snapshot"] = _q(["bronze_contas"], "SELECT *, 2 AS _lote FROM bronze_contas")
 
 _MANIFEST_PARTS = [("clientes", "bronze_clientes", 14), ("contas", "bronze_contas", 11),
                    ("comerciantes", "bronze_comerciantes", 9), ("categorias_transacao", "bronze_categorias", 6),

@@ -436,12 +436,12 @@ def q_write_read_roundtrip(spark, sf_dir):
     """Same-day rerun replaces its partition, another day is kept (K2)."""
     path = lake.layer_path(scratch_path(spark, "roundtrip"), "silver", "transacoes")
     t = _silver(spark, sf_dir)["transacoes"]
-    lake.write_partitioned(t.filter(F.col("valor") > 100), path, lake.load_clock(DAY1))
-    lake.write_partitioned(t, path, lake.load_clock(DAY1))      # rerun of day 1: replaces
-    lake.write_partitioned(t, path, lake.load_clock(DAY2))
+    lake.write_partitioned(t.withColumn("_versao", F.lit(1)), path, lake.load_clock(DAY1))
+    lake.write_partitioned(t.withColumn("_versao", F.lit(2)), path, lake.load_clock(DAY1))  # rerun: replaces
+    lake.write_partitioned(t.withColumn("_versao", F.lit(2)), path, lake.load_clock(DAY2))
     back = lake.read_layer(spark, path)
-    return back.groupBy("ano", "mes", "dia").agg(F.count(F.lit(1)).alias("linhas"),
-                                                  round_money(F.sum("valor")).alias("valor_total"))
+    return back.groupBy("ano", "mes", "dia", "_versao").agg(F.count(F.lit(1)).alias("linhas"),
+                                                             round_money(F.sum("valor")).alias("valor_total"))
 
 
 @register("union_snapshots")
@@ -459,8 +459,8 @@ def q_latest_snapshot(spark, sf_dir):
     """Only the newest load date (partition-pruned read)."""
     path = lake.layer_path(scratch_path(spark, "snapshots"), "bronze", "contas")
     b = _bronze(spark, sf_dir)["contas"]
-    lake.write_partitioned(b.filter(F.col("id_conta") % 2 == 0), path, lake.load_clock(DAY1))
-    lake.write_partitioned(b, path, lake.load_clock(DAY2))
+    lake.write_partitioned(b.withColumn("_lote", F.lit(1)), path, lake.load_clock(DAY1))
+    lake.write_partitioned(b.withColumn("_lote", F.lit(2)), path, lake.load_clock(DAY2))
     return lake.read_snapshots(spark, path, "latest")
 
 

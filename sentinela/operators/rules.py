@@ -94,13 +94,26 @@ def evaluate(events: DataFrame, key: str = "id_conta", window_seconds: int = JAN
     return counted.withColumn("alertas", alert_list())
 
 
+ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+
+def _event_struct(evaluated: DataFrame) -> Column:
+    """The event as published: ``timestamp`` as an ISO string, fields in publish order."""
+    fields = []
+    for name in EVENT_FIELDS:
+        if name == "event_ts":
+            fields.append(F.date_format("event_ts", ISO_FORMAT).alias("timestamp"))
+        elif name in evaluated.columns:
+            fields.append(F.col(name))
+    return F.struct(*fields)
+
+
 def alert_documents(evaluated: DataFrame) -> DataFrame:
     """Alert documents for events with at least one rule fired."""
-    fields = [c for c in EVENT_FIELDS if c in evaluated.columns]
     return (evaluated.filter(F.size("alertas") > 0)
             .select(F.current_timestamp().alias("timestamp_alerta"), "evento_id", "id_conta", "valor", "tipo",
                     F.col("estado_origem").alias("estado"), "score_fraude", "alertas",
-                    F.struct(*fields).alias("transacao")))
+                    _event_struct(evaluated).alias("transacao")))
 
 
 def events_from_silver(transacoes: DataFrame) -> DataFrame:

@@ -28,6 +28,8 @@ def test_three_rule_alert(spark):
     assert al[1]["descricao"] == "Transação de R$ 11,632.04 acima do limite"
     assert [a["severidade"] for a in al] == ["ALTA", "MEDIA", "ALTA"]
     assert docs[0]["estado"] == "SP" and docs[0]["transacao"]["evento_id"] == "a"
+    assert docs[0]["transacao"]["timestamp"] == "2026-06-05T16:00:00.000000"
+    assert list(docs[0]["transacao"].asDict())[:3] == ["evento_id", "timestamp", "id_conta"]
 
 
 def test_score_and_status_alert(spark):

@@ -39,9 +39,14 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--checkpoint")
     ap.add_argument("--continuous", action="store_true")
     ap.add_argument("--master", default="local[*]")
+    ap.add_argument("--size-to-input", action="store_true",
+                    help="set shuffle partitions / scan splits from the size of --sf-dir or --root")
     a = ap.parse_args(argv)
 
     spark = build_session(a.master, app=f"sentinela-{a.command}")
+    if a.size_to_input and (a.sf_dir or a.root):
+        from sentinela.session import apply_sized_settings
+        apply_sized_settings(spark, a.sf_dir or a.root)
     from sentinela.plans import medallion
     from sentinela.plans.layers import layers_for
     from sentinela.sources import lake

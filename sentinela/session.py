@@ -44,6 +44,39 @@ def build_session(master: str = "local[8]", app: str = "sentinela",
     return spark
 
 
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Total size of the files below ``path``, from file metadata (no data is read)."""
+    from pyspark.sql import functions as F
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+             .select("length"))
+    return int(files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0])
+
+
+def sized_settings(total_input_bytes: int, target_partition_bytes: int = 200 << 20,
+                   min_partitions: int = 8) -> dict[str, str]:
+    """Shuffle and scan settings for an input of ``total_input_bytes``.
+
+    About one shuffle partition per ``target_partition_bytes`` of input (AQE
+    coalesces downward when a stage shrinks), larger scan splits for large
+    inputs, and an advisory partition size that keeps tasks spill-friendly.
+    """
+    parts = max(min_partitions, -(-total_input_bytes // target_partition_bytes))
+    split = 128 << 20 if total_input_bytes < (1 << 40) else 512 << 20
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+    }
+
+
+def apply_sized_settings(spark: SparkSession, path: str) -> dict[str, str]:
+    """Measure the input below ``path`` and set the sized settings on the session."""
+    conf = sized_settings(input_bytes(spark, path))
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    return conf
+
+
 def _is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
@@ -77,4 +110,5 @@ def local_path(path: str) -> str:
     return path[5:] if path.startswith("file:") else path
 
 
-__all__ = ["build_session", "shared_root", "scratch_path", "local_path", "DEFAULT_CONF"]
+__all__ = ["build_session", "shared_root", "scratch_path", "local_path", "DEFAULT_CONF",
+           "input_bytes", "sized_settings", "apply_sized_settings"]

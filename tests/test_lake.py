@@ -62,3 +62,13 @@ def test_silver_report_document_is_a_list(spark):
     part = [f for f in os.listdir(folder) if f.startswith("part-")][0]
     doc = json.loads(open(os.path.join(folder, part), encoding="utf-8").read())
     assert [r["tabela"] for r in doc] == lake.TABELAS
+
+
+def test_sized_settings(spark):
+    from sentinela.session import input_bytes, sized_settings
+    n = input_bytes(spark, "/root/testdata/sf0.001")
+    assert n > 0
+    assert sized_settings(n)["spark.sql.shuffle.partitions"] == "8"
+    big = sized_settings(100 << 40)
+    assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (200 << 20)
+    assert big["spark.sql.files.maxPartitionBytes"] == str(512 << 20)

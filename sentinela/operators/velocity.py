@@ -102,20 +102,23 @@ def ranked_trailing_count(df: DataFrame, key: str, ts_col: str, order_col: str,
 
     ``count(t) = R(t) - L(t)`` where ``R(t)`` is the event's rank within its
     key in ``(time, order_col)`` order and ``L(t)`` the number of the key's
-    events at or before ``t - W``. Events and one probe per event (at
-    ``t - W``, sorting after events of equal time) are range-partitioned on
-    ``(key, time, kind, order_col)``: range bounds are sampled, so even a
-    single key in a single instant is cut into many partitions. Within a
-    partition a running count gives local ranks; the offset of each
-    ``(partition, key)`` is the number of the key's events in earlier
-    partitions, taken from a table with one row per ``(partition, key)``.
-    ``order_col`` must identify an event within its key.
+    events at or before ``t - W``. The events themselves and one probe per
+    event (at ``t - W``, sorting after events of equal time) are
+    range-partitioned on ``(key, time, kind, order_col)``: range bounds are
+    sampled, so even a single key in a single instant is cut into many
+    partitions. Within a partition a running count gives local ranks; the
+    offset of each ``(partition, key)`` is the number of the key's events in
+    earlier partitions, from a table with one row per ``(partition, key)``.
+    Event rows travel through the sort whole, so repeated ``order_col``
+    values each keep their own row; probes are deduplicated before they are
+    joined back (equal probes see the same ``L``).
     """
     w_us = int(window_seconds) * US_PER_SECOND
     n_parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ev = df.withColumn("_us", epoch_micros(ts_col))
-    points = ev.select(key, "_us", F.lit(0).alias("_kind"), order_col).unionByName(
-        ev.select(key, (F.col("_us") - F.lit(w_us)).alias("_us"), F.lit(1).alias("_kind"), order_col))
+    ev = df.withColumn("_us", epoch_micros(ts_col)).withColumn("_kind", F.lit(0))
+    probes = ev.select(key, order_col, (F.col("_us") - F.lit(w_us)).alias("_us"), F.lit(1).alias("_kind"),
+                       F.col("_us").alias("_te"))
+    points = ev.unionByName(probes, allowMissingColumns=True)
     # Range bounds are sampled; checkpointing (reliable, in the shared checkpoint folder)
     # freezes the partition ids so both uses below, and any recomputation, agree.
     shared_root(df.sparkSession)
@@ -125,14 +128,19 @@ def ranked_trailing_count(df: DataFrame, key: str, ts_col: str, order_col: str,
     local = ranged.withColumn("_local", F.sum(is_event).over(
         Window.partitionBy("_pid", key).orderBy("_us", "_kind", order_col)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    per_part = ranged.groupBy("_pid", key).agg(F.sum(is_event).alias("_n"))
-    offsets = per_part.select(
-        "_pid", key,
+    offsets = ranged.groupBy("_pid", key).agg(F.sum(is_event).alias("_n")).select(
+        F.col("_pid").alias("_opid"), F.col(key).alias("_okey"),
         F.coalesce(F.sum("_n").over(Window.partitionBy(key).orderBy("_pid")
                                     .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    ranks = local.join(offsets, ["_pid", key]).select(
-        key, order_col, "_kind", (F.col("_off") + F.col("_local")).alias("_rank"))
-    r = ranks.filter("_kind = 0").select(key, order_col, F.col("_rank").alias("_r"))
-    left = ranks.filter("_kind = 1").select(key, order_col, F.col("_rank").alias("_l"))
-    counts = r.join(left, [key, order_col]).select(key, order_col, (F.col("_r") - F.col("_l")).alias(out_col))
-    return ev.drop("_us").join(counts, [key, order_col])
+    ranked = (local.join(offsets, (local["_pid"] == offsets["_opid"]) & local[key].eqNullSafe(offsets["_okey"]))
+              .withColumn("_rank", F.col("_off") + F.col("_local")))
+    events = ranked.filter("_kind = 0")
+    lvals = (ranked.filter("_kind = 1")
+             .select(F.col(key).alias("_lkey"), F.col(order_col).alias("_lord"), F.col("_te").alias("_lte"),
+                     F.col("_rank").alias("_l"))
+             .dropDuplicates(["_lkey", "_lord", "_lte"]))
+    joined = events.join(lvals, events[key].eqNullSafe(lvals["_lkey"]) & (events[order_col] == lvals["_lord"])
+                         & (events["_us"] == lvals["_lte"]))
+    return (joined.withColumn(out_col, F.col("_rank") - F.col("_l"))
+            .drop("_us", "_kind", "_te", "_pid", "_local", "_opid", "_okey", "_off", "_rank",
+                  "_lkey", "_lord", "_lte", "_l"))

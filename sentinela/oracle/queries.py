@@ -377,7 +377,7 @@ SELECT evento_id, id_conta, janela_n, janela_n > 5 AS alerta
 FROM (SELECT evento_id, id_conta, {trailing_sql('id_conta', 60)} AS janela_n FROM ev) v""")
 
 
-def alerts_sql(key: str, seconds: int) -> dict:
+def alerts_sql(key: str, seconds: int, sfx: str = "") -> dict:
     """CTEs producing one row per (alerting event, fired rule)."""
     return {
         "counted": f"SELECT *, {trailing_sql(key, seconds)} AS janela_n FROM ev",
@@ -395,14 +395,14 @@ WHERE r.regra IS NOT NULL""",
 SELECT f.*, cl.estado AS estado,
   CAST(ROW_NUMBER() OVER (PARTITION BY f.evento_id ORDER BY f.ordem0) - 1 AS BIGINT) AS ordem
 FROM fired f
-LEFT JOIN (SELECT co.id_conta, cl.estado FROM silver_contas co JOIN silver_clientes cl
-           ON co.id_cliente = cl.id_cliente) cl ON f.id_conta = cl.id_conta""",
+LEFT JOIN (SELECT co.id_conta, cl.estado FROM silver_contas{sfx} co JOIN silver_clientes cl
+           ON co.id_cliente = cl.id_cliente) cl ON f.id_conta = cl.id_conta""".replace("{sfx}", sfx),
     }
 
 
-def _alerts_q(body: str, key: str = "id_conta", seconds: int = 60) -> str:
-    return with_ctes(["silver_transacoes", "silver_contas", "silver_clientes"], body,
-                     {"ev": EVENTS_CTE.format(src="silver_transacoes"), **alerts_sql(key, seconds)})
+def _alerts_q(body: str, key: str = "id_conta", seconds: int = 60, sfx: str = "") -> str:
+    return with_ctes([f"silver_transacoes{sfx}", f"silver_contas{sfx}", "silver_clientes"], body,
+                     {"ev": EVENTS_CTE.format(src=f"silver_transacoes{sfx}"), **alerts_sql(key, seconds, sfx)})
 
 
 ALERT_COLS = "evento_id, id_conta, valor, tipo, estado, score_fraude, ordem, regra, descricao, severidade"
@@ -480,3 +480,7 @@ SELECT CAST(COUNT(*) AS BIGINT) AS processadas, CAST(n_alert AS BIGINT) AS alert
   ROUND(n_alert * 100.0 / COUNT(*), 1) AS taxa_alertas_pct
 FROM ev, (SELECT COUNT(DISTINCT evento_id) AS n_alert FROM docs) a GROUP BY n_alert""")
 ORACLE["velocity_ranked"] = ORACLE["velocity_trailing"]
+
+ORACLE["rule_velocity_multi"] = _events_q(f"""
+SELECT evento_id, id_conta, janela_n, janela_n > 5 AS alerta
+FROM (SELECT evento_id, id_conta, {trailing_sql('id_conta', 60)} AS janela_n FROM ev) v""", "orders")

@@ -586,3 +586,11 @@ def q_velocity_ranked(spark, sf_dir):
     ev = _events(spark, sf_dir)
     out = trailing_count(ev, "descricao", "event_ts", "evento_id", 3600, method="ranked")
     return out.select("evento_id", F.col("descricao").alias("chave"), "janela_n")
+
+
+@register("rule_velocity_multi")
+def q_rule_velocity_multi(spark, sf_dir):
+    """Velocity per account (order) over 60 s on line items: many events share one instant."""
+    ev = _events(spark, sf_dir, "orders")
+    out = trailing_count(ev, "id_conta", "event_ts", "evento_id", rules.JANELA_SEGUNDOS)
+    return out.select("evento_id", "id_conta", "janela_n", rules.velocity().alias("alerta"))

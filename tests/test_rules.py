@@ -92,3 +92,16 @@ def test_rule_names(spark):
     df = spark.createDataFrame([event("a", 0, valor=9000.0, status="suspeita", score=0.9)], EV_SCHEMA)
     ev = rules.evaluate(df)
     assert ev.select(rules.rule_names()).first()[0] == "SCORE_FRAUDE_ALTO | VALOR_SUSPEITO | STATUS_SUSPEITA"
+
+
+@pytest.mark.parametrize("method", ["bucketed", "ranked"])
+def test_velocity_repeated_ids(spark, method):
+    """Repeated event ids at one instant: every row keeps one count; the counts form 1..n."""
+    rows = [event("dup", 0) for _ in range(4)] + [event("x", 0), event("dup", 30), event("y", 61)]
+    df = spark.createDataFrame(rows, EV_SCHEMA)
+    out = trailing_count(df, "id_conta", "event_ts", "evento_id", 60, method=method).collect()
+    assert len(out) == len(rows)
+    at0 = sorted(r["janela_n"] for r in out if r["event_ts"] == T0)
+    assert at0 == [1, 2, 3, 4, 5]
+    by_id = {r["evento_id"]: r["janela_n"] for r in out if r["event_ts"] != T0}
+    assert by_id == {"dup": 6, "y": 2}

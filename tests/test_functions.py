@@ -54,3 +54,14 @@ def test_coerce_timestamp(spark):
 def test_cpf_invalid_counts_null(spark):
     assert one(spark, fn.cpf_invalid, None, "string") is True
     assert one(spark, lambda c: fn.cpf_invalid(fn.digits_only(c)), "123.456.789-00", "string") is False
+
+
+def test_strip_title_match_python_semantics(spark):
+    """Randomised: strip + title case equal ``str.strip().title()`` over Portuguese text."""
+    import random
+    rnd = random.Random(11)
+    alphabet = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZáàâãéêíóôõúçÁÂÃÉÍÓÕÚÇ0123456789 -'.#/\t"
+    samples = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 24))) for _ in range(300)]
+    df = spark.createDataFrame([(s,) for s in samples], "x string")
+    got = [r["y"] for r in df.select(fn.title_case(fn.strip("x")).alias("y")).collect()]
+    assert got == [s.strip().title() for s in samples]

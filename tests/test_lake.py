@@ -35,6 +35,11 @@ def test_medallion_runs(spark):
     assert report["transacoes"]["removidos"] == report["transacoes"]["total_original"] - report["transacoes"]["total_silver"]
     ins = medallion.run_gold(spark, root, load_ts=D2)
     assert len(ins["top_estados"]) == 3 and len(ins["melhor_dia"]) == 1
+    views = medallion.register_views(spark, root)
+    assert "gold_resumo_fraudes_por_estado" in views and "silver_transacoes" in views
+    top = spark.sql("SELECT estado, pct_fraude FROM gold_resumo_fraudes_por_estado "
+                    "ORDER BY pct_fraude DESC, estado LIMIT 3").collect()
+    assert [r["estado"] for r in top] == [r["estado"] for r in ins["top_estados"]]
 
 
 def test_failure_isolated_per_table(spark):

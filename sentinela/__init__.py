@@ -23,7 +23,7 @@ from sentinela.operators.quality import (  # noqa: E402
 )
 from sentinela.operators.rules import alert_documents, batch_alerts, evaluate  # noqa: E402
 from sentinela.operators.velocity import trailing_count  # noqa: E402
-from sentinela.plans.medallion import run_bronze, run_gold, run_silver  # noqa: E402
+from sentinela.plans.medallion import register_views, run_bronze, run_gold, run_silver  # noqa: E402
 
 __all__ = [
     "clean_clientes", "clean_contas", "clean_generic", "clean_transacoes", "drop_audit",
@@ -33,5 +33,5 @@ __all__ = [
     "apply_defaults", "audit_domains", "audit_fk_orphans", "audit_not_null", "audit_unique", "quality_report",
     "quality_row",
     "alert_documents", "batch_alerts", "evaluate", "trailing_count",
-    "run_bronze", "run_gold", "run_silver",
+    "register_views", "run_bronze", "run_gold", "run_silver",
 ]

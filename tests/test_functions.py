@@ -65,3 +65,26 @@ def test_strip_title_match_python_semantics(spark):
     df = spark.createDataFrame([(s,) for s in samples], "x string")
     got = [r["y"] for r in df.select(fn.title_case(fn.strip("x")).alias("y")).collect()]
     assert got == [s.strip().title() for s in samples]
+
+
+def test_dk_round_randomised_against_sql(spark):
+    """Thousands of doubles (ties, near-ties, negatives, large values) at 0/1/2/4 places."""
+    import random
+
+    import pandas as pd
+    rnd = random.Random(5)
+    xs = []
+    for _ in range(1500):
+        k = rnd.randint(-10**6, 10**6)
+        p = rnd.choice([0, 1, 2, 4])
+        xs.append((k + 0.5) / 10**p)                                   # exact or near ties
+        xs.append(rnd.uniform(-1e4, 1e4))
+        xs.append(rnd.randint(0, 10**5) / 100 * rnd.choice([1, 7, 1.005, 1 / 3]))
+    pdf = pd.DataFrame({"i": range(len(xs)), "x": xs})
+    sql = ("SELECT i, ROUND(x, 0) AS r0, ROUND(x, 1) AS r1, ROUND(x, 2) AS r2, ROUND(x, 4) AS r4 "
+           "FROM pdf ORDER BY i")
+    want = [tuple(r[1:]) for r in duckdb.sql(sql).fetchall()]
+    df = spark.createDataFrame(pdf)
+    got = [tuple(r[1:]) for r in df.select("i", *[fn.dk_round("x", p).alias(f"r{p}") for p in (0, 1, 2, 4)])
+           .orderBy("i").collect()]
+    assert got == want

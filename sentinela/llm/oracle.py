@@ -25,7 +25,7 @@ m AS (
 f AS (
     SELECT *, CAST(n_words < 20 AS BIGINT) + 2 * CAST(100 * n_repeat_words > 30 * n_words AS BIGINT)
         + 4 * CAST(10 * n_symbols > n_words AS BIGINT)
-        + 8 * CAST(n_words >= 20 AND 100 * n_dup_lines > 30 * n_lines AS BIGINT)
+        + 8 * CAST(n_dup_lines >= 3 AND 100 * n_dup_lines > 50 * n_lines AS BIGINT)
         + 16 * CAST(n_words >= 20 AND (word_chars < 2 * n_words OR word_chars > 20 * n_words) AS BIGINT)
         + 32 * CAST(n_words >= 20 AND n_letters >= 20 AND 2 * n_upper > n_letters AS BIGINT) AS failed_bits
     FROM m)

@@ -47,7 +47,7 @@ RULES = [
     Rule("few_words", "n_words < 20"),
     Rule("repeated_windows", "100 * n_repeat_words > 30 * n_words"),
     Rule("symbols", "10 * n_symbols > n_words", 2),
-    Rule("duplicate_lines", "n_words >= 20 and 100 * n_dup_lines > 30 * n_lines", 2),
+    Rule("duplicate_lines", "n_dup_lines >= 3 and 100 * n_dup_lines > 50 * n_lines", 2),
     Rule("word_length", "n_words >= 20 and (word_chars < 2 * n_words or word_chars > 20 * n_words)", 2),
     Rule("shouting", "n_words >= 20 and n_letters >= 20 and 2 * n_upper > n_letters", 2),
 ]

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sentinela.llm import chat_format, quality_ledger, url_filter
+import public_tokenizers
+
+from sentinela.llm import byte_bpe, chat_format, packing, quality_ledger, url_filter
 from sentinela.llm.base import read_table
 
 #: The four rules every URL is judged by, then the method's own glob rules.
@@ -49,8 +51,23 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.length("formatted").cast("long").alias("formatted_chars")))
 
 
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    ids = byte_bpe.encode(read_table(spark, sf_dir, "documents"), path)
+    return (byte_bpe.decode(ids, path)
+            .select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                    F.sha2("decoded", 256).alias("decoded_sha256")))
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.pack(read_table(spark, sf_dir, "documents"), path)
+
+
 QUERIES = {
     "op2_quality_rules": op2_quality_rules,
     "op3_url_filter": op3_url_filter,
     "op5_chat_format": op5_chat_format,
+    "op8_byte_bpe": op8_byte_bpe,
+    "op10_packing": op10_packing,
 }

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from sentinela.llm import byte_bpe, chat_format, packing, quality_ledger, url_filter
-from sentinela.llm.base import read_table
+from sentinela.llm import byte_bpe, chat_format, packing, quality_ledger, simhash, url_filter
+from sentinela.llm.base import materialise, read_table
 
 #: The four rules every URL is judged by, then the method's own glob rules.
 CONTRACT_RULES = [
@@ -20,6 +20,15 @@ SPAM_WORDS = ["pills", "casino", "viagra", "porn", "payday", "jackpot"]
 SPAM_RULES = [url_filter.Rule("block", f"*{word}*", "") for word in SPAM_WORDS]
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = materialise(simhash.edits(read_table(spark, sf_dir, "documents")), "simhash")
+    near = lambda c: simhash.likeness(F.col("fingerprint"), F.col(c))
+    return simhash.neighbours(found).select(
+        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+        near("edited_fingerprint").alias("near_edited"), near("next_fingerprint").alias("near_next"),
+        "class_id", "near_docs")
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     book = quality_ledger.ledger(read_table(spark, sf_dir, "documents"))
     base = quality_ledger.policy(1)
@@ -65,6 +74,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_simhash": op1_simhash,
     "op2_quality_rules": op2_quality_rules,
     "op3_url_filter": op3_url_filter,
     "op5_chat_format": op5_chat_format,

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from sentinela.llm import byte_bpe, chat_format, packing, quality_ledger, simhash, url_filter
+from sentinela.llm import (
+    byte_bpe, chat_format, language_id, packing, quality_ledger, simhash, toxicity, url_filter,
+)
 from sentinela.llm.base import materialise, read_table
 
 #: The four rules every URL is judged by, then the method's own glob rules.
@@ -60,6 +62,13 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.length("formatted").cast("long").alias("formatted_chars")))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    samples = language_id.sample(docs.filter(language_id.learnable()))
+    return (language_id.identified(docs.select("doc_id", "text"), samples)
+            .select("doc_id", (~language_id.learnable()).alias("held_out"), "lang_pred", "score"))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     ids = byte_bpe.encode(read_table(spark, sf_dir, "documents"), path)
@@ -68,6 +77,12 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.sha2("decoded", 256).alias("decoded_sha256")))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.score(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", (~toxicity.learnable()).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return packing.pack(read_table(spark, sf_dir, "documents"), path)
@@ -78,6 +93,8 @@ QUERIES = {
     "op2_quality_rules": op2_quality_rules,
     "op3_url_filter": op3_url_filter,
     "op5_chat_format": op5_chat_format,
+    "op7_language_id": op7_language_id,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_toxicity": op9_toxicity,
     "op10_packing": op10_packing,
 }

@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 
 from sentinela.llm.base import map_batches, pieces, strings
 
-#: Pieces kept per cache generation and worker (about 60 MB each).
-CACHE_PIECES = 300_000
+#: Pieces kept per cache generation and worker (about 40 MB each).
+CACHE_PIECES = 200_000
 #: Words sent to the library in one call.
 CALL_WORDS = 20_000
 LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"  # letters in every Unicode version

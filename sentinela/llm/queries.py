@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from sentinela.llm import (
-    byte_bpe, chat_format, language_id, packing, quality_ledger, simhash, toxicity, url_filter,
+    byte_bpe, chat_format, jaccard_join, language_id, packing, quality_ledger, simhash, toxicity, url_filter,
 )
 from sentinela.llm.base import materialise, read_table
 
@@ -62,6 +62,10 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.length("formatted").cast("long").alias("formatted_chars")))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(read_table(spark, sf_dir, "documents"), n=3, percent=90)
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     samples = language_id.sample(docs.filter(language_id.learnable()))
@@ -93,6 +97,7 @@ QUERIES = {
     "op2_quality_rules": op2_quality_rules,
     "op3_url_filter": op3_url_filter,
     "op5_chat_format": op5_chat_format,
+    "op6_jaccard_join": op6_jaccard_join,
     "op7_language_id": op7_language_id,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_toxicity": op9_toxicity,

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from sentinela.llm import (
-    byte_bpe, chat_format, jaccard_join, language_id, packing, quality_ledger, simhash, toxicity, url_filter,
+    byte_bpe, chat_format, jaccard_join, language_id, packing, quality_ledger, simhash, suffix_dedup, toxicity, url_filter,
 )
 from sentinela.llm.base import materialise, read_table
 
@@ -45,6 +45,13 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, CONTRACT_RULES, fallback=SPAM_RULES)
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.dedup(read_table(spark, sf_dir, "documents"), length=400)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda acc, s: acc + s["end"] - s["start"])
+    return found.select("doc_id", "n_bytes", F.coalesce(removed, F.lit(0)).cast("long").alias("n_removed"),
+                        F.coalesce(F.size("spans"), F.lit(0)).cast("long").alias("n_spans"), "kept_sha256")
+
+
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     chats = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = spark.range(2).select(
@@ -96,6 +103,7 @@ QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_quality_rules": op2_quality_rules,
     "op3_url_filter": op3_url_filter,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_chat_format": op5_chat_format,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_language_id": op7_language_id,

@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sentinela.llm.base import map_batches, materialise, pieces, utf8
+from sentinela.llm.base import fresh, map_batches, materialise, pieces, utf8
 from sentinela.llm.components import connected_components
 
 #: Distinct spellings whose hashes a worker keeps.
@@ -267,7 +267,7 @@ def list_pairs(entries: DataFrame, percent: int, parts: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: tuple[list, list, list] = ([], [], [])
         group: list[tuple[int, bytes, bytes]] = []
-        key, is_long = None, False
+        key, last, is_long = None, None, False
 
         def emit(a: bytes, b: bytes | None, shingle: int) -> None:
             out[0].append(a)
@@ -502,5 +502,5 @@ def one_per_group(df: DataFrame, n: int = 5, percent: int = 80, id_col: str = "d
     kept = df.join(heads, id_col, "left_semi")
     # Rows that repeat an id are copies in name; the first by text stands for them.
     first = Window.partitionBy(id_col).orderBy(text_col)
-    mark = "_first_of_id"
+    mark = fresh(df, "_first_of_id")
     return kept.withColumn(mark, F.row_number().over(first)).filter(F.col(mark) == 1).select(*df.columns)

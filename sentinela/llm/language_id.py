@@ -121,6 +121,7 @@ class CrossParser:
         for s, step in enumerate(nexts):
             for c, to in step.items():
                 table[s, c] = to
+        table[0] |= MARK                      # a step from the root begins a phrase
         table[:, PAD] = np.arange(len(nexts))
         return table.ravel()
 
@@ -142,8 +143,7 @@ class CrossParser:
                 step = table[state * self.classes + column]
                 phrases += step >> 30
                 state = step & (MARK - 1)
-            # A block's first phrase begins at the root, without a mark.
-            total = np.add.reduceat(np.append(phrases + 1, 0), first[:-1])[:len(texts)] if len(texts) else 0
+            total = np.add.reduceat(np.append(phrases, 0), first[:-1])[:len(texts)] if len(texts) else 0
             out[:, k] = np.where(blocks > 0, total * bits / np.maximum(lengths, 1), np.inf)
         return out
 

@@ -3,7 +3,8 @@
 For every event at time ``t`` the count covers events of the same key in
 ``(t - W, t]``, the event itself included; events with the same timestamp
 are counted one by one in ``order_col`` order, as if they had arrived in that
-order.
+order. An event without a time lies in no window but its own: its count is 1.
+Events without a key form one key.
 
 A plain ``Window.partitionBy(key)`` would put every event of a key into one
 task, and one key may hold a third of all rows. Instead time is cut into
@@ -14,13 +15,13 @@ window spans:
 * the whole sub-buckets ``b - k + 1 .. b - 1``,
 * the head of sub-bucket ``b`` (events up to ``t``).
 
-The first and last parts are counted exactly by a range window partitioned
-by ``(key, b)`` over the sub-bucket's own events plus one copy of sub-bucket
-``b - k`` (so data is copied once whatever ``k`` is). The middle part comes
-from a pre-aggregated ``(key, sub-bucket) -> count`` table, summed over the
-``k - 1`` preceding sub-buckets. Each window partition holds two sub-buckets
-of one key, so a hot key is spread over many bounded tasks, and the count is
-exact.
+Each event is entered twice into the one shuffle: whole under its own
+sub-bucket, and as a bare time under sub-bucket ``b + k``, whose window reaches
+back to it. The first and last parts are then a range window partitioned by
+``(key, b)``. The middle part comes from a pre-aggregated ``(key, sub-bucket)
+-> count`` table, summed over the ``k - 1`` preceding sub-buckets and entered
+as one more row per partition, so nothing is joined back. A hot key is spread
+over its sub-buckets, and the count is exact.
 """
 
 from __future__ import annotations
@@ -44,56 +45,40 @@ def default_pieces(window_seconds: int) -> int:
 
 
 def trailing_count(df: DataFrame, key: str, ts_col: str, order_col: str, window_seconds: int,
-                   out_col: str = "janela_n", pieces: int | None = None, method: str = "auto",
-                   max_group_rows: int = 5_000_000) -> DataFrame:
-    """Trailing count per event; see the module notes.
-
-    ``method="bucketed"`` windows over ``(key, sub-bucket)`` partitions;
-    ``method="ranked"`` uses distributed ranks and tolerates any burst;
-    ``method="auto"`` measures the largest ``(key, sub-bucket)`` group first and
-    takes the ranked plan only when it exceeds ``max_group_rows``.
-    """
-    if method == "ranked":
-        return ranked_trailing_count(df, key, ts_col, order_col, window_seconds, out_col)
-    if method == "auto":
-        k = pieces or default_pieces(window_seconds)
-        b_us = int(window_seconds) * US_PER_SECOND // k
-        biggest = (df.groupBy(key, F.floor(epoch_micros(ts_col) / F.lit(b_us)).alias("_b"))
-                   .agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0)
-        method = "ranked" if biggest > max_group_rows else "bucketed"
-        return trailing_count(df, key, ts_col, order_col, window_seconds, out_col, pieces, method)
+                   out_col: str = "janela_n", pieces: int | None = None) -> DataFrame:
+    """Trailing count per event; see the module notes."""
     w_us = int(window_seconds) * US_PER_SECOND
     k = pieces or default_pieces(window_seconds)
     if w_us % k:
         raise ValueError("pieces must divide the window in whole microseconds")
     b_us = w_us // k
-    us, bucket = "_us", "_bucket"
-    own = (df.withColumn(us, epoch_micros(ts_col))
-             .withColumn(bucket, F.floor(F.col(us) / F.lit(b_us)))
-             .withColumn("_own", F.lit(True)))
-    history = own.select(key, us, order_col, (F.col(bucket) + k).alias(bucket), F.lit(False).alias("_own"))
-    both = own.unionByName(history, allowMissingColumns=True)
-
-    in_range = Window.partitionBy(key, bucket).orderBy(us).rangeBetween(-(w_us - 1), 0)
-    peers = Window.partitionBy(key, bucket, us)
-    peer_order = Window.partitionBy(key, bucket, us).orderBy(order_col)
-    edges = both.withColumn(
-        "_edges",
-        F.count(F.lit(1)).over(in_range) - F.count(F.lit(1)).over(peers) + F.row_number().over(peer_order)
-    ).filter(F.col("_own"))
-    if k == 1:
-        return edges.withColumn(out_col, F.col("_edges")).drop(us, bucket, "_own", "_edges")
-
-    # Whole sub-buckets strictly inside the window, from per-(key, sub-bucket) counts.
-    per_bucket = own.groupBy(key, bucket).agg(F.count(F.lit(1)).alias("_n"))
-    middle = per_bucket.select(
-        key, bucket,
-        F.coalesce(F.sum("_n").over(Window.partitionBy(key).orderBy(bucket).rangeBetween(-(k - 1), -1)),
-                   F.lit(0)).alias("_mid"))
-    joined = edges.join(middle, (edges[key].eqNullSafe(middle[key])) & (edges[bucket] == middle[bucket]), "left") \
-        .drop(middle[key]).drop(middle[bucket])
-    return joined.withColumn(out_col, F.col("_edges") + F.coalesce(F.col("_mid"), F.lit(0))) \
-        .drop(us, bucket, "_own", "_edges", "_mid")
+    us = epoch_micros(ts_col)
+    narrow = df.select(F.col(key).alias("_k"), us.alias("_us"), F.col(order_col).alias("_o"),
+                       F.struct(*df.columns).alias("_row"))
+    # Rows without a time are spread by their order value; their partition plays no part.
+    bucket = F.coalesce(F.floor(F.col("_us") / F.lit(b_us)), F.xxhash64("_o"))
+    own = F.struct(bucket.alias("_b"), F.lit(True).alias("_own"))
+    later = F.struct((bucket + k).alias("_b"), F.lit(False).alias("_own"))
+    entered = (narrow.select("*", F.explode(F.when(F.col("_us").isNull(), F.array(own))
+                                            .otherwise(F.array(own, later))).alias("_e"))
+               .select("_k", "_us", "_o", F.col("_e._b").alias("_b"),
+                       F.when(F.col("_e._own"), F.col("_row")).alias("_row")))
+    if k > 1:
+        # Whole sub-buckets strictly inside the window, from per-(key, sub-bucket) counts.
+        per_bucket = (df.select(F.col(key).alias("_k"), us.alias("_us")).filter("_us is not null")
+                      .groupBy("_k", F.floor(F.col("_us") / F.lit(b_us)).alias("_b")).agg(F.count("*").alias("_n")))
+        middle = per_bucket.select("_k", "_b", F.sum("_n").over(
+            Window.partitionBy("_k").orderBy("_b").rangeBetween(-(k - 1), -1)).alias("_mid"))
+        entered = entered.unionByName(middle, allowMissingColumns=True)
+    else:
+        entered = entered.withColumn("_mid", F.lit(None).cast("long"))
+    part = Window.partitionBy("_k", "_b")
+    peers = Window.partitionBy("_k", "_b", "_us")
+    n = (F.count("_us").over(part.orderBy("_us").rangeBetween(-(w_us - 1), 0)) - F.count("_us").over(peers)
+         + F.row_number().over(peers.orderBy("_o")) + F.coalesce(F.max("_mid").over(part), F.lit(0)))
+    counted = entered.withColumn("_n", n).filter(F.col("_row").isNotNull())
+    return counted.select("_row.*", F.when(F.col("_us").isNull(), F.lit(1).cast("long"))
+                          .otherwise(F.col("_n")).alias(out_col))
 
 
 def ranked_trailing_count(df: DataFrame, key: str, ts_col: str, order_col: str, window_seconds: int,
@@ -115,7 +100,8 @@ def ranked_trailing_count(df: DataFrame, key: str, ts_col: str, order_col: str,
     """
     w_us = int(window_seconds) * US_PER_SECOND
     n_parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ev = df.withColumn("_us", epoch_micros(ts_col)).withColumn("_kind", F.lit(0))
+    timeless = df.filter(epoch_micros(ts_col).isNull()).withColumn(out_col, F.lit(1).cast("long"))
+    ev = df.withColumn("_us", epoch_micros(ts_col)).filter("_us is not null").withColumn("_kind", F.lit(0))
     probes = ev.select(key, order_col, (F.col("_us") - F.lit(w_us)).alias("_us"), F.lit(1).alias("_kind"),
                        F.col("_us").alias("_te"))
     points = ev.unionByName(probes, allowMissingColumns=True)
@@ -139,8 +125,10 @@ def ranked_trailing_count(df: DataFrame, key: str, ts_col: str, order_col: str,
              .select(F.col(key).alias("_lkey"), F.col(order_col).alias("_lord"), F.col("_te").alias("_lte"),
                      F.col("_rank").alias("_l"))
              .dropDuplicates(["_lkey", "_lord", "_lte"]))
-    joined = events.join(lvals, events[key].eqNullSafe(lvals["_lkey"]) & (events[order_col] == lvals["_lord"])
+    joined = events.join(lvals, events[key].eqNullSafe(lvals["_lkey"])
+                         & events[order_col].eqNullSafe(lvals["_lord"])
                          & (events["_us"] == lvals["_lte"]))
     return (joined.withColumn(out_col, F.col("_rank") - F.col("_l"))
             .drop("_us", "_kind", "_te", "_pid", "_local", "_opid", "_okey", "_off", "_rank",
-                  "_lkey", "_lord", "_lte", "_l"))
+                  "_lkey", "_lord", "_lte", "_l")
+            .unionByName(timeless))

@@ -17,7 +17,7 @@ from sentinela import functions as fn
 from sentinela.functions.numeric import dk_round, mean, pct, round_money
 from sentinela.functions.timefn import coerce_timestamp, hour_of_day
 from sentinela.operators import clean, marts, quality, rules
-from sentinela.operators.velocity import trailing_count
+from sentinela.operators.velocity import ranked_trailing_count, trailing_count
 from sentinela.plans.layers import layers_for as Layers
 from sentinela.session import scratch_path
 from sentinela.sources import lake, testdata
@@ -584,7 +584,7 @@ def q_alert_rate(spark, sf_dir):
 def q_velocity_ranked(spark, sf_dir):
     """``velocity_trailing`` through the distributed-rank plan used for bursts."""
     ev = _events(spark, sf_dir)
-    out = trailing_count(ev, "descricao", "event_ts", "evento_id", 3600, method="ranked")
+    out = ranked_trailing_count(ev, "descricao", "event_ts", "evento_id", 3600)
     return out.select("evento_id", F.col("descricao").alias("chave"), "janela_n")
 
 

@@ -484,3 +484,5 @@ ORACLE["velocity_ranked"] = ORACLE["velocity_trailing"]
 ORACLE["rule_velocity_multi"] = _events_q(f"""
 SELECT evento_id, id_conta, janela_n, janela_n > 5 AS alerta
 FROM (SELECT evento_id, id_conta, {trailing_sql('id_conta', 60)} AS janela_n FROM ev) v""", "orders")
+ORACLE["stream_velocity"] = ORACLE["rule_velocity_multi"]
+ORACLE["stream_alerts_multi"] = _alerts_q(f"SELECT {ALERT_COLS} FROM docs", sfx="_multi")

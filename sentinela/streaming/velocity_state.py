@@ -1,142 +1,150 @@
-"""Velocity rule on a stream: per-account trailing count with keyed state.
-
-``groupBy(key).applyInPandasWithState`` receives, per micro-batch, the new
-events of one account as Arrow batches together with that account's state:
-the event times (microseconds) still inside the trailing window. Each new
-event is counted against the events that arrived before it (state plus the
-earlier events of the batch, in ``(time, evento_id)`` order), so an in-order
-stream gives exactly the batch counts of :func:`trailing_count`.
-
-State is bounded: only times within the window of the newest event are
-kept, and an event-time timeout clears an account that has been silent for a
-whole window once the watermark passes, so idle accounts do not accumulate.
-State lives in the configured state store (RocksDB in ``build_session``) and
-is restored from the checkpoint after a restart or a lost executor.
+"""Velocity state of the stream: the recent events of all accounts, in a written table.
+
+Each micro-batch is counted with the batch plan (:func:`trailing_count`) over
+its own events and the retained history, so a hot account is spread over its
+time sub-buckets like in the stored case, nothing leaves the JVM and no event
+is held in a Python process. The state is two small Parquet tables,
+
+* ``historico``: (account, time, order) of the retained events,
+* ``pendentes``: whole events that wait for the watermark (event-time mode),
+
+each written as a new version per micro-batch. A replayed batch reads the
+version before it and rewrites its own, so a failure never counts twice; older
+versions are removed.
+
+Modes
+-----
+``arrival``     counts on event time, at once: an event sees the retained events
+                in the window before it that arrived earlier.
+``clock``       counts on arrival time: every event of a batch arrives at the
+                batch's clock (an argument, so tests can inject it).
+``event_time``  holds events until the newest event time seen, less the delay,
+                passes them; out-of-order input then gets the batch counts.
+
+No mode drops an event. One that is late, or has no time, is evaluated at once:
+late ones against the history still retained (``retention`` behind the newest
+event time), those without a time with a count of 1.
 """
 
 from __future__ import annotations
 
-import json
-from bisect import bisect_right, insort
-from collections.abc import Iterator
+from collections.abc import Callable
+from dataclasses import dataclass
+from datetime import datetime, timezone
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from sentinela.functions.timefn import epoch_micros
-
-STATE_SCHEMA = T.StructType([T.StructField("tempos", T.ArrayType(T.LongType()))])
-BUFFER_STATE_SCHEMA = T.StructType([T.StructField("tempos", T.ArrayType(T.LongType())),
-                                    T.StructField("pendentes", T.ArrayType(T.StringType()))])
-
-
-def count_against(history: list[int], us: np.ndarray, window_us: int) -> tuple[np.ndarray, list[int]]:
-    """Trailing counts of ``us`` (sorted) against earlier ``history`` (sorted); returns counts, new history."""
-    if not history or us[0] >= history[-1]:
-        # In-order: one vectorised searchsorted over history + new times.
-        allt = np.concatenate([np.asarray(history, dtype=np.int64), us])
-        pos = np.arange(len(history), len(allt))
-        first_in = np.searchsorted(allt, us - window_us, side="right")
-        return pos - first_in + 1, allt.tolist()
-    # Late events: count against everything that came before, one by one.
-    history = list(history)
-    counts = np.empty(len(us), dtype=np.int64)
-    for i, t in enumerate(us.tolist()):
-        counts[i] = bisect_right(history, t) - bisect_right(history, t - window_us) + 1
-        insort(history, t)
-    return counts, history
-
-
-def _counter(window_us: int, order_col: str, out_cols: list[str]):
-    """Arrival mode: count each event as it arrives (micro-batch order, then time)."""
-    def count_group(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        pdf = pd.concat(list(batches), ignore_index=True)
-        if pdf.empty:
-            return
-        pdf = pdf.sort_values(["_us", order_col], kind="stable", ignore_index=True)
-        history = list(state.get[0]) if state.exists else []
-        counts, history = count_against(history, pdf["_us"].to_numpy(dtype=np.int64), window_us)
-        newest = max(history)
-        state.update(([t for t in history if t > newest - window_us],))
-        state.setTimeoutTimestamp(max(newest // 1000 + window_us // 1000 + 1, state.getCurrentWatermarkMs() + 1))
-        pdf["janela_n"] = counts
-        yield pdf[out_cols]
-    return count_group
-
-
-def _encode(pdf: pd.DataFrame) -> list[str]:
-    if pdf.empty:
-        return []
-    return [json.dumps(r, ensure_ascii=False) for r in json.loads(pdf.to_json(orient="records", date_unit="us"))]
-
-
-def _decode(docs: list[str], ts_cols: list[str]) -> pd.DataFrame:
-    pdf = pd.DataFrame.from_records([json.loads(d) for d in docs])
-    for c in ts_cols:
-        pdf[c] = pd.to_datetime(pdf[c], unit="us")
-    return pdf
-
-
-def _buffered_counter(window_us: int, order_col: str, out_cols: list[str], ts_cols: list[str]):
-    """Event-time mode: hold events until the watermark passes them, then count in time order.
-
-    Every event not later than the watermark delay gets exactly the batch
-    count; the price is alert latency equal to that delay.
-    """
-    def count_group(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        wm_ms = state.getCurrentWatermarkMs()
-        wm_us = wm_ms * 1000
-        history = list(state.get[0]) if state.exists else []
-        frames = [_decode(list(state.get[1]), ts_cols)] if state.exists and state.get[1] else []
-        if not state.hasTimedOut:
-            frames += [b for b in batches if not b.empty]
-        base_cols = [c for c in out_cols if c != "janela_n"] + ["_us"]
-        pdf = pd.concat(frames, ignore_index=True)[base_cols] if frames else pd.DataFrame(columns=base_cols)
-        ready = pdf[pdf["_us"] <= wm_us].sort_values(["_us", order_col], kind="stable", ignore_index=True)
-        rest = pdf[pdf["_us"] > wm_us]
-        if len(ready):
-            counts, history = count_against(history, ready["_us"].to_numpy(dtype=np.int64), window_us)
-            ready["janela_n"] = counts
-            yield ready[out_cols]
-        history = [t for t in history if t > wm_us - window_us]
-        if rest.empty and not history:
-            state.remove()
-            return
-        state.update((history, _encode(rest)))
-        due = (max(history) + window_us) // 1000 if rest.empty else int(rest["_us"].min()) // 1000
-        state.setTimeoutTimestamp(max(due, wm_ms + 1))
-    return count_group
-
-
-def stream_trailing_count(events: DataFrame, key: str = "id_conta", window_seconds: int = 60,
-                          watermark: str = "2 minutes", mode: str = "arrival",
-                          order_col: str = "evento_id", ts_col: str = "event_ts") -> DataFrame:
-    """Add ``janela_n`` to a streaming event DataFrame using keyed state.
-
-    ``mode="arrival"`` counts an event as soon as it arrives (in-order streams
-    match the batch count exactly); ``mode="event_time"`` waits for the
-    watermark and matches the batch count for every event within the delay.
-    """
-    window_us = int(window_seconds) * 1_000_000
-    prepared = (events.withColumn("_us", epoch_micros(ts_col))
-                .withColumn("_wm", F.timestamp_micros("_us"))
-                .withWatermark("_wm", watermark))
-    out_fields = [f for f in events.schema.fields] + [T.StructField("janela_n", T.LongType())]
-    out_cols = [f.name for f in out_fields if f.name != "janela_n"] + ["janela_n"]
-    if mode == "arrival":
-        fn, state_schema = _counter(window_us, order_col, out_cols), STATE_SCHEMA
-    elif mode == "event_time":
-        ts_cols = [f.name for f in events.schema.fields
-                   if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType))]
-        fn, state_schema = _buffered_counter(window_us, order_col, out_cols, ts_cols), BUFFER_STATE_SCHEMA
-    else:
-        raise ValueError("mode must be 'arrival' or 'event_time'")
-    return prepared.groupBy(key).applyInPandasWithState(
-        fn, T.StructType(out_fields), state_schema, "append", GroupStateTimeout.EventTimeTimeout)
+from sentinela.operators.velocity import trailing_count
+from sentinela.sources import folders
+
+MODES = ("arrival", "clock", "event_time")
+US = 1_000_000
+KEPT_VERSIONS = 2
+
+
+def utc_now() -> datetime:
+    return datetime.now(timezone.utc).replace(tzinfo=None)
+
+
+class Versions:
+    """A table with one folder per micro-batch; a batch reads the newest one before it."""
+
+    def __init__(self, spark: SparkSession, root: str, schema: T.StructType):
+        self.spark, self.root, self.schema = spark, root, schema
+
+    def _numbers(self) -> list[int]:
+        return sorted(int(n.split("=")[1]) for n in folders.children(self.spark, self.root) if n.startswith("versao="))
+
+    def before(self, batch_id: int) -> DataFrame:
+        older = [n for n in self._numbers() if n < batch_id]
+        if not older:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(f"{self.root}/versao={older[-1]}")
+
+    def write(self, df: DataFrame, batch_id: int) -> None:
+        df.select(*self.schema.names).write.mode("overwrite").parquet(f"{self.root}/versao={batch_id}")
+        for n in [n for n in self._numbers() if n <= batch_id][:-KEPT_VERSIONS]:
+            folders.remove(self.spark, f"{self.root}/versao={n}")
+
+
+@dataclass
+class VelocityState:
+    """Counts micro-batches against the retained history below ``root``."""
+
+    spark: SparkSession
+    root: str
+    key: str = "id_conta"
+    window_seconds: int = 60
+    mode: str = "arrival"
+    delay_seconds: int = 120
+    retention_seconds: int = 3600
+    order_col: str = "evento_id"
+    ts_col: str = "event_ts"
+    clock: Callable[[], datetime] = utc_now
+
+    def __post_init__(self):
+        if self.mode not in MODES:
+            raise ValueError(f"mode must be one of {MODES}")
+
+    def _history(self, events: T.StructType) -> Versions:
+        key = T.StructField(self.key, events[self.key].dataType)
+        schema = T.StructType([key, T.StructField("_us", T.LongType()), T.StructField("_ordem", T.StringType())])
+        return Versions(self.spark, f"{self.root}/historico", schema)
+
+    def _pending(self, events: T.StructType) -> Versions:
+        return Versions(self.spark, f"{self.root}/pendentes", events)
+
+    def count(self, batch: DataFrame, batch_id: int, drain: bool = False) -> DataFrame:
+        """The events that are due now, each once, with ``janela_n``. Writes the state after ``batch_id``.
+
+        ``drain`` makes every waiting event due (the end of a finite input).
+        """
+        history, pending = self._history(batch.schema), self._pending(batch.schema)
+        before = history.before(batch_id)
+        if self.mode == "clock":
+            arrived = int(self.clock().replace(tzinfo=timezone.utc).timestamp() * US)
+            timed = batch.withColumn("_us", F.lit(arrived).cast("long"))
+        else:
+            timed = batch.withColumn("_us", epoch_micros(self.ts_col))
+        if self.mode == "event_time":
+            held = pending.before(batch_id).withColumn("_us", epoch_micros(self.ts_col))
+            known = timed.unionByName(held)
+            newest = self._newest(known, before)
+            due_until = None if newest is None else newest - self.delay_seconds * US
+            if drain or due_until is None:
+                due, rest = known, known.limit(0)
+            else:
+                waits = F.col("_us").isNotNull() & (F.col("_us") > due_until)
+                due, rest = known.filter(~waits), known.filter(waits)
+            pending.write(rest, batch_id)
+        else:
+            due, newest = timed, self._newest(timed, before)
+        counted = self._counted(due, before)
+        self._retain(due, before, newest, batch_id, history)
+        return counted
+
+    def _newest(self, events: DataFrame, before: DataFrame) -> int | None:
+        """Newest known time; history and waiting events remember it between batches."""
+        times = events.select("_us").unionByName(before.select("_us"))
+        return times.agg(F.max("_us")).first()[0]
+
+    def _counted(self, due: DataFrame, before: DataFrame) -> DataFrame:
+        # At one instant the history comes first, then the batch in event order.
+        own = due.withColumns({"_t": F.timestamp_micros("_us"), "_antes": F.lit(False),
+                               "_seq": F.struct(F.lit(1).alias("lote"), F.col(self.order_col).cast("string").alias("id"))})
+        past = before.select(F.col(self.key), F.timestamp_micros("_us").alias("_t"), F.lit(True).alias("_antes"),
+                             F.struct(F.lit(0).alias("lote"), F.col("_ordem").alias("id")).alias("_seq"))
+        both = own.unionByName(past, allowMissingColumns=True)
+        counted = trailing_count(both, self.key, "_t", "_seq", self.window_seconds)
+        return counted.filter(~F.col("_antes")).drop("_us", "_t", "_antes", "_seq")
+
+    def _retain(self, due: DataFrame, before: DataFrame, newest: int | None, batch_id: int, history: Versions) -> None:
+        span = self.window_seconds if self.mode == "clock" else max(self.retention_seconds, self.window_seconds)
+        seen = (due.select(self.key, "_us", F.col(self.order_col).cast("string").alias("_ordem"))
+                .filter("_us is not null").unionByName(before))
+        if newest is not None:
+            seen = seen.filter(F.col("_us") > newest - span * US - (self.delay_seconds * US if self.mode == "event_time" else 0))
+        history.write(seen, batch_id)

@@ -13,7 +13,7 @@ __version__ = "0.1.0"
 from sentinela.operators.clean import (  # noqa: E402
     clean_clientes, clean_contas, clean_generic, clean_transacoes, drop_audit,
 )
-from sentinela.operators.joins import join_dimension  # noqa: E402
+from sentinela.operators.joins import left_lookup  # noqa: E402
 from sentinela.operators.marts import (  # noqa: E402
     gold_diario, gold_fraude_estado, gold_perfil_risco, gold_por_hora, insight_criticos, insight_hora_risco,
     insight_melhor_dia, insight_top_estados, vw_transacoes_completa,
@@ -27,7 +27,7 @@ from sentinela.plans.medallion import register_views, run_bronze, run_gold, run_
 
 __all__ = [
     "clean_clientes", "clean_contas", "clean_generic", "clean_transacoes", "drop_audit",
-    "join_dimension",
+    "left_lookup",
     "gold_diario", "gold_fraude_estado", "gold_perfil_risco", "gold_por_hora", "insight_criticos",
     "insight_hora_risco", "insight_melhor_dia", "insight_top_estados", "vw_transacoes_completa",
     "apply_defaults", "audit_domains", "audit_fk_orphans", "audit_not_null", "audit_unique", "quality_report",

@@ -48,10 +48,10 @@ def main(argv: list[str] | None = None) -> None:
         from sentinela.session import apply_sized_settings
         apply_sized_settings(spark, a.sf_dir or a.root)
     from sentinela.plans import medallion
-    from sentinela.plans.layers import layers_for
+    from sentinela.plans.layers import Layers
     from sentinela.sources import lake
     if a.command == "bronze":
-        bronze = layers_for(spark, a.sf_dir, a.layout).bronze
+        bronze = Layers(spark, a.sf_dir, a.layout).bronze
         print(json.dumps(medallion.run_bronze(spark, lake.TableSource(lambda t: bronze[t]), _root(spark, a.root)),
                          ensure_ascii=False, indent=2, default=str))
     elif a.command == "silver":
@@ -62,7 +62,7 @@ def main(argv: list[str] | None = None) -> None:
                          ensure_ascii=False, indent=2, default=str))
     elif a.command == "replay":
         from sentinela.streaming import events as sev
-        silver = layers_for(spark, a.sf_dir, a.layout).silver
+        silver = Layers(spark, a.sf_dir, a.layout).silver
         print(json.dumps(sev.write_event_files(sev.events_from_tables(silver), a.out, a.slices)))
     else:
         from sentinela.streaming import alerts as sal

@@ -105,7 +105,3 @@ CLEANERS = {
     "comerciantes": clean_generic,
     "categorias_transacao": clean_generic,
 }
-
-
-def clean_all(bronze: dict[str, DataFrame], with_stamp: bool = True) -> dict[str, DataFrame]:
-    return {name: CLEANERS[name](df, with_stamp) for name, df in bronze.items()}

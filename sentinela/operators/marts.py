@@ -17,12 +17,12 @@ sums and counts and rounded with :func:`dk_round`.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sentinela.functions.numeric import dk_round, mean, pct, round_money
 from sentinela.functions.timefn import hour_of_day
-from sentinela.operators.joins import join_dimension
+from sentinela.operators.joins import left_lookup
 
 # Risk classes by mean fraud score (strict, first match wins).
 RISK_CLASSES = [(0.7, "CRITICO"), (0.4, "ALTO"), (0.2, "MEDIO")]
@@ -77,13 +77,7 @@ def gold_fraude_estado(transacoes: DataFrame, contas: DataFrame, clientes: DataF
 def gold_por_hora(transacoes: DataFrame) -> DataFrame:
     """Mart 2: activity per hour of day (only hours that occur)."""
     c = F.col
-    key = hour_of_day("data_transacao")
-    g = transacoes.groupBy(key.alias("hora_dia")).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(c("is_fraude")).alias("n_fraude"),
-        F.sum("valor").alias("s_valor"),
-        F.count("valor").alias("n_valor"),
-    ).join(distinct_accounts(transacoes, key, "hora_dia"), "hora_dia", "left")
+    g = per_account_then(transacoes, hour_of_day("data_transacao"), "hora_dia", {"n_fraude": c("is_fraude")})
     return g.select(
         "hora_dia",
         c("n").cast("bigint").alias("total_transacoes"),
@@ -95,17 +89,17 @@ def gold_por_hora(transacoes: DataFrame) -> DataFrame:
     )
 
 
-def distinct_accounts(transacoes: DataFrame, key, name: str) -> DataFrame:
-    """Exact ``COUNT(DISTINCT id_conta)`` per group from a keys-only shuffle.
+def per_account_then(transacoes: DataFrame, key: Column, name: str, counts: dict[str, Column]) -> DataFrame:
+    """Additive measures and the exact number of accounts per group, from one scan of the fact.
 
-    The (group, account) pairs are deduplicated with a partial aggregate that
-    carries no aggregate buffers, then counted per group. Joined back to the
-    other aggregates (one row per group on both sides), this moves far less
-    data than the single-pass distinct plan, whose first shuffle carries every
-    partial aggregate for every (group, account) pair.
+    The fact is reduced to one row per (group, account) with a map-side partial
+    aggregate, then to one row per group; the accounts of a group are its rows.
     """
-    pairs = transacoes.select(key.alias(name), "id_conta").distinct()
-    return pairs.groupBy(name).agg(F.count("id_conta").alias("contas_ativas"))
+    first = transacoes.groupBy(key.alias(name), "id_conta").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("valor").alias("s_valor"), F.count("valor").alias("n_valor"),
+        *[F.count_if(cond).alias(k) for k, cond in counts.items()])
+    return first.groupBy(name).agg(
+        *[F.sum(k).alias(k) for k in ("n", "s_valor", "n_valor", *counts)], F.count("id_conta").alias("contas_ativas"))
 
 
 def risk_score(mean_score, n_fraude, n_fora):
@@ -151,25 +145,10 @@ def gold_perfil_risco(transacoes: DataFrame, contas: DataFrame, clientes: DataFr
 def gold_diario(transacoes: DataFrame) -> DataFrame:
     """Mart 4: daily KPIs."""
     c = F.col
-
-    def n_if(cond):
-        return F.count_if(cond)
-
-    key = F.to_date("data_transacao")
-    g = transacoes.groupBy(key.alias("data")).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum("valor").alias("s_valor"),
-        F.count("valor").alias("n_valor"),
-        n_if(c("is_fraude")).alias("n_fraude"),
-        n_if(c("status") == "aprovada").alias("aprovadas"),
-        n_if(c("status") == "negada").alias("negadas"),
-        n_if(c("status") == "cancelada").alias("canceladas"),
-        n_if(c("status") == "suspeita").alias("suspeitas"),
-        n_if(c("canal") == "app").alias("via_app"),
-        n_if(c("canal") == "web").alias("via_web"),
-        n_if(c("canal") == "pos").alias("via_pos"),
-    ).join(distinct_accounts(transacoes, key, "data"), "data", "left")
-    counts = ["aprovadas", "negadas", "canceladas", "suspeitas", "via_app", "via_web", "via_pos"]
+    status = {"aprovadas": "aprovada", "negadas": "negada", "canceladas": "cancelada", "suspeitas": "suspeita"}
+    canal = {"via_app": "app", "via_web": "web", "via_pos": "pos"}
+    counts = {**{k: c("status") == v for k, v in status.items()}, **{k: c("canal") == v for k, v in canal.items()}}
+    g = per_account_then(transacoes, F.to_date("data_transacao"), "data", {"n_fraude": c("is_fraude"), **counts})
     return g.select(
         "data",
         c("n").cast("bigint").alias("total_transacoes"),
@@ -187,11 +166,11 @@ def vw_transacoes_completa(transacoes: DataFrame, contas: DataFrame, clientes: D
     """Denormalised access view: 2 inner joins, 2 left joins, 16 columns.
 
     Accounts are joined to customers first (account-sized), then looked up
-    from the fact with hot accounts isolated (:func:`join_dimension`).
-    Categories are a fixed 14-row table and are broadcast; merchants are left
-    to Catalyst/AQE, which broadcast them only when their measured size is
-    under ``spark.sql.autoBroadcastJoinThreshold`` and split skewed
-    partitions otherwise.
+    from the fact, which is scanned once. Categories are a fixed 14-row table
+    and are broadcast; accounts and merchants are left to Catalyst/AQE, which
+    broadcast them only when their measured size is under
+    ``spark.sql.autoBroadcastJoinThreshold`` and split skewed partitions
+    otherwise. Rows without a merchant stay spread out.
     """
     t = transacoes.select("id_transacao", "data_transacao", "valor", "tipo", "status", "canal",
                           "is_fraude", "score_fraude", "id_conta", "id_categoria", "id_comerciante")
@@ -202,9 +181,8 @@ def vw_transacoes_completa(transacoes: DataFrame, contas: DataFrame, clientes: D
     cat = F.broadcast(categorias.select("id_categoria", F.col("nome").alias("categoria")))
     com = comerciantes.select("id_comerciante", F.col("nome").alias("comerciante"))
     account = co.join(cl, "id_cliente")          # one row per account: account-sized join
-    return (join_dimension(t, account, "id_conta")
-            .join(cat, "id_categoria", "left")
-            .join(com, "id_comerciante", "left")
+    held = t.join(account, "id_conta").join(cat, "id_categoria", "left")
+    return (left_lookup(held, com, "id_comerciante", "id_transacao")
             .select("id_transacao", "data_transacao", "valor", "tipo", "status", "canal", "is_fraude",
                     "score_fraude", "numero_conta", "tipo_conta", "nome_cliente", "cidade_cliente",
                     "estado_cliente", "score_credito", "categoria", "comerciante"))
@@ -238,7 +216,7 @@ def insight_melhor_dia(mart4: DataFrame) -> DataFrame:
 
 
 def ordered(name: str, mart: DataFrame) -> DataFrame:
-    """Presentation order of each mart (applied at read time, L1)."""
+    """Presentation order of each mart (L1); used by the Gold export and the views."""
     order = {
         "gold_resumo_fraudes_por_estado": [F.desc("pct_fraude"), F.asc("estado")],
         "gold_transacoes_por_hora": [F.asc("hora_dia")],

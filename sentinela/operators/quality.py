@@ -41,6 +41,7 @@ DOMAINS = {
         "canal": ["app", "web", "pos", "atm", "agencia"],
     },
 }
+# Value ranges, NOT NULL, UNIQUE and foreign-key columns, and column defaults of the source schema.
 RANGES = {
     "clientes": {"score_credito": (0, 1000)},
     "transacoes": {"score_fraude": (0, 1)},
@@ -202,36 +203,49 @@ def apply_defaults(df: DataFrame, table: str) -> DataFrame:
     return df.withColumns(fills)
 
 
+def _unpivot(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """(name, k): the non-NULL values of several columns from one scan; ``columns`` maps name -> column."""
+    each = F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.col(c).cast("string").alias("k"))
+                               for n, c in columns.items()]))
+    return df.select(each.alias("e")).select("e.name", "e.k").filter(F.col("k").isNotNull())
+
+
+def _per_name(found: DataFrame, names: list[str], keys: str, rows: str) -> DataFrame:
+    """Keys and rows counted per name; names without any get zeros."""
+    every = found.sparkSession.range(1).select(F.explode(F.array(*[F.lit(n) for n in names])).alias("name"))
+    counts = found.groupBy("name").agg(F.count(F.lit(1)).alias(keys), F.sum("n").alias(rows))
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
+    return every.join(counts, "name", "left").select("name", zero(keys), zero(rows))
+
+
 def audit_unique(tables: dict[str, DataFrame]) -> DataFrame:
-    """Duplicate keys per unique column: keys seen more than once and their rows."""
+    """Duplicate keys per unique column: keys seen more than once and their rows. One scan per table."""
     parts = []
     for table, df in tables.items():
-        for col in UNIQUE.get(table, []):
-            dup = (df.select(col).filter(F.col(col).isNotNull())
-                   .groupBy(col).agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
-            parts.append(dup.agg(F.count(F.lit(1)).cast("bigint").alias("chaves_duplicadas"),
-                                 F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("linhas_duplicadas"))
-                         .select(F.lit(table).alias("tabela"), F.lit(col).alias("coluna"),
-                                 "chaves_duplicadas", "linhas_duplicadas"))
+        columns = {c: c for c in UNIQUE.get(table, [])}
+        if not columns:
+            continue
+        dup = _unpivot(df, columns).groupBy("name", "k").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+        parts.append(_per_name(dup, list(columns), "chaves_duplicadas", "linhas_duplicadas")
+                     .select(F.lit(table).alias("tabela"), F.col("name").alias("coluna"),
+                             "chaves_duplicadas", "linhas_duplicadas"))
     return reduce(DataFrame.unionByName, parts)
 
 
 def audit_fk_orphans(tables: dict[str, DataFrame]) -> DataFrame:
-    """Child rows whose non-NULL reference has no parent row (anti join).
+    """Child rows whose non-NULL reference has no parent row (anti join). One scan per child table.
 
-    The child side is reduced to (key, rows) first, so the anti join sees one
-    row per distinct key and a hot key cannot skew it.
+    The child side is reduced to (relation, key, rows) first, so the anti join
+    sees one row per distinct key and a hot key cannot skew it.
     """
     parts = []
-    for child, ccol, parent, pcol in FOREIGN_KEYS:
-        if child not in tables or parent not in tables:
-            continue
-        keys = (tables[child].select(F.col(ccol).alias("k")).filter(F.col("k").isNotNull())
-                .groupBy("k").agg(F.count(F.lit(1)).alias("n")))
-        parent_keys = tables[parent].select(F.col(pcol).alias("k"))
-        orphans = keys.join(parent_keys, "k", "left_anti")
-        parts.append(orphans.agg(F.count(F.lit(1)).cast("bigint").alias("chaves_orfas"),
-                                 F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("linhas_orfas"))
-                     .select(F.lit(f"{child}.{ccol}->{parent}.{pcol}").alias("relacao"),
-                             "chaves_orfas", "linhas_orfas"))
+    for child in dict.fromkeys(c for c, _, p, _ in FOREIGN_KEYS if c in tables and p in tables):
+        mine = [(ccol, parent, pcol) for c, ccol, parent, pcol in FOREIGN_KEYS if c == child and parent in tables]
+        names = {f"{child}.{ccol}->{parent}.{pcol}": ccol for ccol, parent, pcol in mine}
+        keys = _unpivot(tables[child], names).groupBy("name", "k").agg(F.count(F.lit(1)).alias("n"))
+        parents = reduce(DataFrame.unionByName, [
+            tables[parent].select(F.lit(name).alias("name"), F.col(pcol).cast("string").alias("k"))
+            for name, (_, parent, pcol) in zip(names, mine)])
+        parts.append(_per_name(keys.join(parents, ["name", "k"], "left_anti"), list(names), "chaves_orfas", "linhas_orfas")
+                     .withColumnRenamed("name", "relacao"))
     return reduce(DataFrame.unionByName, parts)

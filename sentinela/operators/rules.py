@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sentinela.operators.joins import left_lookup
 from sentinela.operators.velocity import trailing_count
 
 # Rule thresholds, names, severities and messages.
@@ -136,15 +137,15 @@ def events_from_silver(transacoes: DataFrame) -> DataFrame:
 def enrich(events: DataFrame, contas: DataFrame, clientes: DataFrame, comerciantes: DataFrame) -> DataFrame:
     """Attach the customer's state and the merchant name (left joins).
 
-    Only alerting events reach this join. The input is a windowed result, so
-    a multi-pass hot-key split would recompute it; runtime skew is left to
-    AQE's skew-join split (``spark.sql.adaptive.skewJoin.enabled``).
+    Only alerting events reach this join; runtime skew is left to AQE's
+    skew-join split (``spark.sql.adaptive.skewJoin.enabled``).
     """
     estado = (contas.select("id_conta", "id_cliente")
               .join(clientes.select("id_cliente", F.col("estado").alias("estado_origem")), "id_cliente")
               .drop("id_cliente"))
     merchant = comerciantes.select("id_comerciante", F.col("nome").alias("comerciante"))
-    return events.join(estado, "id_conta", "left").join(merchant, "id_comerciante", "left").drop("id_comerciante")
+    held = events.join(estado, "id_conta", "left")
+    return left_lookup(held, merchant, "id_comerciante", "evento_id").drop("id_comerciante")
 
 
 def batch_alerts(silver: dict[str, DataFrame], key: str = "id_conta",

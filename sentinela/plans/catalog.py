@@ -18,7 +18,7 @@ from sentinela.functions.numeric import dk_round, mean, pct, round_money
 from sentinela.functions.timefn import coerce_timestamp, hour_of_day
 from sentinela.operators import clean, marts, quality, rules
 from sentinela.operators.velocity import ranked_trailing_count, trailing_count
-from sentinela.plans.layers import layers_for as Layers
+from sentinela.plans.layers import Layers
 from sentinela.session import scratch_path
 from sentinela.sources import lake, testdata
 
@@ -436,9 +436,9 @@ def q_write_read_roundtrip(spark, sf_dir):
     """Same-day rerun replaces its partition, another day is kept (K2)."""
     path = lake.layer_path(scratch_path(spark, "roundtrip"), "silver", "transacoes")
     t = _silver(spark, sf_dir)["transacoes"]
-    lake.write_partitioned(t.withColumn("_versao", F.lit(1)), path, lake.load_clock(DAY1))
-    lake.write_partitioned(t.withColumn("_versao", F.lit(2)), path, lake.load_clock(DAY1))  # rerun: replaces
-    lake.write_partitioned(t.withColumn("_versao", F.lit(2)), path, lake.load_clock(DAY2))
+    lake.write_partitioned(t.withColumn("_versao", F.lit(1)), path, DAY1)
+    lake.write_partitioned(t.withColumn("_versao", F.lit(2)), path, DAY1)  # rerun: replaces
+    lake.write_partitioned(t.withColumn("_versao", F.lit(2)), path, DAY2)
     back = lake.read_layer(spark, path)
     return back.groupBy("ano", "mes", "dia", "_versao").agg(F.count(F.lit(1)).alias("linhas"),
                                                              round_money(F.sum("valor")).alias("valor_total"))
@@ -449,8 +449,8 @@ def q_union_snapshots(spark, sf_dir):
     """Every load date of a table, by column name, duplicates kept."""
     path = lake.layer_path(scratch_path(spark, "snapshots"), "bronze", "clientes")
     b = _bronze(spark, sf_dir)["clientes"]
-    lake.write_partitioned(b, path, lake.load_clock(DAY1))
-    lake.write_partitioned(b.withColumn("_lote", F.lit(2)), path, lake.load_clock(DAY2))
+    lake.write_partitioned(b, path, DAY1)
+    lake.write_partitioned(b.withColumn("_lote", F.lit(2)), path, DAY2)
     return lake.read_snapshots(spark, path, "all")
 
 
@@ -459,8 +459,8 @@ def q_latest_snapshot(spark, sf_dir):
     """Only the newest load date (partition-pruned read)."""
     path = lake.layer_path(scratch_path(spark, "snapshots"), "bronze", "contas")
     b = _bronze(spark, sf_dir)["contas"]
-    lake.write_partitioned(b.withColumn("_lote", F.lit(1)), path, lake.load_clock(DAY1))
-    lake.write_partitioned(b.withColumn("_lote", F.lit(2)), path, lake.load_clock(DAY2))
+    lake.write_partitioned(b.withColumn("_lote", F.lit(1)), path, DAY1)
+    lake.write_partitioned(b.withColumn("_lote", F.lit(2)), path, DAY2)
     return lake.read_snapshots(spark, path, "latest")
 
 

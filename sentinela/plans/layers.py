@@ -80,19 +80,3 @@ class Layers:
             "gold_perfil_risco_cliente": self.mart_risco(),
             "gold_resumo_executivo_diario": self.mart_diario(),
         }
-
-
-_CACHE: dict[tuple, Layers] = {}
-
-
-def layers_for(spark: SparkSession, sf_dir: str, layout: str = "events") -> Layers:
-    """Shared lazy layers per (session, folder, layout).
-
-    Like temp views registered once per application, repeated queries reuse
-    the same DataFrame plans instead of re-listing and re-analysing the scans.
-    """
-    key = (id(spark), sf_dir.rstrip("/"), layout)
-    cached = _CACHE.get(key)
-    if cached is None or cached.spark is not spark:
-        cached = _CACHE[key] = Layers(spark, sf_dir, layout)
-    return cached

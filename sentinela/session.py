@@ -57,11 +57,10 @@ def sized_settings(total_input_bytes: int, target_partition_bytes: int = 200 <<
     """Shuffle and scan settings for an input of ``total_input_bytes``.
 
     About one shuffle partition per ``target_partition_bytes`` of input (AQE
-    coalesces downward when a stage shrinks), larger scan splits for large
-    inputs, and an advisory partition size that keeps tasks spill-friendly.
+    coalesces downward when a stage shrinks), scan splits of 256 MB, and an advisory partition size that keeps tasks spill-friendly.
     """
     parts = max(min_partitions, -(-total_input_bytes // target_partition_bytes))
-    split = 128 << 20 if total_input_bytes < (1 << 40) else 512 << 20
+    split = 256 << 20
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.files.maxPartitionBytes": str(split),
@@ -101,14 +100,20 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unique folder below the shared root for one job's output."""
-    return f"{shared_root(spark)}/sentinela/{name}-{uuid.uuid4().hex[:12]}"
+    """A new, unique folder name below the shared root for one job's output.
 
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so Python file APIs can list local output."""
-    return path[5:] if path.startswith("file:") else path
+    All of an application's folders lie in one folder of its own, which the
+    file system removes when the application ends.
+    """
+    root = shared_root(spark)
+    own = f"{root}/sentinela/{spark.sparkContext.applicationId}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(own)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        fs.mkdirs(path)
+    fs.deleteOnExit(path)
+    return f"{own}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-__all__ = ["build_session", "shared_root", "scratch_path", "local_path", "DEFAULT_CONF",
+__all__ = ["build_session", "shared_root", "scratch_path", "DEFAULT_CONF",
            "input_bytes", "sized_settings", "apply_sized_settings"]

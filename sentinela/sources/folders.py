@@ -33,6 +33,27 @@ def rename(spark: SparkSession, old: str, new: str) -> bool:
     return fs.rename(p, spark._jvm.org.apache.hadoop.fs.Path(new))
 
 
-def make(spark: SparkSession, path: str) -> None:
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """Content of a small file, or None if there is none."""
     fs, p = _fs(spark, path)
-    fs.mkdirs(p)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file in one step: under another name first, then renamed."""
+    fs, p = _fs(spark, path)
+    work = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.tmp")
+    stream = fs.create(work, True)
+    try:
+        stream.write(bytearray(text, "utf-8"))
+    finally:
+        stream.close()
+    if fs.exists(p):
+        fs.delete(p, False)
+    fs.rename(work, p)

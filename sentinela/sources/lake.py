@@ -1,21 +1,28 @@
 """Lake I/O: full-load ingest, partitioned Parquet layers, snapshots, manifest.
 
 Layout: ``<root>/<layer>/<table>/ano=YYYY/mes=MM/dia=DD/part-*.parquet`` with
-the partition values taken from the *load* clock as zero-padded strings.
-Writes use ``partitionOverwriteMode=dynamic``: a same-day rerun replaces only
-that day's folder and keeps the others (K2).
+the partition values taken from the *load* clock as zero-padded strings. A load
+has one date, so it writes that day's folder itself: a same-day rerun replaces
+it, also when the rerun has no rows, and keeps the others (K2).
+
+The table's columns are kept in ``_schema.json`` beside the day folders, so
+reads state the schema and open no footers; new columns are added to it.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sentinela.sources import folders
+
 # Partition column names and the source URI recorded in Bronze.
 PARTITION_COLUMNS = ["ano", "mes", "dia"]
 FONTE = "postgresql://financeiro_source"
@@ -70,54 +77,81 @@ def full_load(source: TableSource, table: str) -> DataFrame:
     return add_audit_columns(source.read(table), table, source.uri)
 
 
-def load_clock(ts) -> Column:
-    """A load time as a zone-free ``timestamp_ntz`` literal (wall clock kept as written)."""
-    return F.lit(ts.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
-
-
 def layer_path(root: str, layer: str, table: str) -> str:
     return f"{root.rstrip('/')}/{layer}/{table}"
 
 
-def write_partitioned(df: DataFrame, path: str, load_ts: Column | None = None) -> None:
-    """Write ``df`` under today's (or ``load_ts``'s) ``ano/mes/dia`` partition.
+def day_folder(path: str, load_ts: datetime) -> str:
+    return f"{path}/ano={load_ts:%Y}/mes={load_ts:%m}/dia={load_ts:%d}"
+
+
+def write_partitioned(df: DataFrame, path: str, load_ts: datetime | None = None) -> str:
+    """Write ``df`` as the load date's ``ano/mes/dia`` folder, replacing it; returns the folder.
 
-    The load date is one value for the whole write, so each task writes into
-    one folder (files capped at ``MAX_RECORDS_PER_FILE`` rows);
-    ``mode("overwrite")`` with dynamic partition overwrite replaces only that
-    folder.
+    Files are capped at ``MAX_RECORDS_PER_FILE`` rows.
     """
-    ts = load_ts if load_ts is not None else F.current_timestamp()
-    (df.withColumns(dict(zip(PARTITION_COLUMNS, [c for c in partition_columns(ts)])))
-       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-       .partitionBy(*PARTITION_COLUMNS).parquet(path))
+    folder = day_folder(path, load_ts or datetime.now())
+    df.write.mode("overwrite").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).parquet(folder)
+    _keep_schema(df.sparkSession, path, df.schema)
+    return folder
+
+
+SCHEMA_FILE = "_schema.json"
+
+
+def table_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """The columns of a lake table as kept beside it, or None."""
+    text = folders.read_text(spark, f"{path}/{SCHEMA_FILE}")
+    return None if text is None else T.StructType.fromJson(json.loads(text))
+
+
+def _keep_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    known = table_schema(spark, path)
+    fields = {f.name: f for f in (known.fields if known else [])}
+    fields.update((f.name, T.StructField(f.name, f.dataType, True)) for f in schema.fields if f.name not in PARTITION_COLUMNS)
+    merged = T.StructType(list(fields.values()))
+    if merged != known:
+        folders.write_text(spark, f"{path}/{SCHEMA_FILE}", merged.json())
 
 
 def read_layer(spark: SparkSession, path: str) -> DataFrame:
     """Read a partitioned table with ``ano``/``mes``/``dia`` kept as strings.
 
     Partition discovery would turn ``"06"`` into the integer 6; stating the
-    schema (footers merged, partition columns as strings) keeps the padding.
+    schema keeps the padding. A table written by others, without a kept schema,
+    has it taken from its files.
     """
-    discovered = spark.read.option("mergeSchema", "true").parquet(path).schema
-    fields = [T.StructField(f.name, T.StringType(), True) if f.name in PARTITION_COLUMNS else f
-              for f in discovered.fields]
-    return spark.read.option("mergeSchema", "true").schema(T.StructType(fields)).parquet(path)
+    known = table_schema(spark, path)
+    if known is None:
+        known = spark.read.option("mergeSchema", "true").parquet(path).schema
+    fields = [f for f in known.fields if f.name not in PARTITION_COLUMNS]
+    fields += [T.StructField(c, T.StringType(), True) for c in PARTITION_COLUMNS]
+    return spark.read.schema(T.StructType(fields)).parquet(path)
+
+
+def newest_day(spark: SparkSession, path: str) -> dict[str, str]:
+    """The newest load date of a table, from the folder listing: partition column -> value."""
+    day: dict[str, str] = {}
+    for column in PARTITION_COLUMNS:
+        values = [n.split("=", 1)[1] for n in folders.children(spark, path) if n.startswith(f"{column}=")]
+        if not values:
+            raise FileNotFoundError(f"no {column}= folder below {path}")
+        day[column] = max(values)
+        path = f"{path}/{column}={day[column]}"
+    return day
 
 
 def read_snapshots(spark: SparkSession, path: str, snapshot: str = "all") -> DataFrame:
     """Read every load-date snapshot of a table.
 
     ``snapshot="all"`` unions all load dates with duplicates kept (the
-    reference behaviour); ``"latest"`` keeps only the newest load date, which
-    Spark prunes to one folder. Partition columns are dropped either way.
+    default behaviour); ``"latest"`` reads only the newest load date, one folder
+    by a partition filter. Partition columns are dropped either way.
     """
     df = read_layer(spark, path)
     if snapshot == "latest":
-        key = F.concat_ws("-", *PARTITION_COLUMNS)
-        newest = df.select(key.alias("_k")).agg(F.max("_k")).scalar()
-        df = df.filter(key == newest)
+        for column, value in newest_day(spark, path).items():
+            df = df.filter(F.col(column) == value)
     return df.drop(*PARTITION_COLUMNS)
 
 

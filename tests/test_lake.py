@@ -14,15 +14,48 @@ SF = "/root/testdata/sf0.001"
 def test_same_day_rerun_replaces_only_that_day(spark):
     path = lake.layer_path(scratch_path(spark, "t-lake"), "bronze", "x")
     df = spark.range(10)
-    lake.write_partitioned(df, path, lake.load_clock(D1))
-    lake.write_partitioned(df, path, lake.load_clock(D2))
-    lake.write_partitioned(spark.range(3), path, lake.load_clock(D2))
+    lake.write_partitioned(df, path, D1)
+    lake.write_partitioned(df, path, D2)
+    lake.write_partitioned(spark.range(3), path, D2)
     counts = {(r["mes"], r["dia"]): r["count"] for r in lake.read_layer(spark, path).groupBy("mes", "dia").count().collect()}
     assert counts == {("06", "04"): 10, ("06", "05"): 3}
     assert lake.read_snapshots(spark, path, "all").count() == 13
     assert lake.read_snapshots(spark, path, "latest").count() == 3
 
 
+def test_empty_rerun_replaces_the_day(spark):
+    path = lake.layer_path(scratch_path(spark, "t-empty"), "bronze", "x")
+    lake.write_partitioned(spark.range(5), path, D1)
+    lake.write_partitioned(spark.range(7), path, D2)
+    lake.write_partitioned(spark.range(0), path, D2)
+    assert lake.read_snapshots(spark, path, "all").count() == 5
+    assert lake.read_snapshots(spark, path, "latest").count() == 0
+
+
+def test_latest_reads_one_folder_and_new_columns_are_kept(spark):
+    path = lake.layer_path(scratch_path(spark, "t-latest"), "bronze", "x")
+    lake.write_partitioned(spark.range(5), path, D1)
+    lake.write_partitioned(spark.range(3).selectExpr("id", "'a' AS extra"), path, D2)
+    latest = lake.read_snapshots(spark, path, "latest")
+    plan = latest._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "PartitionFilters: [isnotnull(ano" in plan
+    assert latest.filter("extra = 'a'").count() == 3
+    assert lake.read_snapshots(spark, path, "all").filter("extra IS NULL").count() == 5
+    assert lake.newest_day(spark, path) == {"ano": "2026", "mes": "06", "dia": "05"}
+
+
+def test_views_fail_on_a_broken_table(spark):
+    """Only a table that was never written is left out; a broken one is an error."""
+    import os
+
+    import pytest
+    root = scratch_path(spark, "t-broken")
+    os.makedirs(f"{root.replace('file:', '')}/silver/contas/ano=x")
+    with pytest.raises(Exception):
+        medallion.register_views(spark, root)
+    assert medallion.register_views(spark, f"{root}/nothing") == []
+
+
 def test_medallion_runs(spark):
     root = scratch_path(spark, "t-medallion")
     src = lake.TableSource(lambda name: testdata.sources(spark, SF).as_dict()[name])
@@ -30,6 +63,8 @@ def test_medallion_runs(spark):
     assert manifest["total_sucesso"] == 5 and manifest["total_erro"] == 0
     by = {r["tabela"]: r for r in manifest["tabelas"]}
     assert by["transacoes"]["linhas"] == 1000 and by["transacoes"]["colunas"] == 18
+    assert by["transacoes"]["tamanho_mb"] > 0 and all(r["arquivo"].endswith("dia=04") for r in by.values())
+    assert manifest["total_linhas"] == sum(r["linhas"] for r in by.values())
     assert by["categorias_transacao"]["linhas"] == 14 and by["clientes"]["colunas"] == 14
     report = {r["tabela"]: r for r in medallion.run_silver(spark, root, load_ts=D2)}
     assert report["transacoes"]["removidos"] == report["transacoes"]["total_original"] - report["transacoes"]["total_silver"]
@@ -76,4 +111,4 @@ def test_sized_settings(spark):
     assert sized_settings(n)["spark.sql.shuffle.partitions"] == "8"
     big = sized_settings(100 << 40)
     assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (200 << 20)
-    assert big["spark.sql.files.maxPartitionBytes"] == str(512 << 20)
+    assert big["spark.sql.files.maxPartitionBytes"] == str(256 << 20)

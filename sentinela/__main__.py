@@ -1,6 +1,7 @@
 """Command line: the lakehouse runs and the stream detector.
 
     python -m sentinela bronze --sf-dir DIR [--root ROOT]        full load -> Bronze, prints the manifest
+    python -m sentinela bronze --jdbc-url URL [--jdbc-property K=V]... [--key-range TABLE:COLUMN:LOW:HIGH:PARTS]...
     python -m sentinela silver [--root ROOT] [--snapshot all|latest]   Bronze -> Silver, prints the quality report
     python -m sentinela gold   [--root ROOT] [--snapshot all|latest]   Silver -> Gold marts, prints the insights
     python -m sentinela replay --sf-dir DIR --out DIR [--slices N]     stored transactions -> JSON event files
@@ -8,8 +9,9 @@
 
 ``--root`` defaults to ``<spark.checkpoint.dir>/sentinela/lake``. The
 ``--sf-dir`` source is the provided test-data folder (the five source tables
-are derived from it); a relational source plugs in through
-``sentinela.sources.lake.jdbc_source``.
+are derived from it). ``--jdbc-url`` loads the five tables of a relational
+database instead; a table with a ``--key-range`` is read by several tasks.
+``--defaults`` fills NULLs with the source schema's column defaults.
 """
 
 from __future__ import annotations
@@ -24,10 +26,28 @@ def _root(spark, given: str | None) -> str:
     return given or f"{shared_root(spark)}/sentinela/lake"
 
 
+def key_ranges(given: list[str]) -> dict[str, tuple[str, int, int, int]]:
+    """``TABLE:COLUMN:LOW:HIGH:PARTS`` arguments as the partitioning of ``jdbc_source``."""
+    out = {}
+    for text in given:
+        table, column, low, high, parts = text.split(":")
+        out[table] = (column, int(low), int(high), int(parts))
+    return out
+
+
+def properties(given: list[str]) -> dict[str, str]:
+    return dict(x.split("=", 1) for x in given)
+
+
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="sentinela")
     ap.add_argument("command", choices=["bronze", "silver", "gold", "replay", "stream"])
     ap.add_argument("--sf-dir")
+    ap.add_argument("--jdbc-url")
+    ap.add_argument("--jdbc-property", action="append", default=[], metavar="KEY=VALUE")
+    ap.add_argument("--key-range", action="append", default=[], metavar="TABLE:COLUMN:LOW:HIGH:PARTS")
+    ap.add_argument("--defaults", action="store_true")
+    ap.add_argument("--mode", default="arrival", choices=["arrival", "clock", "event_time"])
     ap.add_argument("--root")
     ap.add_argument("--snapshot", default="all", choices=["all", "latest"])
     ap.add_argument("--layout", default="events", choices=["events", "orders"])
@@ -51,8 +71,12 @@ def main(argv: list[str] | None = None) -> None:
     from sentinela.plans.layers import Layers
     from sentinela.sources import lake
     if a.command == "bronze":
-        bronze = Layers(spark, a.sf_dir, a.layout).bronze
-        print(json.dumps(medallion.run_bronze(spark, lake.TableSource(lambda t: bronze[t]), _root(spark, a.root)),
+        if a.jdbc_url:
+            source = lake.jdbc_source(spark, a.jdbc_url, properties(a.jdbc_property), key_ranges(a.key_range))
+        else:
+            bronze = Layers(spark, a.sf_dir, a.layout).bronze
+            source = lake.TableSource(lambda t: bronze[t])
+        print(json.dumps(medallion.run_bronze(spark, source, _root(spark, a.root), defaults=a.defaults),
                          ensure_ascii=False, indent=2, default=str))
     elif a.command == "silver":
         print(json.dumps(medallion.run_silver(spark, _root(spark, a.root), snapshot=a.snapshot),
@@ -69,7 +93,7 @@ def main(argv: list[str] | None = None) -> None:
         from sentinela.streaming import events as sev
         raw = sev.kafka_source(spark, a.kafka, a.topic) if a.kafka else sev.text_source(spark, a.source)
         q = sal.start_alert_stream(raw, a.out, a.checkpoint or f"{a.out}/_checkpoint",
-                                   available_now=not a.continuous)
+                                   available_now=not a.continuous, mode=a.mode)
         q.awaitTermination()
         print(json.dumps([r.asDict() for r in sal.alert_rate(spark, a.out).collect()]))
 

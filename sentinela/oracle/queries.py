@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sentinela.oracle.sql import strip_sql, title_sql, with_ctes
+from sentinela.oracle.sql import ALL_CTES, strip_sql, title_sql, with_ctes
 
 ORACLE: dict[str, str] = {}
 
@@ -493,3 +493,27 @@ SELECT evento_id, id_conta, janela_n, janela_n > 5 AS alerta
 FROM (SELECT evento_id, id_conta, {trailing_sql('id_conta', 60)} AS janela_n FROM ev) v""", "orders")
 ORACLE["stream_velocity"] = ORACLE["rule_velocity_multi"]
 ORACLE["stream_alerts_multi"] = _alerts_q(f"SELECT {ALERT_COLS} FROM docs", sfx="_o")
+
+# ------------------------------------------------------------------ stamps, defaults, manifest, views
+
+ORACLE["apply_defaults_clientes"] = _q(["bronze_clientes"], """
+SELECT id_cliente, ifnull(ativo, TRUE) AS ativo, TRUE AS com_cadastro FROM bronze_clientes""")
+ORACLE["apply_defaults_transacoes"] = _q(["bronze_transacoes"], """
+SELECT id_transacao, ifnull(is_fraude, FALSE) AS is_fraude, TRUE AS com_data FROM bronze_transacoes""")
+# Only the customer cleaner sets the quality flag.
+ORACLE["silver_stamps"] = _q(["silver_clientes", "silver_contas", "silver_transacoes"], """
+SELECT 'clientes' AS tabela, count(*) AS linhas, count(*) AS com_carimbo, count(*) AS qualidade_ok FROM silver_clientes
+UNION ALL SELECT 'contas', count(*), count(*), NULL FROM silver_contas
+UNION ALL SELECT 'transacoes', count(*), count(*), NULL FROM silver_transacoes""")
+ORACLE["alert_event_nested"] = _alerts_q("""
+SELECT evento_id, strftime(event_ts, '%Y-%m-%dT%H:%M:%S.%f') AS "timestamp", id_conta, valor, tipo, status, canal,
+  estado AS estado_origem, is_fraude, score_fraude, ip_origem, device_id, comerciante, descricao, n_alertas
+FROM (SELECT evento_id, estado, count(*) AS n_alertas FROM docs GROUP BY ALL) JOIN ev USING (evento_id)
+LEFT JOIN (SELECT id_comerciante, nome AS comerciante FROM bronze_comerciantes) USING (id_comerciante)""") \
+    .replace("WITH ", "WITH bronze_comerciantes AS (" + ALL_CTES["bronze_comerciantes"] + "),\n", 1)
+ORACLE["manifest_files"] = "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS tabela, TRUE AS com_tamanho, '{t}/ano=2026/mes=06/dia=04' AS pasta, CAST(NULL AS VARCHAR) AS erro"
+    for t, _, _ in _MANIFEST_PARTS)
+ORACLE["sql_views"] = _over(mart_estado(), "m1", """
+SELECT estado, pct_fraude, rank() OVER (ORDER BY pct_fraude DESC, estado) AS posicao,
+  (SELECT count(*) FROM silver_transacoes) AS transacoes FROM m1""")

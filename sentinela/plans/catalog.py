@@ -156,6 +156,31 @@ def q_apply_defaults(spark, sf_dir):
     return c.select("id_conta", "saldo", "limite", "ativa")
 
 
+@register("apply_defaults_clientes")
+def q_apply_defaults_clientes(spark, sf_dir):
+    c = quality.apply_defaults(_bronze(spark, sf_dir)["clientes"], "clientes")
+    return c.select("id_cliente", "ativo", F.col("data_cadastro").isNotNull().alias("com_cadastro"))
+
+
+@register("apply_defaults_transacoes")
+def q_apply_defaults_transacoes(spark, sf_dir):
+    t = quality.apply_defaults(_bronze(spark, sf_dir)["transacoes"], "transacoes")
+    return t.select("id_transacao", "is_fraude", F.col("data_transacao").isNotNull().alias("com_data"))
+
+
+@register("silver_stamps")
+def q_silver_stamps(spark, sf_dir):
+    """Stamps of the cleaned tables: rows that carry the layer time and the quality flag."""
+    b = _bronze(spark, sf_dir)
+    parts = []
+    for table in ("clientes", "contas", "transacoes"):
+        df = clean.CLEANERS[table](b[table])
+        flag = F.count_if(F.col("_qualidade_ok")) if "_qualidade_ok" in df.columns else F.lit(None).cast("bigint")
+        parts.append(df.agg(F.lit(table).alias("tabela"), F.count(F.lit(1)).alias("linhas"),
+                            F.count("_silver_timestamp").alias("com_carimbo"), flag.alias("qualidade_ok")))
+    return lake.union_by_name(parts)
+
+
 # ------------------------------------------------------------------ quality and audits
 
 @register("quality_clientes")
@@ -419,6 +444,13 @@ def q_rule_names(spark, sf_dir):
     return docs.select("evento_id", rules.rule_names().alias("regras"))
 
 
+@register("alert_event_nested")
+def q_alert_event_nested(spark, sf_dir):
+    """The event embedded in each alert document, as published."""
+    docs = rules.batch_alerts(_silver(spark, sf_dir))
+    return docs.select("transacao.*", F.size("alertas").cast("bigint").alias("n_alertas"))
+
+
 @register("alert_velocity_by_type")
 def q_alert_velocity_by_type(spark, sf_dir):
     """All four rules with the velocity key set to the event type over one hour."""
@@ -480,6 +512,28 @@ def q_ingest_manifest(spark, sf_dir):
     return rows.select("tabela", "linhas", "colunas", "status")
 
 
+@register("manifest_files")
+def q_manifest_files(spark, sf_dir):
+    """Size and place of each table's written folder as the manifest states them (K5)."""
+    _, _, manifest = _medallion_root(spark, sf_dir)
+    rows = lake.manifest_rows(spark, manifest["tabelas"])
+    return rows.select("tabela", (F.col("tamanho_mb") >= 0).alias("com_tamanho"),
+                       F.element_at(F.split("arquivo", "/bronze/"), -1).alias("pasta"), "erro")
+
+
+@register("sql_views")
+def q_sql_views(spark, sf_dir):
+    """Spark SQL over the lake's views, the mart in its presentation order."""
+    medallion, root, _ = _medallion_root(spark, sf_dir)
+    medallion.run_silver(spark, root, load_ts=DAY2)
+    medallion.run_gold(spark, root, load_ts=DAY2)
+    medallion.register_views(spark, root)
+    return spark.sql("""
+        SELECT estado, pct_fraude, row_number() OVER (ORDER BY pct_fraude DESC, estado) AS posicao,
+               (SELECT count(*) FROM silver_transacoes) AS transacoes
+        FROM gold_resumo_fraudes_por_estado""")
+
+
 @register("ingest_totals")
 def q_ingest_totals(spark, sf_dir):
     """Manifest roll-up: tables, successes, errors, rows."""

@@ -28,3 +28,24 @@ def test_cli_end_to_end(spark, capsys):
     silver_t = next(r for r in report if r["tabela"] == "transacoes")
     assert rate[0]["processadas"] == silver_t["total_silver"]
     assert 0 < rate[0]["alertas"] <= rate[0]["processadas"]
+
+
+def test_relational_load_arguments(spark, capsys, monkeypatch):
+    """URL, properties and key ranges reach the reader; no database is needed."""
+    from sentinela.sources import lake, testdata
+
+    seen = {}
+
+    def source(session, url, properties, partitioning):
+        seen.update(url=url, properties=properties, partitioning=partitioning)
+        return lake.TableSource(lambda name: testdata.sources(spark, SF).as_dict()[name], url)
+
+    monkeypatch.setattr(lake, "jdbc_source", source)
+    root = scratch_path(spark, "t-jdbc")
+    manifest = run(capsys, "bronze", "--jdbc-url", "jdbc:x://host/db", "--jdbc-property", "user=u", "--jdbc-property",
+                   "password=a=b", "--key-range", "transacoes:id_transacao:1:1000:8", "--root", root, "--defaults")
+    assert seen == {"url": "jdbc:x://host/db", "properties": {"user": "u", "password": "a=b"},
+                    "partitioning": {"transacoes": ("id_transacao", 1, 1000, 8)}}
+    assert manifest["total_sucesso"] == 5 and manifest["fonte"] == "jdbc:x://host/db"
+    loaded = lake.read_snapshots(spark, lake.layer_path(root, "bronze", "clientes"))
+    assert loaded.filter("ativo IS NULL").count() == 0

@@ -22,18 +22,18 @@ def spark():
 
 @pytest.fixture
 def clientes_bronze(spark):
+    """Own rows: padded, oddly cased and accented names, punctuated CPFs, one missing score."""
     rows = [
-        (1, "  joão silva  ", "123.456.789-00", "JOAO@EMAIL.COM", "M", "São Paulo", "sp", 800),
-        (2, "MARIA SOUZA", "987.654.321-00", "maria@email.com", "F", "Rio de Janeiro", "rj", None),
-        (3, "pedro santos", "111.222.333-44", "pedro@email.com", "M", "Belo Horizonte", "mg", 650),
-        (4, "  ANA LIMA", "555.666.777-88", "ana@email.com", "F", "Salvador", "ba", 900),
-        (5, "carlos FERREIRA  ", "999.888.777-66", "carlos@email.com", "M", "Curitiba", "pr", 720),
+        (11, "\tmarina d\'ávila", "020.304.050-60", " Marina@Exemplo.ORG ", "F", "porto alegre", " rs", 412),
+        (12, "ÍTALO  braga ", "11122233396", "italo@exemplo.org", "M", "RECIFE", "pe", 388),
+        (13, "Zilda Noronha", "700.800.900-10", "ZILDA@exemplo.org", "F", " Belém", "PA", None),
+        (14, "otávio lemos-prado", "44.555.666/7-77", "otavio@exemplo.org", "M", "são luís", "ma ", 977),
     ]
     df = spark.createDataFrame(rows, "id_cliente int, nome string, cpf string, email string, genero string, "
                                      "cidade string, estado string, score_credito int")
     from pyspark.sql import functions as F
     return df.withColumns({
-        "data_nascimento": F.lit("1990-01-01").cast("date"),
+        "data_nascimento": F.lit("1987-03-21").cast("date"),
         "data_cadastro": F.lit(NOW).cast("timestamp_ntz"),
         "ativo": F.lit(True),
         "_ingestao_timestamp": F.lit(NOW).cast("timestamp"),
@@ -44,12 +44,14 @@ def clientes_bronze(spark):
 
 @pytest.fixture
 def transacoes_bronze(spark):
+    """Own rows: every value band's edge, a negative and a zero value, mixed-case codes, one missing score."""
+    noite, manha = datetime(2026, 2, 3, 4, 10), datetime(2026, 2, 3, 9, 0)
     rows = [
-        (1, 1, 1, 1, Decimal("100.50"), "PIX", "APROVADA", "APP", "compra", datetime(2026, 1, 15, 22, 30), False, 0.1),
-        (2, 2, 2, 2, Decimal("-200.00"), "DEBITO", "negada", "web", "pagamento", NOW, False, 0.2),
-        (3, 3, 3, 3, Decimal("0.00"), "credito", "aprovada", "pos", "transferencia", NOW, False, None),
-        (4, 4, 4, 4, Decimal("5000.00"), "TED", "suspeita", "atm", "saque", NOW, True, 0.95),
-        (5, 5, 5, 5, Decimal("150.75"), "boleto", "cancelada", "app", "recarga", NOW, False, 0.05),
+        (21, 31, 1, 7, Decimal("48.20"), " Ted ", "Aprovada", "WEB", "lanche", noite, False, 0.05),
+        (22, 32, 2, 7, Decimal("-730.10"), "PIX", "SUSPEITA", "app", "aluguel", manha, True, 0.9),
+        (23, 33, 3, None, Decimal("0.00"), "boleto", "cancelada", "Pos", "estorno", manha, False, None),
+        (24, 34, 4, 8, Decimal("12000.00"), "doc", "negada", "agencia", "carro", manha, False, 0.3),
+        (25, 32, 5, 9, Decimal("99.90"), "credito", "aprovada", "ATM", "livro", noite, False, 0.8),
     ]
     df = spark.createDataFrame(rows, "id_transacao bigint, id_conta int, id_categoria int, id_comerciante int, "
                                      "valor decimal(12,2), tipo string, status string, canal string, "
@@ -58,7 +60,7 @@ def transacoes_bronze(spark):
     from pyspark.sql import functions as F
     return df.withColumns({
         "data_processamento": F.lit(NOW).cast("timestamp_ntz"),
-        "ip_origem": F.lit("192.168.1.1"), "device_id": F.lit("device-001"),
+        "ip_origem": F.lit("10.20.30.40"), "device_id": F.lit("aparelho-7"),
         "_ingestao_timestamp": F.lit(NOW).cast("timestamp"), "_fonte": F.lit("postgresql"),
         "_tabela_origem": F.lit("transacoes"),
     })
@@ -66,5 +68,5 @@ def transacoes_bronze(spark):
 
 @pytest.fixture
 def contas_silver(spark):
-    return spark.createDataFrame([(i, i, "corrente", 1000.0) for i in range(1, 6)],
+    return spark.createDataFrame([(20 + i, i, "corrente", 70.0 * i) for i in range(11, 15)],
                                  "id_conta int, id_cliente int, tipo_conta string, saldo double")

@@ -1,4 +1,4 @@
-"""Gold marts on the 5-row fixtures, risk classes, and the pre-aggregated plan shape."""
+"""Gold marts on small fixtures, risk classes, and the pre-aggregated plan shape."""
 
 from pyspark.sql import functions as F
 
@@ -12,24 +12,25 @@ def silver(clientes_bronze, transacoes_bronze):
 def test_fraude_por_estado(clientes_bronze, transacoes_bronze, contas_silver):
     cl, t = silver(clientes_bronze, transacoes_bronze)
     m = {r["estado"]: r for r in marts.gold_fraude_estado(t, contas_silver, cl).collect()}
-    assert set(m) == {"SP", "RJ", "MG", "BA", "PR"}
-    assert m["BA"]["total_fraudes"] == 1 and m["BA"]["pct_fraude"] == 100.0
-    assert m["RJ"]["valor_total"] == 200.0
+    assert set(m) == {"RS", "PE", "PA", "MA"}
+    assert (m["PE"]["total_transacoes"], m["PE"]["total_fraudes"], m["PE"]["pct_fraude"]) == (2, 1, 50.0)
+    assert m["PE"]["valor_total"] == 830.0 and m["PE"]["valor_fraudes"] == 730.10 and m["RS"]["valor_fraudes"] == 0.0
 
 
 def test_por_hora_totals(clientes_bronze, transacoes_bronze):
     _, t = silver(clientes_bronze, transacoes_bronze)
-    rows = marts.gold_por_hora(t).collect()
-    assert sum(r["total_transacoes"] for r in rows) == 5
-    assert {r["hora_dia"] for r in rows} == {22, 15}
+    rows = {r["hora_dia"]: r for r in marts.gold_por_hora(t).collect()}
+    assert {h: r["total_transacoes"] for h, r in rows.items()} == {4: 2, 9: 3}
+    assert rows[9]["contas_ativas"] == 3 and rows[9]["total_fraudes"] == 1
 
 
-def test_perfil_risco_critico(clientes_bronze, transacoes_bronze, contas_silver):
+def test_perfil_risco(clientes_bronze, transacoes_bronze, contas_silver):
     cl, t = silver(clientes_bronze, transacoes_bronze)
     m = {r["id_cliente"]: r for r in marts.gold_perfil_risco(t, contas_silver, cl).collect()}
-    assert m[4]["classificacao_risco"] == "CRITICO"
-    assert m[4]["score_risco_composto"] == 43.0          # 0.95*40 + 1*5 + 0*0.5
-    assert m[2]["classificacao_risco"] == "BAIXO"
+    assert m[12]["classificacao_risco"] == "CRITICO" and m[14]["classificacao_risco"] == "MEDIO"
+    assert m[12]["score_risco_composto"] == 39.5          # 0.85*40 + 1*5 + 1*0.5
+    assert m[12]["qtd_contas"] == 1 and m[12]["maior_transacao"] == 730.10
+    assert m[11]["classificacao_risco"] == "BAIXO"
 
 
 def test_risk_class_branches(spark):
@@ -46,11 +47,11 @@ def test_volume_positive(clientes_bronze, transacoes_bronze):
 def test_preaggregation_equals_join_then_aggregate(spark, clientes_bronze, transacoes_bronze):
     """Duplicate account rows multiply sums exactly as a raw join would."""
     cl, t = silver(clientes_bronze, transacoes_bronze)
-    contas = spark.createDataFrame([(1, 1), (1, 1), (2, 2), (3, 3), (4, 4), (5, 5)], "id_conta int, id_cliente int")
+    contas = spark.createDataFrame([(31, 11), (31, 11), (32, 12), (33, 13), (34, 14)], "id_conta int, id_cliente int")
     m = {r["estado"]: r for r in marts.gold_fraude_estado(t, contas, cl).collect()}
-    assert m["SP"]["total_transacoes"] == 2 and m["SP"]["valor_total"] == 201.0
+    assert m["RS"]["total_transacoes"] == 2 and m["RS"]["valor_total"] == 96.4
     r = {x["id_cliente"]: x for x in marts.gold_perfil_risco(t, contas, cl).collect()}
-    assert r[1]["qtd_contas"] == 1 and r[1]["total_transacoes"] == 2
+    assert r[11]["qtd_contas"] == 1 and r[11]["total_transacoes"] == 2
 
 
 def test_fact_not_shuffled_raw(spark):

@@ -153,20 +153,20 @@ class PieceEncoder:
         new.update(zip(kept, map(old.__getitem__, kept)))
         todo.difference_update(kept)
         words = {p for p in todo if p.isalpha() and (p.isascii() or _WORD.match(p))}
-        # A word with punctuation, or several such over lines, is cut into the pattern's own tokens.
+        # A word and one mark is cut by hand; words with more, also over lines, by the pattern's own tokens.
+        rest = todo.difference(words)
+        marked = [p for p in rest if p.endswith(_MARKS) and p.isascii() and p[:-1].isalpha()]
         plain, other = [], []
-        for piece in todo.difference(words):
-            if piece.endswith(_MARKS) and piece[:-1].isalpha() and piece.isascii():
-                plain.append((piece, piece[:-1], [piece[-1]]))
-            elif _PLAIN.match(piece):
+        for piece in rest.difference(marked):
+            if _PLAIN.match(piece):
                 first, *more = _TOKENS.findall(" " + piece)
                 if more:
                     plain.append((piece, first[1:], more))
-                else:
-                    other.append(piece)
-            else:
-                other.append(piece)
-        for first in {f for _, f, _ in plain}.difference(words):
+                    continue
+            other.append(piece)
+        firsts = {p[:-1] for p in marked}
+        firsts.update(f for _, f, _ in plain)
+        for first in firsts.difference(words):
             if first in old:
                 new[first] = old[first]
             elif first not in new:
@@ -178,9 +178,10 @@ class PieceEncoder:
         for at in range(0, len(ordered), CALL_WORDS):
             self._learn_words(ordered[at:at + CALL_WORDS])
         new.update(zip(other, self._plain_encode([" " + p for p in other])))
-        bare = self._learn_bare({t for _, _, more in plain for t in more})
+        bare = self._learn_bare({*_MARKS, *(t for _, _, more in plain for t in more)})
+        new.update({p: new[p[:-1]] + bare[p[-1]] for p in marked})
         for piece, first, more in plain:
-            new[piece] = new[first] + (bare[more[0]] if len(more) == 1 else b"".join([bare[t] for t in more]))
+            new[piece] = new[first] + b"".join([bare[t] for t in more])
 
     def _learn_words(self, words: list[str]) -> None:
         mapped = [w if w.isascii() else to_chars(w.encode()) for w in words]
@@ -194,9 +195,9 @@ class PieceEncoder:
 
 
 @functools.lru_cache(maxsize=4)
-def encoder(path: str) -> PieceEncoder:
+def encoder(path: str, capacity: int = CACHE_PIECES) -> PieceEncoder:
     """The worker's encoder, kept between tasks."""
-    return PieceEncoder(path)
+    return PieceEncoder(path, capacity)
 
 
 def char_offsets(text: bytes, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -37,6 +37,8 @@ TIERS = (128, 256, 512, 1024)
 BUFFER_TOKENS = 1 << 20
 #: Windows of one tier that a step group takes from a flush.
 GROUP_WINDOWS = 32
+#: Pieces of text whose ids a worker keeps per cache generation (about 100 MB each).
+CACHE_PIECES = 500_000
 ID_BYTES = 4
 CLOSING = (0).to_bytes(ID_BYTES, "little")
 
@@ -155,7 +157,7 @@ def pack(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text
     names = [c.strip().split(" ")[0] for c in schema.split(",")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, packer, types = encoder(path), Packer(tiers), None
+        enc, packer, types = encoder(path, CACHE_PIECES), Packer(tiers), None
         base = TaskContext.get().partitionId() << 40
 
         def written(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
@@ -172,7 +174,7 @@ def pack(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text
 
         for whole in batches:
             types = whole.column(0).type
-            for batch in pieces(whole, "text", 2 << 20):
+            for batch in pieces(whole, "text", 6 << 20):
                 docs = batch.column(0).to_pylist()
                 for doc, ids in zip(docs, enc.encode(strings(batch, "text"))):
                     ids += CLOSING

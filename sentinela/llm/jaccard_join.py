@@ -6,11 +6,13 @@ A document is the set of its distinct n-word shingles; two documents link when
 1. *Sets.* Equal sets share one set id (a 128-bit digest), so copies, however
    many, are one entry from here on.
 2. *Candidates.* In a global order with frequent shingles last, linked sets
-   share a shingle among their first ``|x| - ceil(percent |x| / 100) + 1``.
-   Sets meet in the lists of those shingles; pairs must fit in size and in the
-   parity bitmap bound (two sets differ in at least as many elements as their
-   parity bitmaps differ in bits). Lists up to ``SHORT_LIST`` entries give
-   their pairs directly.
+   share ``k`` shingles among their first ``|x| - ceil(percent |x| / 100) + k``,
+   where ``k`` grows with the set (:func:`shared_needed`). Sets meet in the
+   lists of those shingles; pairs must fit in size and in the parity bitmap
+   bound (two sets differ in at least as many elements as their parity bitmaps
+   differ in bits). Lists up to ``SHORT_LIST`` entries give their pairs
+   directly; a pair must come from ``k`` of them (one that also meets in a long
+   list is found there), and is then held against wide bitmaps.
 3. *Verification* by T-occurrence: a query set's candidates are indexed by
    shingle; of the query's inverted lists the longest are set aside, the short
    ones merged by a heap, and sets reaching the reduced count are looked up in
@@ -54,9 +56,15 @@ ORDER_SHINGLES, FREQUENT = 1 << 18, 16
 SHORT_LIST = 64
 #: Entries of a long list that meet in one block.
 BLOCK_ROWS = 4096
-#: Bits of a parity bitmap: about the set's size within these bounds.
-LEAST_BITS, MOST_BITS = 64, 512
+#: Bits of the parity bitmap that travels with each list entry: about the set's size within these bounds.
+LEAST_BITS, MOST_BITS = 64, 256
+#: Bits of the wide bitmap that each pair is held against before any set is fetched: over twice the set's size.
+WIDE_BITS = 1 << 18
+#: Up to so many wanted sets (about 60 bytes each) their ids are broadcast to the scan of the texts.
+BROADCAST_SETS = 1_000_000
 CANDIDATES = 256
+#: A pair of larger sets must share more of their prefixes: one shingle more for every so many, up to a bound.
+SHARED_STEP, MOST_SHARED = 100, 12
 FIRST, SECOND = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -100,12 +108,18 @@ def prefix_length(size: int, percent: int) -> int:
     return size - -(-percent * size // 100) + 1
 
 
+def shared_needed(size: int) -> int:
+    """Shingles that a linked partner must share with the prefix, which is longer by as many."""
+    return 1 + min(size // SHARED_STEP, MOST_SHARED - 1)
+
+
 def overlap_needed(x: int, y: int, percent: int) -> int:
     return -(-percent * (x + y) // (100 + percent))
 
 
-def parity_bitmap(shingles: np.ndarray) -> bytes:
-    bits = min(max(1 << (len(shingles) - 1).bit_length(), LEAST_BITS), MOST_BITS)
+def parity_bitmap(shingles: np.ndarray, wide: bool = False) -> bytes:
+    bits = 1 << (len(shingles) - 1).bit_length()
+    bits = min(max(2 * bits, LEAST_BITS), WIDE_BITS) if wide else min(max(bits, LEAST_BITS), MOST_BITS)
     odd = np.bincount((shingles >> np.uint64(17)).astype(np.int64) & (bits - 1), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
@@ -172,7 +186,10 @@ def divide_skip(query: np.ndarray, sets: list[np.ndarray], percent: int) -> list
 # --- 1. sets ----------------------------------------------------------------
 
 def document_sets(df: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
-    """(id, sid, n) of every row of (id, text), and (shingle, weight): counts of shingles repeated within a task."""
+    """(id, sid, n, bits) of every row of (id, text), and (shingle, weight): counts of shingles repeated within a task.
+
+    ``bits`` is the set's wide bitmap.
+    """
     kind = dict(df.dtypes)["id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,7 +205,8 @@ def document_sets(df: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
             m = int(often.sum())
             return pa.RecordBatch.from_arrays(
                 [pa.nulls(m, id_type), pa.nulls(m, pa.binary()), pa.array(counts[often], pa.int64()),
-                 pa.array(values[often].view(np.int64), pa.int64())], names=["id", "sid", "n", "shingle"])
+                 pa.array(values[often].view(np.int64), pa.int64()), pa.nulls(m, pa.binary())],
+                names=["id", "sid", "n", "shingle", "bits"])
 
         for whole in batches:
             id_type = whole.column(0).type
@@ -196,8 +214,9 @@ def document_sets(df: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
                 sets = [shingle(t) for t in utf8(batch, "text")]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), pa.array([set_id(s) for s in sets], pa.binary()),
-                     pa.array([len(s) for s in sets], pa.int64()), pa.nulls(len(sets), pa.int64())],
-                    names=["id", "sid", "n", "shingle"])
+                     pa.array([len(s) for s in sets], pa.int64()), pa.nulls(len(sets), pa.int64()),
+                     pa.array([parity_bitmap(s, wide=True) if len(s) else None for s in sets], pa.binary())],
+                    names=["id", "sid", "n", "shingle", "bits"])
                 held += sets
                 total += sum(map(len, sets))
                 if total > COUNT_SHINGLES:
@@ -206,8 +225,9 @@ def document_sets(df: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
         if held:
             yield counted()
 
-    both = materialise(map_batches(df, run, f"id {kind}, sid binary, n bigint, shingle bigint"), "jaccard-sets")
-    return (both.filter("shingle is null").select("id", "sid", "n"),
+    both = materialise(map_batches(df, run, f"id {kind}, sid binary, n bigint, shingle bigint, bits binary"),
+                       "jaccard-sets")
+    return (both.filter("shingle is null").select("id", "sid", "n", "bits"),
             both.filter("shingle is not null").select("shingle", F.col("n").alias("weight")))
 
 
@@ -240,7 +260,7 @@ def prefix_entries(df: DataFrame, n: int, percent: int, order: tuple[np.ndarray,
                     if sid is None or sid in seen:
                         continue
                     seen.add(sid)
-                    p = prefix_length(len(s), percent)
+                    p = prefix_length(len(s), percent) + shared_needed(len(s)) - 1
                     if len(known):
                         at = np.minimum(np.searchsorted(known, s), len(known) - 1)
                         rank = np.where(known[at] == s, ranks[at], 0)
@@ -263,16 +283,16 @@ def prefix_entries(df: DataFrame, n: int, percent: int, order: tuple[np.ndarray,
 
 
 def list_pairs(entries: DataFrame, percent: int, parts: int) -> DataFrame:
-    """(a, b, shingle): candidate pairs of short lists; for long lists their entries, with b null."""
+    """(a, b, shingle, need): candidate pairs of short lists with the number of lists they must come from;
+    for long lists their entries, with b null."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: tuple[list, list, list] = ([], [], [])
+        out: tuple[list, list, list, list] = ([], [], [], [])
         group: list[tuple[int, bytes, bytes]] = []
         key, last, is_long = None, None, False
 
-        def emit(a: bytes, b: bytes | None, shingle: int) -> None:
-            out[0].append(a)
-            out[1].append(b)
-            out[2].append(shingle)
+        def emit(a: bytes, b: bytes | None, shingle: int, need: int | None = None) -> None:
+            for col, value in zip(out, (a, b, shingle, need)):
+                col.append(value)
 
         def close() -> None:
             if is_long or len(group) < 2:
@@ -285,12 +305,13 @@ def list_pairs(entries: DataFrame, percent: int, parts: int) -> DataFrame:
                     if 100 * n_a < percent * n_b:
                         break
                     if may_link(n_a, map_a, n_b, map_b, percent):
-                        emit(max(sid_a, sid_b), min(sid_a, sid_b), key)
+                        # The smaller set comes first in the group and asks for fewer.
+                        emit(max(sid_a, sid_b), min(sid_a, sid_b), key, shared_needed(n_a))
 
         def flush() -> pa.RecordBatch:
             batch = pa.RecordBatch.from_arrays(
-                [pa.array(out[0], pa.binary()), pa.array(out[1], pa.binary()), pa.array(out[2], pa.int64())],
-                names=["a", "b", "shingle"])
+                [pa.array(out[0], pa.binary()), pa.array(out[1], pa.binary()), pa.array(out[2], pa.int64()),
+                 pa.array(out[3], pa.int32())], names=["a", "b", "shingle", "need"])
             for col in out:
                 col.clear()
             return batch
@@ -326,7 +347,7 @@ def list_pairs(entries: DataFrame, percent: int, parts: int) -> DataFrame:
         yield flush()
 
     ordered = entries.repartition(parts, "shingle").sortWithinPartitions("shingle", "sid")
-    return map_batches(ordered, run, "a binary, b binary, shingle bigint")
+    return map_batches(ordered, run, "a binary, b binary, shingle bigint, need int")
 
 
 # --- 3. verification --------------------------------------------------------
@@ -342,10 +363,26 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
                                                   pa.array([s.tobytes() for s in sets], pa.binary())],
                                                  names=["sid", "shingles"])
 
-    picked = docs.join(wanted.select("id").distinct(), "id", "left_semi").select("text")
+    ids = wanted.select("id").distinct()
+    few = ids.limit(BROADCAST_SETS + 1).count() <= BROADCAST_SETS
+    picked = docs.join(F.broadcast(ids) if few else ids, "id", "left_semi").select("text")
     return map_batches(picked, run, "sid binary, shingles binary").dropDuplicates(["sid"])
 
 
+def plausible(pairs: DataFrame, bitmaps: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that their wide bitmaps (sid, n, bits) do not rule out."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in pieces(whole, "bits_b"):
+                n_a, bits_a, n_b, bits_b = (c.to_pylist() for c in batch.columns[2:])
+                keep = [may_link(*x, percent) for x in zip(n_a, bits_a, n_b, bits_b)]
+                yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    side = lambda x: bitmaps.select(F.col("sid").alias(x), F.col("n").alias(f"n_{x}"), F.col("bits").alias(f"bits_{x}"))
+    joined = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "bits_a", "n_b", "bits_b")
+    return map_batches(joined, run, "a binary, b binary")
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int, parts: int) -> DataFrame:
     """The pairs (a, b) that link: per query a, a T-occurrence search over its candidates."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -451,49 +488,36 @@ def jaccard_components(df: DataFrame, n: int = 5, percent: int = 80, id_col: str
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     members, counts = document_sets(docs, n)
-    owners = members.filter("sid is not null").groupBy("sid").agg(F.min("id").alias("id"), F.min("n").alias("n"))
+    owners = members.filter("sid is not null").groupBy("sid").agg(F.min("id").alias("id"))
     entries = prefix_entries(docs, n, percent, order_table(counts))
     found = materialise(list_pairs(entries, percent, parts), "jaccard-candidates")
     long_ = found.filter("b is null").select(F.col("a").alias("sid"), "shingle")
-    pairs = (found.filter("b is not null").select("a", "b")
-             .unionByName(leader_pairs(long_)).distinct())
+    short = (found.filter("b is not null").groupBy("a", "b")
+             .agg(F.count("*").alias("shared"), F.min("need").alias("need")).filter("shared >= need"))
+    pairs = short.select("a", "b").unionByName(leader_pairs(long_)).distinct()
     pairs = materialise(pairs, "jaccard-pairs")
+    asked = (pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).distinct())
+    bitmaps = materialise(members.select("sid", "n", "bits").join(asked, "sid", "left_semi").dropDuplicates(["sid"]),
+                          "jaccard-bitmaps")
+    pairs = materialise(plausible(pairs, bitmaps, percent), "jaccard-pairs")
     wanted = (pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid")))
               .unionByName(long_.select("sid")).distinct().join(owners, "sid"))
     sets = materialise(shingle_sets(docs, wanted, n), "jaccard-shingles")
     links = materialise(verified(pairs, sets, percent, parts), "jaccard-links")
     comps = materialise(connected_components(links, "a", "b"), "jaccard-components")
     if not long_.isEmpty():
-        more = materialise(outside_pairs(long_, set_bitmaps(sets, long_), comps, percent, parts), "jaccard-outside")
+        more = materialise(outside_pairs(long_, bitmaps, comps, percent, parts), "jaccard-outside")
         extra = materialise(verified(more, sets, percent, parts), "jaccard-links")
         comps = materialise(connected_components(links.unionByName(extra), "a", "b"), "jaccard-components")
     least = (comps.join(owners, comps.node == owners.sid).groupBy("component").agg(F.min("id").alias("least")))
     of_set = (comps.join(least, "component").select(F.col("node").alias("sid"), "least")
               .unionByName(owners.join(comps, owners.sid == comps.node, "left_anti")
                            .select("sid", F.col("id").alias("least"))))
-    return (members.join(of_set, "sid", "left")
+    return (members.select("id", "sid", "n").join(of_set, "sid", "left")
             .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
                     F.coalesce("least", "id").alias("component_id")))
 
 
-def set_bitmaps(sets: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(sid, n, bits) of the wanted sets, with bitmaps of up to eight times the usual length."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            values = [np.frombuffer(x, np.uint64) for x in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(v) for v in values], pa.int32()),
-                 pa.array([wide_bitmap(v) for v in values], pa.binary())], names=["sid", "n", "bits"])
-
-    return map_batches(sets.join(wanted.select("sid").distinct(), "sid", "left_semi"), run, "sid binary, n int, bits binary")
-
-
-def wide_bitmap(shingles: np.ndarray) -> bytes:
-    bits = min(8 << (len(shingles) - 1).bit_length(), 8 * MOST_BITS)
-    odd = np.bincount((shingles >> np.uint64(17)).astype(np.int64) & (bits - 1), minlength=bits) & 1
-    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
-
-
 def one_per_group(df: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id",
                   text_col: str = "text") -> DataFrame:
     """``df`` with one row of each group of linked documents: the one with the smallest id (then text)."""

@@ -307,6 +307,7 @@ def check_join(spark, rows, n, percent):
 def test_jaccard_components(spark, n, percent, monkeypatch):
     monkeypatch.setattr(jaccard_join, "SHORT_LIST", 4)     # most groups take the way of long lists
     monkeypatch.setattr(jaccard_join, "BLOCK_ROWS", 8)
+    monkeypatch.setattr(jaccard_join, "SHARED_STEP", 20)
     rng = random.Random(11)
     vocabulary = [f"w{i}" for i in range(400)]
     rows = [(900, None), (901, ""), (902, " \n"), (903, "one"), (904, "ONE"), (905, "one two"), (906, "one two")]

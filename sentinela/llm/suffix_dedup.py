@@ -45,6 +45,8 @@ LENGTH = 400
 #: Bytes hashed at a time (a longer text is hashed alone).
 HASH_BYTES = 1 << 20
 BLOCK_ROWS = 4096
+#: Anchors a task remembers in order to settle repeated ones itself (about 150 bytes each).
+KNOWN_ANCHORS = 300_000
 SHALLOW = 32
 DIRECT = 24
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -289,14 +291,31 @@ def reaches(lefts: list[bytes], rights: list[bytes], length: int, known: int) ->
 
 # --- distributed steps ------------------------------------------------------
 
-SETTLED, CLASS_HEAD, OPEN = 0, 1, 2
-ANCHOR = "hash bigint, context bigint, sid binary, place int, first int, last int"
+SETTLED, CLASS_HEAD, OPEN = 0, 1, 2   # states of an anchor
+ANCHOR = "hash bigint, context bigint, sid binary, place int, first int, last int, state int"
 
 
 def anchors(docs: DataFrame, length: int) -> DataFrame:
-    """Anchor rows of (sid, text); each text once per task."""
+    """Anchor rows of (sid, text); each text once per task.
+
+    Of equal anchors with equal contexts a task sends two to the list; the
+    others are settled already (``state`` is set), so a string that repeats
+    thousands of times, in one text or many, is not thousands of list rows.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         winnow, seen = Winnower(length), set()
+        once: set[tuple[int, int]] = set()
+        twice: set[tuple[int, int]] = set()
+
+        def settled(key: tuple[int, int]) -> int | None:
+            if key in twice:
+                return SETTLED
+            if len(once) > KNOWN_ANCHORS:    # forgetting only sends more rows to the lists
+                once.clear()
+                twice.clear()
+            (twice if key in once else once).add(key)
+            return None
+
         for whole in batches:
             for batch in pieces(whole, "text", HASH_BYTES):
                 texts = []
@@ -305,19 +324,20 @@ def anchors(docs: DataFrame, length: int) -> DataFrame:
                         seen.add(sid)
                         texts.append((sid, text))
                 found = winnow([t for _, t in texts])
-                cols: list[list] = [[], [], [], [], [], []]
+                cols: list[list] = [[], [], [], [], [], [], []]
                 for (sid, text), (places, firsts, lasts, hashes) in zip(texts, found):
                     p, f, e = places.tolist(), firsts.tolist(), lasts.tolist()
+                    digests = [xxhash.xxh3_64_intdigest(text[b:c + length], a - b) for a, b, c in zip(p, f, e)]
                     cols[0].append(hashes.view(np.int64))
-                    cols[1] += [xxhash.xxh3_64_intdigest(text[b:c + length], a - b) for a, b, c in zip(p, f, e)]
                     cols[2] += [sid] * len(p)
-                    for col, values in zip(cols[3:], (p, f, e)):
+                    states = [settled(key) for key in zip(hashes.tolist(), digests)]
+                    for col, values in zip((cols[1], *cols[3:]), (digests, p, f, e, states)):
                         col += values
                 if texts:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.concatenate(cols[0])), pa.array(np.array(cols[1], np.uint64).view(np.int64)),
                          pa.array(cols[2], pa.binary()), *(pa.array(c, pa.int32()) for c in cols[3:])],
-                        names=["hash", "context", "sid", "place", "first", "last"])
+                        names=["hash", "context", "sid", "place", "first", "last", "state"])
 
     return map_batches(docs, run, ANCHOR)
 
@@ -339,16 +359,19 @@ def shared_anchors(rows: DataFrame, parts: int) -> DataFrame:
                     out.append((*head, OPEN))
 
         for batch in batches:
-            shingles = batch.column(0).to_numpy()
-            same = np.zeros(len(shingles), bool)
-            same[1:] = shingles[1:] == shingles[:-1]
-            keep = same.copy()
+            hashes = batch.column(0).to_numpy()
+            # Lists that certainly have one entry are passed over without making objects of it.
+            same = np.zeros(len(hashes), bool)
+            same[1:] = hashes[1:] == hashes[:-1]
+            keep = same | batch.column(6).is_valid().to_numpy(zero_copy_only=False)
             keep[:-1] |= same[1:]
             keep[-1:] = True
             keep[:1] = True
-            for row in zip(*(c.to_pylist() for c in batch.filter(pa.array(keep)).columns)):
+            for *row, state in zip(*(c.to_pylist() for c in batch.filter(pa.array(keep)).columns)):
                 h, context, sid, place = row[:4]
-                if h != key:
+                if state is not None:
+                    out.append((*row, state))
+                elif h != key:
                     end_class(classes > 1)
                     key, cls, head, size, classes, last = h, context, row, 1, 1, (sid, place)
                 elif (sid, place) == last:
@@ -366,8 +389,11 @@ def shared_anchors(rows: DataFrame, parts: int) -> DataFrame:
         end_class(classes > 1)
         yield _rows(out)
 
-    ordered = rows.repartition(parts, "hash").sortWithinPartitions("hash", "context", "sid", "place")
-    return map_batches(ordered, run, ANCHOR + ", state int")
+    # Settled rows need no list; they go anywhere, in front of the others.
+    goal = F.when(F.col("state").isNull(), F.col("hash")).otherwise(F.xxhash64("sid", "place"))
+    ordered = (rows.withColumn("goal", goal).repartition(parts, "goal")
+               .sortWithinPartitions(F.col("state").desc_nulls_last(), "hash", "context", "sid", "place").drop("goal"))
+    return map_batches(ordered, run, ANCHOR)
 
 
 def _rows(out: list[tuple]) -> pa.RecordBatch:

@@ -9,7 +9,7 @@ tokens comes back whole.
 
 Most words of a corpus repeat. A text is cut at single spaces, where every
 pattern of this family has a token border, and the ids of each piece are kept
-in a bounded two-generation cache; only pieces not seen lately reach the
+in a task's bounded two-generation cache; only pieces not seen lately reach the
 library. Texts with other white space around a space are encoded in one go.
 
 Defined results: null counts as the empty text and has no ids; special-token
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from sentinela.llm.base import map_batches, pieces, strings
 
-#: Pieces kept per cache generation and worker (about 40 MB each).
+#: Pieces kept per cache generation and task (about 40 MB each); the cache goes with the task.
 CACHE_PIECES = 200_000
 #: Words sent to the library in one call.
 CALL_WORDS = 20_000
@@ -194,12 +194,6 @@ class PieceEncoder:
             self.new[word] = raw[start:end]
 
 
-@functools.lru_cache(maxsize=4)
-def encoder(path: str, capacity: int = CACHE_PIECES) -> PieceEncoder:
-    """The worker's encoder, kept between tasks."""
-    return PieceEncoder(path, capacity)
-
-
 def char_offsets(text: bytes, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First character and end (exclusive) of each token in the text, from the tokens' byte lengths.
 
@@ -219,7 +213,7 @@ def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
            offsets: bool = False) -> DataFrame:
     """``id_col``, n_tokens, ids (binary) and, if asked for, starts and ends (arrays of character offsets)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, table = encoder(path), load(path)[1]
+        enc, table = PieceEncoder(path), load(path)[1]
         sizes = np.array([len(t or b"") for t in table], np.int64)
         for whole in batches:
             for batch in pieces(whole, "text", 2 << 20):

@@ -30,15 +30,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sentinela.llm.base import map_batches, pieces, strings
-from sentinela.llm.byte_bpe import encoder
+from sentinela.llm.byte_bpe import PieceEncoder
 
 TIERS = (128, 256, 512, 1024)
 #: Tokens of waiting pieces that a task holds before it packs them.
 BUFFER_TOKENS = 1 << 20
 #: Windows of one tier that a step group takes from a flush.
 GROUP_WINDOWS = 32
-#: Pieces of text whose ids a worker keeps per cache generation (about 100 MB each).
-CACHE_PIECES = 500_000
+#: Pieces of text whose ids a task keeps per cache generation (about 70 MB each).
+CACHE_PIECES = 350_000
 ID_BYTES = 4
 CLOSING = (0).to_bytes(ID_BYTES, "little")
 
@@ -157,7 +157,7 @@ def pack(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text
     names = [c.strip().split(" ")[0] for c in schema.split(",")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, packer, types = encoder(path, CACHE_PIECES), Packer(tiers), None
+        enc, packer, types = PieceEncoder(path, CACHE_PIECES), Packer(tiers), None
         base = TaskContext.get().partitionId() << 40
 
         def written(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:

@@ -22,12 +22,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # A same-day rerun replaces only the partitions it writes (K2).
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Stream state for the velocity rule survives restarts in RocksDB.
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 

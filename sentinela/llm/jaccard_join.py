@@ -427,6 +427,43 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int, parts: int) -> Dat
 
 # --- 4. long lists ----------------------------------------------------------
 
+def folded(bits: np.ndarray, width: int) -> np.ndarray:
+    """Parity bitmaps (rows of 64-bit words) folded to ``width`` words."""
+    while bits.shape[-1] > width:
+        half = bits.shape[-1] // 2
+        bits = bits[..., :half] ^ bits[..., half:]
+    return bits
+
+
+class Queries:
+    """Sets that one member after another is held against, all at once: the bounds of :func:`may_link`."""
+
+    def __init__(self, percent: int):
+        self.percent = percent
+        self.rows: dict[int, list] = {}       # words of the bitmap -> (n, bits, payload)
+        self.tables: dict[int, tuple] = {}    # the same as arrays, and their folds
+
+    def add(self, n: int, bits: bytes, payload: tuple) -> None:
+        self.rows.setdefault(len(bits) // 8, []).append((n, bits, payload))
+
+    def plausible(self, n: int, bits: bytes) -> Iterator[tuple]:
+        """Payloads of the queries that may link with the member."""
+        if len(self.tables) < len(self.rows):
+            for words, rows in self.rows.items():
+                table = np.frombuffer(b"".join(r[1] for r in rows), np.uint64).reshape(-1, words)
+                self.tables[words] = (np.array([r[0] for r in rows], np.int64), {words: table})
+        own = np.frombuffer(bits, np.uint64)
+        for words, (sizes, folds) in self.tables.items():
+            width = min(words, len(own))
+            if width not in folds:
+                folds[width] = folded(folds[words], width)
+            differ = np.bitwise_count(folds[width] ^ folded(own, width)).sum(axis=1, dtype=np.int64)
+            need = -(-self.percent * (sizes + n) // (100 + self.percent))
+            fits = (100 * np.minimum(sizes, n) >= self.percent * np.maximum(sizes, n)) & (differ <= sizes + n - 2 * need)
+            for k in np.flatnonzero(fits).tolist():
+                yield self.rows[words][k][2]
+
+
 def leader_pairs(long_: DataFrame) -> DataFrame:
     """Each entry of a long list with the list's leader: the entry that stands in most long lists."""
     weight = long_.groupBy("sid").agg(F.count("*").alias("w"))
@@ -454,20 +491,18 @@ def outside_pairs(long_: DataFrame, bitmaps: DataFrame, comps: DataFrame, percen
                           "sid", "comp", "n", "bits", "lists", "outside")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, queries = None, []
+        key, queries = None, Queries(percent)
         for batch in batches:
             a, b = [], []
             for shingle, qb, mb, side, sid, comp, n, bits, lists_, outside in zip(*(c.to_pylist() for c in batch.columns)):
                 if (shingle, qb, mb) != key:
-                    key, queries = (shingle, qb, mb), []
+                    key, queries = (shingle, qb, mb), Queries(percent)
                 if side == 0:
-                    queries.append((sid, comp, n, bits, set(lists_)))
+                    queries.add(n, bits, (sid, comp, set(lists_)))
                     continue
-                for q_sid, q_comp, q_n, q_bits, q_lists in queries:
+                for q_sid, q_comp, q_lists in queries.plausible(n, bits):
                     if q_comp == comp or (outside and q_sid < sid):
                         continue
-                    if not may_link(q_n, q_bits, n, bits, percent):
-                        continue
                     # A pair of several lists is given by the first of them only.
                     if next(x for x in lists_ if x in q_lists) == shingle:
                         a.append(q_sid)

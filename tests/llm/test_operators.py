@@ -337,6 +337,20 @@ def test_divide_skip_random():
             assert sorted(jaccard_join.divide_skip(query, sets, percent)) == want
 
 
+def test_queries_equal_pairwise_bounds():
+    rng = random.Random(13)
+    pool = [rng.getrandbits(64) for _ in range(900)]
+    sets = [np.unique(np.array(rng.sample(pool, rng.choice([3, 60, 64, 65, 140, 150, 600])), np.uint64)) for _ in range(40)]
+    sets += [s[:-1] for s in sets if len(s) > 3]
+    rows = [(len(s), jaccard_join.parity_bitmap(s, wide=True)) for s in sets]
+    queries = jaccard_join.Queries(80)
+    for k, (n, bits) in enumerate(rows):
+        queries.add(n, bits, (k,))
+    for n, bits in rows:
+        want = {k for k, (m, other) in enumerate(rows) if jaccard_join.may_link(n, bits, m, other, 80)}
+        assert {k for k, in queries.plausible(n, bits)} == want
+
+
 def test_one_per_group(spark, docs):
     kept = jaccard_join.one_per_group(docs.filter("doc_id is not null"))
     ids = [r["doc_id"] for r in kept.collect()]

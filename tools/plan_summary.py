@@ -65,7 +65,7 @@ def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = build_session()
     print(f"# Physical plans of the headline queries ({sf_dir}, local[8], AQE on)\n")
-    print("Generated by `tools/plan_summary.py`. Counts are over the final adaptive plan, scalar subqueries "
+    print("Generated by `tools/plan_summary.py`. Counts are over the text of the executed plan, which names the final and the initial plan of each adaptive query (so most count double), scalar subqueries "
           "included. `SinglePartition` exchanges only ever carry global aggregates (one row per task).\n")
     print("| query | shuffles | of which single-partition | broadcasts | sort-merge joins | broadcast joins "
           "| window ops | python nodes | widest parquet read (cols) | pushed filters |")

@@ -6,12 +6,18 @@ weighs its length over three bytes (so function words weigh little, at most
 eight), a pair weighs four, and every occurrence votes with its weight for or
 against each bit. Equal texts have equal fingerprints.
 
-Search: two fingerprints within ``radius`` bits agree on at least one of
-``radius + 1`` blocks. The distinct fingerprints are entered once per block,
-keyed by the block number and its bits (the permuted tables); within a key
-all pairs are compared by popcount. A key with many entries is split again by
-the remaining bits, by the same argument, so a hot block does not turn into
-all pairs. A pair is counted only under the first block on which it agrees.
+Search: of ``radius + 3`` or more blocks, two fingerprints within ``radius``
+bits agree on at least three, the first of them among the first ``radius + 1``.
+The distinct fingerprints are entered once per such block, keyed by the block
+number and its bits (the permuted tables). A key with many entries is searched
+under keys of two and three blocks, by the same argument, where these are
+selective; pairs are compared by popcount, tile by tile. A pair is counted
+only under the first blocks on which it agrees, so the search is exact.
+
+``RADIUS`` is chosen from edited texts: of 404 copies of sf0.001 texts (60 to
+600 words, one word to 3 % of the words changed) whose five-word shingles keep
+a Jaccard similarity of 0.8, 96 % lie within 13 bits, and 89 % of those between
+0.8 and 0.85; 3 bits reach 17 % and 4 %. Unrelated texts differ in about 64.
 
 Defined results: null and empty texts have the fingerprint 0; copies of a text
 share one entry, whatever their number; an empty table gives an empty result.
@@ -32,14 +38,14 @@ from pyspark.sql import functions as F
 from sentinela.llm.base import map_batches, materialise, pieces, ship, strings, text_or_empty
 
 BITS = 128
-RADIUS = 3
+RADIUS = 13
 PAIR_WEIGHT, SHORT, MOST = 4, 3, 8
 #: Distinct spellings whose hashes a worker keeps.
 CACHE_WORDS = 200_000
 #: Terms voted at a time (their bits are 128 numbers each).
 VOTE_TERMS = 1 << 14
-#: Entries of one block key that are compared directly.
-DIRECT = 512
+#: Up to so many entries a key's pairs are compared directly, in tiles of so many rows a side.
+DIRECT, TILE = 2048, 512
 #: Sorts before every id; stands for a null id.
 NULL_KEY = -(1 << 63)
 
@@ -102,12 +108,15 @@ def vote(hashes: np.ndarray, weights: np.ndarray | None) -> np.ndarray:
     return 2.0 * (weights @ bits.astype(np.float32)).astype(np.float64) - float(weights.sum())
 
 
+def half(c: Column, k: int) -> Column:
+    """64-bit half ``k`` of a hex fingerprint."""
+    # Two 32-bit quarters joined: conv() alone would saturate at the signed limit.
+    part = lambda i: F.conv(c.substr(i * 8 + 1, 8), 16, 10).cast("long")
+    return F.shiftleft(part(2 * k), 32).bitwiseOR(part(2 * k + 1))
+
+
 def likeness(a: Column, b: Column) -> Column:
     """1 less the share of differing bits of two hex fingerprints."""
-    def half(c: Column, k: int) -> Column:
-        # Two 32-bit quarters joined: conv() alone would saturate at the signed limit.
-        part = lambda i: F.conv(c.substr(i * 8 + 1, 8), 16, 10).cast("long")
-        return F.shiftleft(part(2 * k), 32).bitwiseOR(part(2 * k + 1))
     distance = sum((F.bit_count(half(a, k).bitwiseXOR(half(b, k))) for k in (0, 1)), F.lit(0))
     return 1 - distance / F.lit(float(BITS))
 
@@ -213,73 +222,66 @@ def edits(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", parts:
 
 # --- search -----------------------------------------------------------------
 
-def popcounts(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(a ^ b).sum(axis=-1, dtype=np.int64)
-
-
-def near_pairs(fps: np.ndarray, radius: int, blocks: list[tuple[int, int]], block: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs (i, j) of rows of ``fps`` (uint64 x 2, equal on block ``block``) within ``radius`` that agree on no
-    earlier block; oversized groups are split by the bits outside the block."""
-    def agree(i: np.ndarray, j: np.ndarray, upto: int) -> np.ndarray:
-        early = np.zeros(len(i), bool)
-        for lo, hi in blocks[:upto]:
-            early |= (field(fps[i], lo, hi) == field(fps[j], lo, hi))
-        return early
-
-    def direct(rows: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        for at in range(0, len(rows), DIRECT):
-            chunk = rows[at:at + DIRECT]
-            rest = rows[at:]
-            close = popcounts(fps[chunk][:, None], fps[rest][None]) <= radius
-            i, j = np.nonzero(close)
-            keep = j > i
-            yield chunk[i[keep]], rest[j[keep]]
-
-    rows = np.arange(len(fps))
-    if len(rows) <= DIRECT:
-        found = direct(rows)
-        for i, j in found:
-            keep = ~agree(i, j, block)
-            yield i[keep], j[keep]
-        return
-    # Pigeonhole again over the other bits: radius + 1 parts, of which one at least is equal.
-    others = [b for k, b in enumerate(blocks) if k != block]
-    parts = split_bits(others, radius + 1)
-    keys = [np.stack([field(fps, lo, hi) for lo, hi in part], axis=1) for part in parts]
-    for k, key in enumerate(keys):
-        order = np.lexsort(key.T)
-        same = (key[order][1:] == key[order][:-1]).all(axis=1)
-        for group in np.split(order, np.flatnonzero(~same) + 1):
-            if len(group) < 2:
-                continue
-            for i, j in direct(np.sort(group)):
-                keep = ~agree(i, j, block)
-                for earlier in keys[:k]:
-                    keep &= ~(earlier[i] == earlier[j]).all(axis=1)
-                yield i[keep], j[keep]
+class Search:
+    """Counts, for each row of ``fps`` (uint64 x 2), the weights of the other rows within ``radius``."""
+
+    def __init__(self, fps: np.ndarray, weights: np.ndarray, radius: int, blocks: list[tuple[int, int]]):
+        self.fps, self.weights, self.radius, self.blocks = fps, weights, radius, blocks
+        self.total = np.zeros(len(fps), np.int64)
+
+    def run(self, a: np.ndarray, b: np.ndarray | None, agreed: tuple[int, ...]) -> None:
+        """Counts pairs of rows of ``a`` and ``b`` (None: within ``a``) whose first equal blocks are ``agreed``."""
+        size = len(a) * len(a if b is None else b)
+        spare = len(self.blocks) - self.radius - len(agreed)
+        if size > DIRECT * DIRECT and spare > 0:
+            # The next block on which a close pair agrees; taken only where its keys are selective.
+            nexts = range(agreed[-1] + 1, len(self.blocks) - spare + 1)
+            split = [(k, list(self.groups(a, b, k))) for k in nexts]
+            if 2 * sum(len(x) * len(x if y is None else y) for _, gs in split for x, y in gs) < size:
+                for k, gs in split:
+                    for x, y in gs:
+                        self.run(x, y, (*agreed, k))
+                return
+        skip = [k for k in range(agreed[-1]) if k not in agreed]
+        for at in range(0, len(a), TILE):
+            for to in range(at if b is None else 0, len(a if b is None else b), TILE):
+                self.tile(a[at:at + TILE], (a if b is None else b)[to:to + TILE], b is None and at == to, skip)
+
+    def groups(self, a: np.ndarray, b: np.ndarray | None, k: int) -> Iterator[tuple[np.ndarray, np.ndarray | None]]:
+        """Rows that agree on block ``k``."""
+        own = field(self.fps[a], *self.blocks[k])
+        order = np.argsort(own, kind="stable")
+        values, starts = np.unique(own[order], return_index=True)
+        sides = np.split(a[order], starts[1:])
+        if b is None:
+            yield from ((x, None) for x in sides if len(x) > 1)
+            return
+        other = field(self.fps[b], *self.blocks[k])
+        order = np.argsort(other, kind="stable")
+        lo, hi = (np.searchsorted(other[order], values, side=s) for s in ("left", "right"))
+        yield from ((x, b[order[i:j]]) for x, i, j in zip(sides, lo, hi) if j > i)
+
+    def tile(self, a: np.ndarray, b: np.ndarray, same: bool, skip: list[int]) -> None:
+        x = [self.fps[a, h][:, None] ^ self.fps[b, h][None] for h in (0, 1)]
+        close = np.bitwise_count(x[0]) + np.bitwise_count(x[1]) <= self.radius
+        i, j = np.nonzero(np.triu(close, 1) if same else close)
+        for k in skip:
+            if not len(i):
+                return
+            lo, hi = self.blocks[k]
+            mask = np.uint64(((1 << (hi - lo)) - 1) << (64 - hi % 64 if hi % 64 else 0))
+            keep = x[lo // 64][i, j] & mask != 0
+            i, j = i[keep], j[keep]
+        if len(i):
+            # Sums of weights are row counts, exact as doubles.
+            for rows, own, far in ((a, i, self.weights[b[j]]), (b, j, self.weights[a[i]])):
+                self.total[rows] += np.bincount(own, far, len(rows)).astype(np.int64)
 
 
 def field(fps: np.ndarray, lo: int, hi: int) -> np.ndarray:
     """Bits lo..hi (from the most significant of 128); a field lies within one 64-bit half."""
-    half, start, width = lo // 64, lo % 64, hi - lo
-    return (fps[:, half] << np.uint64(start)) >> np.uint64(64 - width)
-
-
-def split_bits(ranges: list[tuple[int, int]], parts: int) -> list[list[tuple[int, int]]]:
-    """Cuts bit ranges into ``parts`` lists of ranges of nearly equal total width, each range within a half."""
-    bits = [b for lo, hi in ranges for b in range(lo, hi)]
-    out = []
-    for k in range(parts):
-        own = bits[k * len(bits) // parts:(k + 1) * len(bits) // parts]
-        pieces_, at = [], None
-        for b in own:
-            if at is not None and b == at[1] and b // 64 == at[0] // 64:
-                at[1] = b + 1
-            else:
-                at = [b, b + 1]
-                pieces_.append(at)
-        out.append([tuple(p) for p in pieces_])
-    return out
+    side, start, width = lo // 64, lo % 64, hi - lo
+    return (fps[:, side] << np.uint64(start)) >> np.uint64(64 - width)
 
 
 def block_ranges(radius: int) -> list[tuple[int, int]]:
@@ -293,45 +295,54 @@ def block_ranges(radius: int) -> list[tuple[int, int]]:
 
 def neighbours(df: DataFrame, id_col: str = "doc_id", fp_col: str = "fingerprint", radius: int = RADIUS) -> DataFrame:
     """Per row: class_id (smallest id with the same fingerprint), near_docs (other rows within ``radius``)."""
-    blocks = block_ranges(radius)
+    # Two blocks more than the pigeonhole needs: a close pair agrees on three.
+    blocks = block_ranges(radius + 2)
     distinct = materialise(df.groupBy(F.col(fp_col).alias("fp"))
-                           .agg(F.min(id_col).alias("class_id"), F.count("*").alias("n")), "simhash-classes")
-    entries = (distinct.select("fp", "n", F.posexplode(F.array(*[
-        bits_of(F.col("fp"), lo, hi) for lo, hi in blocks])).alias("block", "bits")))
+                           .agg(F.min(id_col).alias("class_id"), F.count("*").alias("n"))
+                           .withColumns({"hi": half(F.col("fp"), 0), "lo": half(F.col("fp"), 1)}), "simhash-classes")
+    entries = distinct.select("hi", "lo", "n", F.posexplode(F.array(*[
+        bits_of(F.col("fp"), lo, hi) for lo, hi in blocks[:radius + 1]])).alias("block", "bits"))
+    key = ["block", "bits"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def close(block: int, fps: list[str], ns: list[int]) -> pa.RecordBatch | None:
-            if len(fps) < 2:
+        def close(group: list[np.ndarray]) -> tuple[np.ndarray, ...] | None:
+            block, _, hi, lo, n = group
+            if len(n) < 2:
                 return None
-            values = np.frombuffer(bytes.fromhex("".join(fps)), ">u8").reshape(-1, 2).astype(np.uint64)
-            weight, total = np.array(ns, np.int64), np.zeros(len(ns), np.int64)
-            for i, j in near_pairs(values, radius, blocks, block):
-                np.add.at(total, i, weight[j])
-                np.add.at(total, j, weight[i])
-            hit = np.flatnonzero(total)
-            return pa.RecordBatch.from_arrays([pa.array([fps[k] for k in hit], pa.string()),
-                                               pa.array(total[hit], pa.int64())], names=["fp", "near"])
-        key, fps, ns = None, [], []
+            search = Search(np.stack([hi, lo], axis=1).view(np.uint64), n, radius, blocks)
+            search.run(np.arange(len(n)), None, (int(block[0]),))
+            hit = np.flatnonzero(search.total)
+            return hi[hit], lo[hit], search.total[hit]
+
+        def result(found: list) -> pa.RecordBatch:
+            cols = [np.concatenate(c) for c in zip(*(f for f in found if f is not None))] or [np.zeros(0, np.int64)] * 3
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["hi", "lo", "near"])
+
+        held = None   # the rows of the key that may go on in the next batch
         for batch in batches:
-            for b, bits, fp, n in zip(*(c.to_pylist() for c in batch.columns)):
-                if (b, bits) != key:
-                    if key is not None and (found := close(key[0], fps, ns)) is not None:
-                        yield found
-                    key, fps, ns = (b, bits), [], []
-                fps.append(fp)
-                ns.append(n)
-        if key is not None and (found := close(key[0], fps, ns)) is not None:
-            yield found
+            cols = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            if held is not None:
+                cols = [np.concatenate(c) for c in zip(held, cols)]
+            if not len(cols[0]):
+                continue
+            new = np.zeros(len(cols[0]) - 1, bool)
+            for c in cols[:len(key)]:
+                new |= c[1:] != c[:-1]
+            cuts = [0, *(np.flatnonzero(new) + 1).tolist()]
+            held = [c[cuts[-1]:] for c in cols]
+            yield result([close([c[at:to] for c in cols]) for at, to in zip(cuts, cuts[1:])])
+        if held is not None:
+            yield result([close(held)])
 
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    grouped = (entries.select("block", "bits", "fp", "n").repartition(parts, "block", "bits")
-               .sortWithinPartitions("block", "bits", "fp"))
-    near = map_batches(grouped, run, "fp string, near bigint").groupBy("fp").agg(F.sum("near").alias("near"))
-    classes = distinct.join(near, "fp", "left").select(
+    grouped = (entries.select(*key, "hi", "lo", "n").repartition(parts, *key).sortWithinPartitions(*key))
+    near = (map_batches(grouped, run, "hi bigint, lo bigint, near bigint")
+            .groupBy("hi", "lo").agg(F.sum("near").alias("near")))
+    classes = distinct.join(near, ["hi", "lo"], "left").select(
         F.col("fp").alias("_fp"), "class_id", (F.col("n") - 1 + F.coalesce("near", F.lit(0))).alias("near_docs"))
     return df.join(classes, F.col(fp_col) == F.col("_fp"), "left").drop("_fp")
 
 
 def bits_of(fp: Column, lo: int, hi: int) -> Column:
-    """Bits lo..hi of a hex fingerprint; the range covers whole hex digits."""
-    return fp.substr(lo // 4 + 1, (hi - lo) // 4)
+    """Bits lo..hi of a hex fingerprint as a number; the range covers whole hex digits, at most 15."""
+    return F.conv(fp.substr(lo // 4 + 1, (hi - lo) // 4), 16, 10).cast("long")

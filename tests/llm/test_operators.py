@@ -63,6 +63,58 @@ def test_simhash_neighbours_equal_brute_force(spark):
             assert got[i] == (values.index(v), sum((v ^ w).bit_count() <= radius for w in values) - 1)
 
 
+def test_simhash_radius_finds_edited_copies(spark):
+    """Of copies with words changed that keep a Jaccard similarity of 0.8, 90 % are found at the dealt radius."""
+    rng = random.Random(5)
+    texts = [r["text"].split() for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+             .orderBy("doc_id").collect() if r["text"] and 60 <= len(r["text"].split()) <= 600]
+    vocabulary, rows, near = [w for t in texts for w in t], [], 0
+    for t in texts:
+        for share in (0, 0.01, 0.02):
+            copy = list(t)
+            for p in rng.sample(range(len(t)), max(1, round(share * len(t)))):
+                copy[p] = rng.choice(vocabulary)
+            a, b = ({tuple(x[i:i + 5]) for i in range(len(x) - 4)} for x in (t, copy))
+            if 100 * len(a & b) >= 80 * len(a | b):
+                rows += [(len(rows), " ".join(t)), (len(rows) + 1, " ".join(copy))]
+    found = simhash.fingerprints(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    prints = {r["doc_id"]: int(r["fingerprint"], 16) for r in found.collect()}
+    got = {r["doc_id"]: r["near_docs"] for r in simhash.neighbours(found).collect()}
+    for i, v in prints.items():
+        assert got[i] == sum((v ^ w).bit_count() <= simhash.RADIUS for w in prints.values()) - 1
+    for i in range(0, len(rows), 2):
+        near += (prints[i] ^ prints[i + 1]).bit_count() <= simhash.RADIUS
+    assert len(rows) > 600 and near >= 0.9 * len(rows) / 2
+
+
+@pytest.mark.parametrize("direct", [4, 64])
+def test_simhash_split_keys_equal_brute_force(spark, direct, monkeypatch):
+    rng = random.Random(4)
+    values = [rng.getrandbits(128) for _ in range(300)]
+    for _ in range(300):
+        v = rng.choice(values[:40])
+        for p in rng.sample(range(128), rng.randint(0, 16)):
+            v ^= 1 << p
+        values.append(v)
+    fps = np.array([[v >> 64, v & (1 << 64) - 1] for v in values], np.uint64)
+    blocks = simhash.block_ranges(15)
+    monkeypatch.setattr(simhash, "DIRECT", direct)
+    monkeypatch.setattr(simhash, "TILE", 8)
+    want = [sum((v ^ w).bit_count() <= 13 for w in values) - 1 for v in values]
+    for halves in (False, True):       # as one list, and as pairs of two lists
+        total = np.zeros(len(values), np.int64)
+        for k in range(14):
+            for key in set(simhash.field(fps, *blocks[k]).tolist()):
+                rows = np.flatnonzero(simhash.field(fps, *blocks[k]) == key)
+                parts = [(rows[::2], None), (rows[1::2], None), (rows[::2], rows[1::2])] if halves else [(rows, None)]
+                search = simhash.Search(fps, np.ones(len(fps), np.int64), 13, blocks)
+                for a, b in parts:
+                    if len(a) and (b is None or len(b)):
+                        search.run(a, b, (k,))
+                total += search.total
+        assert total.tolist() == want
+
+
 def test_simhash_likeness(spark):
     df = spark.createDataFrame([("f" * 32, "0" * 32), ("8" + "0" * 31, "0" * 32)], "a string, b string")
     assert [r[0] for r in df.select(simhash.likeness(F.col("a"), F.col("b"))).collect()] == [0.0, 127 / 128]

@@ -29,7 +29,9 @@ correct, this one only shortens the lists.
 
 Defined results: null, empty or blank text has an empty set, links with
 nothing and is its own component; a text of fewer than n words is one shingle;
-repeated rows are copies; an empty table gives an empty result.
+repeated rows are copies; a null id is smallest of none (documents linked only
+with others without an id have a null component_id); an empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -41,7 +43,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sentinela.llm.base import fresh, map_batches, materialise, pieces, utf8
@@ -365,8 +367,12 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
 
     ids = wanted.select("id").distinct()
     few = ids.limit(BROADCAST_SETS + 1).count() <= BROADCAST_SETS
+    schema = "sid binary, shingles binary"
     picked = docs.join(F.broadcast(ids) if few else ids, "id", "left_semi").select("text")
-    return map_batches(picked, run, "sid binary, shingles binary").dropDuplicates(["sid"])
+    # Sets that only documents without an id have are found among these by the set id.
+    nameless = (map_batches(docs.filter("id is null").select("text"), run, schema)
+                .join(wanted.filter("id is null").select("sid"), "sid", "left_semi"))
+    return map_batches(picked, run, schema).unionByName(nameless).dropDuplicates(["sid"])
 
 
 def plausible(pairs: DataFrame, bitmaps: DataFrame, percent: int) -> DataFrame:
@@ -555,11 +561,19 @@ def jaccard_components(df: DataFrame, n: int = 5, percent: int = 80, id_col: str
 
 def one_per_group(df: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id",
                   text_col: str = "text") -> DataFrame:
-    """``df`` with one row of each group of linked documents: the one with the smallest id (then text)."""
-    groups = jaccard_components(df, n, percent, id_col, text_col)
-    heads = groups.filter(F.col("component_id") == F.col(id_col)).select(id_col).distinct()
-    kept = df.join(heads, id_col, "left_semi")
-    # Rows that repeat an id are copies in name; the first by text stands for them.
-    first = Window.partitionBy(id_col).orderBy(text_col)
-    mark = fresh(df, "_first_of_id")
-    return kept.withColumn(mark, F.row_number().over(first)).filter(F.col(mark) == 1).select(*df.columns)
+    """``df`` with one row of each group of linked documents: the one with the smallest id, null ids last
+    (equal ids: with the smallest digest of the text).
+
+    Only links and repeats remove rows. A repeat has the id and the text of
+    another row; blank texts link with nothing, so without an id they all stay.
+    """
+    text = F.col(text_col).cast("string")
+    mark = fresh(df, "_row")
+    # A row's key: its id and a 128-bit digest of its text; never null itself, so that it joins.
+    named = df.withColumn(mark, F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"),
+                                         F.unhex(F.md5(text.cast("binary"))).alias("digest")))
+    single = F.col(id_col).isNull() & ~F.coalesce(text.rlike(r"[^\t\n\x0B\f\r ]"), F.lit(False))
+    groups = jaccard_components(named, n, percent, mark, text_col)
+    heads = groups.filter(F.col("component_id") == F.col(mark)).select(mark).distinct()
+    kept = named.filter(~single).join(heads, mark, "left_semi").dropDuplicates([mark])
+    return kept.select(*df.columns).unionByName(df.filter(single))

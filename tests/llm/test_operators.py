@@ -409,6 +409,35 @@ def test_one_per_group(spark, docs):
     assert kept.columns == docs.columns and sorted(ids) == [1, 2, 3, 4, 5, 6, 8, 10, 12, 13, 14, 15, 16]
 
 
+def test_one_per_group_drops_by_link_only(spark, docs):
+    """Null ids, equal ids of different texts, blank texts: rows go only with a link or as a repeat."""
+    kept = jaccard_join.one_per_group(docs)
+    ids = [r["doc_id"] for r in kept.collect()]
+    assert sorted(ids, key=key) == [None, 1, 2, 3, 4, 5, 6, 8, 10, 12, 13, 14, 15, 16]
+    base = " ".join(f"w{i}" for i in range(60))
+    near = base + " more"
+    other, third = "a text of its own with seven words", "yet another text that nothing links with"
+    rows = [(None, other), (None, third), (None, third), (None, None), (None, None), (None, ""), (2, None), (2, None),
+            (7, base), (7, "seven again but a different text altogether"), (7, "seven again but a different text altogether"),
+            (9, near), (9, "nine has a clean second text of its own here"), (None, base + " most")]
+    got = jaccard_join.one_per_group(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    want = [(None, other), (None, third), (None, None), (None, None), (None, ""), (2, None), (7, base),
+            (7, "seven again but a different text altogether"), (9, "nine has a clean second text of its own here")]
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+
+
+def test_jaccard_links_between_documents_without_ids(spark):
+    base = " ".join(f"w{i}" for i in range(60))
+    rows = [(None, base), (None, base + " more"), (5, "another text of some words here"), (None, "on its own")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = jaccard_join.one_per_group(df).collect()
+    assert sorted(r["text"] == "on its own" or r["doc_id"] == 5 for r in got) == [False, True, True]
+    # Two sets of null ids link through one another with the smallest id of the group.
+    df = df.unionByName(spark.createDataFrame([(3, base + " more tail")], "doc_id bigint, text string"))
+    got = jaccard_join.jaccard_components(df, 5, 80).collect()
+    assert sorted(key(r["component_id"]) for r in got) == [-1, 3, 3, 3, 5]
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 140)] + [(200, 200), (7, 3)]
     df = spark.createDataFrame(edges, "a bigint, b bigint")

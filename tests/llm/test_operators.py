@@ -87,6 +87,12 @@ def test_simhash_radius_finds_edited_copies(spark):
     assert len(rows) > 600 and near >= 0.9 * len(rows) / 2
 
 
+def test_simhash_short_words_count():
+    h = simhash.Hasher()
+    prints = [h.fingerprint(t.encode()) for t in ("yes", "no", "a", "漢", "", " \n")]
+    assert len(set(prints[:4])) == 4 and bytes(16) not in prints[:4] and prints[4:] == [bytes(16)] * 2
+
+
 @pytest.mark.parametrize("direct", [4, 64])
 def test_simhash_split_keys_equal_brute_force(spark, direct, monkeypatch):
     rng = random.Random(4)

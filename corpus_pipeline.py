@@ -59,7 +59,7 @@ STAGES = [
     ("suffix_dedup", cut_repeats),
     ("packing", pack_sequences),
 ]
-#: SQL has no learned models or tokenizers; the tests hold the stages against brute force instead.
+#: SQL has no learned models or tokenizers; the tests hold the Jaccard and suffix stages against brute force instead.
 ORACLE_SQL = None
 
 

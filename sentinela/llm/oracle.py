@@ -77,4 +77,69 @@ SELECT conv_id, count(*) AS n_turns,
 FROM f GROUP BY conv_id
 """
 
-ORACLE = {"op2_quality_rules": OP2, "op3_url_filter": OP3, "op5_chat_format": OP5}
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+OP11 = rf"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, string_split_regex({_LOWER}, '[.,;:!?\x0A-\x0D]') AS ps FROM documents),
+p AS (SELECT lang, regexp_extract_all(unnest(ps), '[^\x20\x09]+') AS w FROM d),
+g AS (
+    SELECT lang, m, w[i:i + m - 1] AS h
+    FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM p CROSS JOIN (SELECT unnest([1, 2, 3, 4]) AS m) WHERE len(w) >= m)),
+f AS (SELECT lang, m, h, count(*) AS a FROM g GROUP BY lang, m, h HAVING count(*) >= 30),
+tot AS (SELECT lang, count(*) AS n FROM g WHERE m = 1 GROUP BY lang),
+inside AS (
+    SELECT lang, h, max(a) AS a FROM (
+        SELECT lang, h[i:j] AS h, a
+        FROM (SELECT lang, h, a, m, unnest([1, 2, 3]) AS i FROM f WHERE m > 2) s, (SELECT unnest([2, 3, 4]) AS j) e
+        WHERE j > i AND j <= m AND j - i + 1 < m) GROUP BY lang, h),
+c AS (
+    SELECT f.* FROM f LEFT JOIN inside USING (lang, h)
+    WHERE m > 1 AND (inside.a IS NULL OR 100 * inside.a::HUGEINT < 80 * f.a::HUGEINT)),
+cut AS (SELECT lang, h, m, a, unnest(range(1, m)) AS k FROM c),
+s AS (
+    SELECT cut.*, x.a AS l, y.a AS r, (2000000 * cut.a::HUGEINT) // (x.a + y.a) AS score
+    FROM cut JOIN f x ON x.lang = cut.lang AND x.h = cut.h[1:k] JOIN f y ON y.lang = cut.lang AND y.h = cut.h[k + 1:cut.m]),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, h ORDER BY score, k) = 1),
+o AS (SELECT lang, array_to_string(h, ' ') AS phrase, a, l, r, score FROM b)
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM o) JOIN tot USING (lang)
+WHERE rank <= 2000
+"""
+
+OP12 = rf"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS rid, regexp_extract_all({_LOWER}, '{_TERM}') AS w FROM documents),
+st AS (SELECT count(*) FILTER (len(w) > 0) AS cn, sum(len(w)) AS cl FROM d),
+it AS (SELECT DISTINCT item_id, unnest(regexp_extract_all({_LOWER}, '{_TERM}')) AS t FROM benchmark),
+tf AS (SELECT rid, t, count(*) AS tf FROM (SELECT rid, unnest(w) AS t FROM d) WHERE t IN (SELECT t FROM it) GROUP BY rid, t),
+wt AS (SELECT t, CAST(floor(1000 * ln(CAST(2 * any_value(cn) + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS wt
+       FROM tf, st GROUP BY t),
+m AS (SELECT rid, doc_id, CAST(100 - 50 + ((50 * len(w) * cn) // cl) AS BIGINT) AS m FROM d, st),
+sc AS (
+    SELECT item_id, rid, doc_id, CAST(sum(wt * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+    FROM it JOIN tf USING (t) JOIN wt USING (t) JOIN m USING (rid) GROUP BY item_id, rid, doc_id)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM sc WHERE score > 0)
+WHERE rank <= 50
+"""
+
+OP13 = rf"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS rid, regexp_extract_all({_LOWER}, '{_TERM}') AS w FROM documents),
+i AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all({_LOWER}, '{_TERM}') AS w FROM benchmark),
+win AS (
+    SELECT DISTINCT item, least(len(w), 10) AS k, w[s:s + least(len(w), 10) - 1] AS g
+    FROM (SELECT item, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS s FROM i WHERE len(w) > 0)),
+lens AS (SELECT DISTINCT k FROM win),
+spot AS (
+    SELECT rid, s, k, w[s:s + k - 1] AS g
+    FROM (SELECT rid, w, k, unnest(range(1, len(w) - k + 2)) AS s FROM d CROSS JOIN lens WHERE len(w) >= k)),
+hit AS (SELECT rid, s, k, item FROM spot JOIN win USING (k, g)),
+pos AS (SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(s, s + k)) AS p FROM hit) GROUP BY rid),
+its AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT rid, item FROM hit) GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN pos USING (rid) LEFT JOIN its USING (rid)
+"""
+
+ORACLE = {"op2_quality_rules": OP2, "op3_url_filter": OP3, "op5_chat_format": OP5, "op11_collocations": OP11,
+          "op12_lexical_search": OP12, "op13_decontamination": OP13}

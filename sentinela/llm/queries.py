@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from sentinela.llm import (
-    byte_bpe, chat_format, jaccard_join, language_id, packing, quality_ledger, simhash, suffix_dedup, toxicity, url_filter,
+    byte_bpe, chat_format, collocations, decontamination, jaccard_join, language_id, lexical_search, packing, quality_ledger,
+    simhash, suffix_dedup, toxicity, url_filter,
 )
 from sentinela.llm.base import materialise, read_table
 
@@ -99,6 +100,22 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), path)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read_table(spark, sf_dir, "documents"), least=30, cover=80, top=2000) \
+        .select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), k=50)
+
+
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_quality_rules": op2_quality_rules,
@@ -110,4 +127,7 @@ QUERIES = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_toxicity": op9_toxicity,
     "op10_packing": op10_packing,
+    "op11_collocations": op11_collocations,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_decontamination": op13_decontamination,
 }

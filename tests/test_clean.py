@@ -33,7 +33,10 @@ def test_audit_columns_dropped_and_stamps_set(clientes_bronze):
 def test_quality_clientes_messages(clientes_bronze):
     row = quality.quality_row("clientes", clientes_bronze).first()
     assert row["total_original"] == 4 and row["removidos"] == 0
-    assert row["problemas"] == ["1 scores preenchidos com mediana (412)"]
+    # Points and hyphens go, the slash of row 14 stays: 12 characters.
+    wrong = [r for r in clientes_bronze.collect() if len(r["cpf"].replace(".", "").replace("-", "")) != 11]
+    assert len(wrong) == 1
+    assert row["problemas"] == ["1 CPFs com tamanho inválido", "1 scores preenchidos com mediana (412)"]
 
 
 def test_transacoes_values_and_codes(transacoes_bronze):
@@ -42,8 +45,8 @@ def test_transacoes_values_and_codes(transacoes_bronze):
     assert (out[21]["tipo"], out[21]["status"], out[21]["canal"]) == ("ted", "aprovada", "web")
     assert out[23]["score_fraude"] == 0.0 and out[22]["score_fraude"] == 0.9
     assert out[21]["fora_horario_comercial"] is True and out[22]["fora_horario_comercial"] is False
-    assert out[23]["faixa_valor"] is None and out[24]["faixa_valor"] == "muito_alto"
-    assert out[21]["faixa_valor"] == out[25]["faixa_valor"] != out[22]["faixa_valor"]
+    # Bands end at 50, 200, 500, 1000 and 5000, ends included; zero lies in none.
+    assert {i: out[i]["faixa_valor"] for i in out} == {21: "micro", 22: "alto", 23: None, 24: "critico", 25: "pequeno"}
 
 
 def test_invalid_dates_dropped_and_counted(spark, transacoes_bronze):
@@ -52,7 +55,8 @@ def test_invalid_dates_dropped_and_counted(spark, transacoes_bronze):
     assert clean.clean_transacoes(t).count() == 4
     row = quality.quality_row("transacoes", t).first()
     assert row["removidos"] == 1 and row["total_silver"] == 4 and row["fraudes"] == 1
-    assert row["problemas"] == ["1 datas inválidas encontradas", "1 transações com valor zero"]
+    assert row["problemas"] == ["1 datas inválidas encontradas", "1 valores negativos convertidos para positivo",
+                                "1 transações com valor zero"]
     assert row["valor_total"] == 878.20
 
 

@@ -3,7 +3,7 @@
 A task cuts its documents into shards of bounded size. A shard's words become
 ids, its pieces one sequence with breaks between them, and that sequence an
 FM-index: the depth-limited Burrows-Wheeler transform (suffixes sorted by their
-first ``DEPTH`` words), the symbols' starts, and the LF mapping. Enumeration is
+first words, as deep as is asked for), and the LF mapping. Enumeration is
 interval extension in both directions: an interval is the run of suffixes that
 begin with a phrase, extending it to the left sends its rows through the LF
 mapping, where equal symbols before equal intervals stay together, and
@@ -88,15 +88,21 @@ def by_lang(batch: pa.RecordBatch) -> Iterator[tuple[bytes, list[bytes]]]:
 
 # --- the index --------------------------------------------------------------
 
+def stable_order(values: np.ndarray) -> np.ndarray:
+    """``np.argsort(values, kind="stable")`` of small non-negative integers, as one plain sort of (value, place)."""
+    shift = np.int64(max(len(values), 1).bit_length())
+    return np.sort((values.astype(np.int64) << shift) | np.arange(len(values))) & ((np.int64(1) << shift) - 1)
+
+
 class FmIndex:
-    """FM-index of a sequence of word ids (0 is the break), sorted to ``DEPTH`` words.
+    """FM-index of a sequence of word ids (0 is the break), its suffixes sorted by their first ``depth`` words.
 
     ``intervals(d)`` numbers, in suffix order, the interval of each suffix's
     first ``d`` words. ``extend_left`` is backward search for all intervals and
     all symbols at once.
     """
 
-    def __init__(self, ids: np.ndarray, depth: int = DEPTH):
+    def __init__(self, ids: np.ndarray, depth: int = DEPTH - 1):
         n = len(ids)
         self.ids, self.depth = ids, depth
         wide = np.int64(ids.max(initial=0) + 1)
@@ -109,11 +115,11 @@ class FmIndex:
             key[-span:] = rank[-span:] * wide
             values, rank = np.unique(key, return_inverse=True)
             wide, span = np.int64(len(values)), span * 2
-        self.order = np.argsort(rank[:n], kind="stable")               # suffix array, to the depth
+        self.order = stable_order(rank[:n])                            # suffix array, to the depth
         self.bwt = padded[self.order - 1]                              # the word before each suffix
         self.bwt[self.order == 0] = 0
         # Rows in LF order: row j of the index is reached from row came[j] by prepending bwt[came[j]].
-        self.came = np.argsort(self.bwt, kind="stable")
+        self.came = stable_order(self.bwt)
         self.symbol = self.bwt[self.came]
 
     def words_at(self, offset: int) -> np.ndarray:
@@ -251,7 +257,7 @@ def phrase_counts(docs: DataFrame, lengths: tuple[int, ...], seed: int, word_bit
             table = np.array(hashes, np.uint64)
             if known_pairs is not None:
                 ids = self_contained(ids, table, known_pairs, min(lengths))
-            fm = FmIndex(ids)
+            fm = FmIndex(ids, max(lengths) - 1)   # a phrase is an interval one word shorter, extended
             for length in lengths:
                 phrases, counts = fm.phrases(length)
                 for at in range(0, len(counts), 200_000):

@@ -85,8 +85,8 @@ def test_collocations_ties_repeats_long_and_empty(spark):
 def test_index_extends_left_and_right_like_a_count():
     rng = np.random.default_rng(2)
     ids = rng.integers(0, 5, 700).astype(np.int32)
-    fm = collocations.FmIndex(ids)
     for m in (1, 2, 3, 4):
+        fm = collocations.FmIndex(ids, max(m - 1, 1))
         want = Counter(tuple(ids[i:i + m]) for i in range(len(ids) - m + 1) if (ids[i:i + m] != 0).all())
         found, counts = fm.phrases(m)
         assert {tuple(p): int(c) for p, c in zip(found, counts)} == want and len(found) == len(want)

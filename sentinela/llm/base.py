@@ -11,10 +11,12 @@ Conventions that hold for every operator of this package
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import os
 import shutil
 import tempfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Hashable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -23,8 +25,9 @@ from pyspark.sql import functions as F
 import sentinela
 from sentinela.session import scratch_path, shared_root
 
-#: Text bytes handled at a time inside a task; bounds a worker's memory.
+#: Text bytes handled at a time inside a task, and the bytes of an Arrow batch that Spark hands to it.
 CHUNK_BYTES = 8 << 20
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,11 +52,48 @@ def ship(spark: SparkSession) -> None:
     sc._sentinela_shipped = True
 
 
+_slot: dict[Hashable, object] = {}
+
+
+def worker_table(key: Hashable, build: Callable[[], object]):
+    """A large table (automata, vocabularies) that a worker keeps between tasks: one at a time, whatever the operator."""
+    if key not in _slot:
+        _slot.clear()
+        _slot[key] = build()
+    return _slot[key]
+
+
+def _give_back() -> None:
+    """Return freed memory to the system, so that an idle worker holds little."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)   # glibc only
+    if trim is not None:
+        trim(0)
+
+
+def _task(fn: Callable, keeps: Hashable, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    if keeps not in _slot:
+        _slot.clear()
+    try:
+        yield from fn(batches)
+    finally:
+        _give_back()
+
+
 def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
-                schema: str) -> DataFrame:
-    """``mapInArrow`` with the package shipped to the workers."""
-    ship(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+                schema: str, keeps: Hashable = None) -> DataFrame:
+    """``mapInArrow`` with the package shipped to the workers and Arrow batches bounded by bytes.
+
+    The session's bound on an Arrow batch is lowered to ``CHUNK_BYTES`` where it
+    is larger. ``keeps`` names the :func:`worker_table` that the task uses; any
+    other is dropped when the task starts.
+    """
+    spark = df.sparkSession
+    ship(spark)
+    bound = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(BATCH_BYTES))
+    if bound < 0 or bound > CHUNK_BYTES:
+        spark.conf.set(BATCH_BYTES, str(CHUNK_BYTES))
+    return df.mapInArrow(functools.partial(_task, fn, keeps), schema)
 
 
 def pieces(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:

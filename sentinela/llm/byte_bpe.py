@@ -7,10 +7,11 @@ integers in a binary column, and optionally character offsets; decoding maps
 ids back to byte strings and joins them, so a character split over several
 tokens comes back whole.
 
-Most words of a corpus repeat. A text is cut at single spaces, where every
-pattern of this family has a token border, and the ids of each piece are kept
-in a task's bounded two-generation cache; only pieces not seen lately reach the
-library. Texts with other white space around a space are encoded in one go.
+Most words of a corpus repeat. A text is cut at single spaces, before a stop or
+comma that ends a word, and around single line breaks, where every pattern of
+this family has a token border, and the ids of each piece are kept in a task's
+bounded two-generation cache; only pieces not seen lately reach the library.
+Texts with other white space around a space are encoded in one go.
 
 Defined results: null counts as the empty text and has no ids; special-token
 strings inside a text are ordinary text; ids outside the vocabulary cannot be
@@ -20,7 +21,6 @@ decoded and raise.
 from __future__ import annotations
 
 import base64
-import functools
 import os
 import re
 from collections.abc import Iterator
@@ -30,14 +30,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sentinela.llm.base import map_batches, pieces, strings
+from sentinela.llm.base import map_batches, pieces, strings, worker_table
 
 #: Pieces kept per cache generation and task (about 40 MB each); the cache goes with the task.
 CACHE_PIECES = 200_000
 #: Words sent to the library in one call.
 CALL_WORDS = 20_000
 LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"  # letters in every Unicode version
-_SPLIT_UNSAFE = re.compile(r"\s \s")
+#: Put before a piece that no space precedes; texts that hold it are encoded in one go.
+BARE = "\x01"
+_SPLIT_UNSAFE = re.compile(rf"\s \s|{BARE}")
+_CUTS = [(re.compile(rf"\.(?<=[{LETTERS}]\.)(?=[ \n]|\Z)"), f" {BARE}."),
+         (re.compile(rf",(?<=[{LETTERS}],)(?=[ \n]|\Z)"), f" {BARE},"),
+         (re.compile(r"\n(?<=\S\n)(?=\S)"), f" {BARE}\n {BARE}")]
 _PLAIN = re.compile(rf"[{LETTERS}.,;:!?*$%&#-]+(?:\n[{LETTERS}.,;:!?*$%&#-]+)*\Z")
 _TOKENS = re.compile(rf" ?[{LETTERS}]+| ?[.,;:!?*$%&#-]+|\n")
 _MARKS = (".", ",")
@@ -83,9 +88,12 @@ def model_of_ranks(ranks: dict[bytes, int]):
     return models.BPE(vocab={chars[t]: r for t, r in ranks.items()}, merges=merges)
 
 
-@functools.lru_cache(maxsize=4)
 def load(path: str):
-    """(tokenizer, byte string of each id) of a ``.tiktoken`` rank file or a tokenizers ``.json`` file."""
+    """(tokenizer, byte string of each id) of a ``.tiktoken`` rank file or a tokenizers ``.json`` file, kept by the worker."""
+    return worker_table(("vocabulary", path), lambda: read_vocabulary(path))
+
+
+def read_vocabulary(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer, pre_tokenizers
     if path.endswith(".json"):
@@ -101,6 +109,13 @@ def load(path: str):
     return tokenizer, [table.get(i) for i in range(max(table) + 1)]
 
 
+def cut_pieces(text: str) -> list[str]:
+    """The pieces of a text; the first stands at its start, the others follow a space or are marked ``BARE``."""
+    for pattern, mark in _CUTS:
+        text = pattern.sub(mark, text)
+    return text.split(" ")
+
+
 class PieceEncoder:
     """Ids of texts, each as little-endian unsigned 32-bit integers."""
 
@@ -116,7 +131,7 @@ class PieceEncoder:
         self.bare: dict[str, bytes] = {}               # pieces without a space before
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [None if _SPLIT_UNSAFE.search(t) else t.split(" ") for t in texts]
+        cut = [None if _SPLIT_UNSAFE.search(t) else cut_pieces(t) for t in texts]
         seen: set[str] = set()
         for p in cut:
             if p is not None:
@@ -152,6 +167,10 @@ class PieceEncoder:
         kept = [p for p in todo if p in old]
         new.update(zip(kept, map(old.__getitem__, kept)))
         todo.difference_update(kept)
+        bare = [p for p in todo if p[:1] == BARE]
+        known = self._learn_bare({p[1:] for p in bare})
+        new.update((p, known[p[1:]]) for p in bare)
+        todo.difference_update(bare)
         words = {p for p in todo if p.isalpha() and (p.isascii() or _WORD.match(p))}
         # A word and one mark is cut by hand; words with more, also over lines, by the pattern's own tokens.
         rest = todo.difference(words)
@@ -230,7 +249,8 @@ def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
     kind = dict(df.dtypes)[id_col]
     more = ", starts array<bigint>, ends array<bigint>" if offsets else ""
     narrow = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return map_batches(narrow, run, f"id {kind}, n_tokens bigint, ids binary{more}").withColumnRenamed("id", id_col)
+    return (map_batches(narrow, run, f"id {kind}, n_tokens bigint, ids binary{more}", ("vocabulary", path))
+            .withColumnRenamed("id", id_col))
 
 
 def decode(df: DataFrame, path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
@@ -245,4 +265,4 @@ def decode(df: DataFrame, path: str, ids_col: str = "ids", out_col: str = "decod
                                                  names=[*batch.schema.names, out_col])
 
     schema = ", ".join([*(f"`{c}` {t}" for c, t in df.dtypes), f"`{out_col}` binary"])
-    return map_batches(df, run, schema)
+    return map_batches(df, run, schema, ("vocabulary", path))

@@ -484,16 +484,20 @@ def outside_pairs(long_: DataFrame, bitmaps: DataFrame, comps: DataFrame, percen
     named = (long_.join(comps, long_.sid == comps.node, "left")
              .select("shingle", "sid", F.coalesce("component", "sid").alias("comp")))
     sizes = named.groupBy("shingle", "comp").agg(F.count("*").alias("c"))
-    lists = sizes.groupBy("shingle").agg(F.sum("c").alias("m"), F.max(F.struct("c", "comp"))["comp"].alias("main"))
+    # Lists that lie within one component have nothing to search.
+    lists = (sizes.groupBy("shingle").agg(F.sum("c").alias("m"), F.max(F.struct("c", "comp")).alias("main"))
+             .select("shingle", F.col("main.comp").alias("main"), F.ceil(F.col("m") / BLOCK_ROWS).cast("int").alias("blocks"),
+                     F.ceil((F.col("m") - F.col("main.c")) / BLOCK_ROWS).cast("int").alias("query_blocks"))
+             .filter("query_blocks > 0"))
     held = long_.groupBy("sid").agg(F.sort_array(F.collect_set("shingle")).alias("lists"))
     rows = (named.join(lists, "shingle").join(held, "sid").join(bitmaps, "sid")
-            .withColumn("blocks", F.ceil(F.col("m") / BLOCK_ROWS).cast("int"))
-            .withColumn("own", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
-            .withColumn("outside", F.col("comp") != F.col("main")))
-    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    asked = rows.filter("outside").select("shingle", F.col("own").alias("qb"), every.alias("mb"), F.lit(0).alias("side"),
-                                          "sid", "comp", "n", "bits", "lists", "outside")
-    members = rows.select("shingle", every.alias("qb"), F.col("own").alias("mb"), F.lit(1).alias("side"),
+            .withColumn("hash", F.xxhash64("sid")).withColumn("outside", F.col("comp") != F.col("main")))
+    every = lambda blocks: F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
+    own = lambda blocks: F.pmod(F.col("hash"), F.col(blocks)).cast("int")
+    # Queries are the outside entries alone: a member goes only to as many blocks as these fill.
+    asked = rows.filter("outside").select("shingle", own("query_blocks").alias("qb"), every("blocks").alias("mb"),
+                                          F.lit(0).alias("side"), "sid", "comp", "n", "bits", "lists", "outside")
+    members = rows.select("shingle", every("query_blocks").alias("qb"), own("blocks").alias("mb"), F.lit(1).alias("side"),
                           "sid", "comp", "n", "bits", "lists", "outside")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -15,16 +15,17 @@ all blocks of a batch take each step together.
 Letters are lower-cased; a run of other characters is one space. Letters that
 no sample has fit nothing and are a phrase each.
 
-Sampling bound: per language ``SAMPLE_DOCS`` documents (lowest hash of the id),
-``SAMPLE_CHARS`` characters of each, from a hashed position; nothing else is
-bounded. Defined results: null text, or text without a letter, is ``und`` with
+Sampling bound: per language whole labelled texts, in the order of a hash of the
+id and those up to ``SHORT_CHARS`` characters first, as long as they are at most
+``SAMPLE_DOCS`` and ``SAMPLE_CHARS`` characters together (the first one always);
+no text is cut, and nothing else is bounded. Defined results: null text, or text without a letter, is ``und`` with
 score 0; equal texts get equal answers; on a tie the smaller language name
 wins; without labelled text everything is ``und``.
 """
 
 from __future__ import annotations
 
-import functools
+import hashlib
 import math
 from collections.abc import Iterator
 
@@ -33,10 +34,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sentinela.llm.base import fresh, map_batches, pieces
+from sentinela.llm.base import fresh, map_batches, pieces, worker_table
 
 UNKNOWN = "und"
-SAMPLE_DOCS, SAMPLE_CHARS = 250, 100
+#: Whole texts per language that are learned from, and their characters together; about 25 MB of tables a language.
+SAMPLE_DOCS, SAMPLE_CHARS, SHORT_CHARS = 250, 40_000, 2000
 BLOCK = 256
 MARK = np.int32(1 << 30)
 SPACE, OTHER, PAD = 0, 1, 2    # classes before those of the letters
@@ -44,16 +46,18 @@ SPACE, OTHER, PAD = 0, 1, 2    # classes before those of the letters
 
 def sample(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
            docs: int = SAMPLE_DOCS, chars: int = SAMPLE_CHARS) -> list[tuple[str, list[str]]]:
-    """Bounded sample of labelled text per language, as (language, passages), both in a fixed order."""
+    """Bounded sample of whole labelled texts per language, as (language, texts), both in a fixed order."""
     key = F.xxhash64(F.col(id_col).cast("string"))
-    start = F.pmod(key, F.greatest(F.length(text_col) - chars, F.lit(1)).cast("long")) + 1
     rows = (df.filter(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
-            .select(F.col(lang_col).alias("lang"), key.alias("key"),
-                    F.col(text_col).substr(start.cast("int"), F.lit(chars)).alias("passage")))
-    first = Window.partitionBy("lang").orderBy("key", "passage")
-    kept = rows.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= docs)
+            .select(F.col(lang_col).alias("lang"), (F.length(text_col) > SHORT_CHARS).alias("long"), key.alias("key"),
+                    F.col(text_col).alias("passage")))
+    # Few rows per language pass the first limit, so texts travel only for those.
+    order = Window.partitionBy("lang").orderBy("long", "key", "passage")
+    first = rows.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= docs)
+    total = F.sum(F.length("passage")).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    kept = first.withColumn("total", total).filter((F.col("total") <= chars) | (F.col("n") == 1))
     out: dict[str, list[str]] = {}
-    for r in kept.orderBy("lang", "key", "passage").collect():
+    for r in kept.orderBy("lang", "n").collect():
         out.setdefault(r["lang"], []).append(r["passage"])
     return sorted(out.items())
 
@@ -165,19 +169,13 @@ class CrossParser:
         return langs, scores
 
 
-@functools.lru_cache(maxsize=2)
-def _parser(samples: tuple) -> CrossParser:
-    """The worker's parser, kept between tasks."""
-    return CrossParser([(lang, list(p)) for lang, p in samples])
-
-
 def identified(df: DataFrame, samples: list[tuple[str, list[str]]], text_col: str = "text",
                lang_out: str = "lang_pred", score_out: str = "score") -> DataFrame:
     """``df`` with the predicted language and its score appended."""
-    frozen = tuple((lang, tuple(p)) for lang, p in samples)
+    key = ("parser", hashlib.sha256(repr(samples).encode("utf-8", "surrogatepass")).hexdigest())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parser = _parser(frozen)
+        parser = worker_table(key, lambda: CrossParser(samples))
         for whole in batches:
             for batch in pieces(whole, text_col, 4 << 20):
                 langs, scores = parser.predict(batch.column(batch.schema.get_field_index(text_col)).to_pylist())
@@ -186,7 +184,7 @@ def identified(df: DataFrame, samples: list[tuple[str, list[str]]], text_col: st
                     names=[*batch.schema.names, lang_out, score_out])
 
     schema = ", ".join([*(f"`{c}` {t}" for c, t in df.dtypes), f"`{lang_out}` string, `{score_out}` double"])
-    return map_batches(df, run, schema)
+    return map_batches(df, run, schema, key)
 
 
 def learnable(id_col: str = "doc_id") -> Column:

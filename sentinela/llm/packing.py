@@ -185,4 +185,4 @@ def pack(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text
             yield from written(packer.pack(last=True))
 
     narrow = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return map_batches(narrow, run, schema).withColumnRenamed("id", id_col)
+    return map_batches(narrow, run, schema, ("vocabulary", path)).withColumnRenamed("id", id_col)

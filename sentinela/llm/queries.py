@@ -47,10 +47,10 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = suffix_dedup.dedup(read_table(spark, sf_dir, "documents"), length=400)
+    found = suffix_dedup.dedup(read_table(spark, sf_dir, "documents"), length=400, with_text=True)
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda acc, s: acc + s["end"] - s["start"])
     return found.select("doc_id", "n_bytes", F.coalesce(removed, F.lit(0)).cast("long").alias("n_removed"),
-                        F.coalesce(F.size("spans"), F.lit(0)).cast("long").alias("n_spans"), "kept_sha256")
+                        F.coalesce(F.size("spans"), F.lit(0)).cast("long").alias("n_spans"), "kept_sha256", "text")
 
 
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -535,15 +535,22 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     return partly.dropDuplicates(["sid"]).unionByName(whole)
 
 
-def dedup(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id_col``, n_bytes, text_sha256, spans (null: nothing removed) and kept_sha256 for every row."""
+def dedup(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text",
+          with_text: bool = False) -> DataFrame:
+    """``id_col``, n_bytes, text_sha256, spans (null: nothing removed) and kept_sha256 for every row.
+
+    ``with_text`` adds what is left as ``text``; bytes that are no whole character there become U+FFFD.
+    """
+    more = ["text"] if with_text else []
     docs = with_text_id(df.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text")))
-    lost = repeated_spans(docs, length).select("sid", "spans", F.sha2("kept", 256).alias("kept_sha256"))
+    left = [F.make_valid_utf8(F.col("kept").cast("string")).alias("left")] if with_text else []
+    lost = repeated_spans(docs, length).select("sid", "spans", F.sha2("kept", 256).alias("kept_sha256"), *left)
     own = docs.select("id", "sid", F.octet_length("text").cast("long").alias("n_bytes"),
-                      F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
+                      F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"), *more)
     return (own.join(lost, "sid", "left")
             .select(F.col("id").alias(id_col), "n_bytes", "text_sha256", "spans",
-                    F.coalesce("kept_sha256", "text_sha256").alias("kept_sha256")))
+                    F.coalesce("kept_sha256", "text_sha256").alias("kept_sha256"),
+                    *[F.coalesce("left", "text").alias("text") for _ in more]))
 
 
 def whole_characters(text: bytes, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -558,8 +565,12 @@ def whole_characters(text: bytes, spans: list[tuple[int, int]]) -> list[tuple[in
     return out
 
 
-def remove_repeats(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``df`` with the repeated strings cut out of its texts; characters cut in part go whole. Columns unchanged."""
+def remove_repeats(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text",
+                   least_words: int = 0) -> DataFrame:
+    """``df`` with the repeated strings cut out of its texts; characters cut in part go whole. Columns unchanged.
+
+    With ``least_words`` only runs of removed bytes that hold as many words (between white space) are cut.
+    """
     sid, body = fresh(df, "_sid"), fresh(df, "_spans")
     named = with_text_id(df, text_col, sid)
     docs = named.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"), F.col(sid).alias("sid"))
@@ -575,7 +586,9 @@ def remove_repeats(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
                 for value, given in zip(batch.column(at).to_pylist(), spans):
                     if value is not None and given:
                         raw = value.encode()
-                        value = cut(raw, whole_characters(raw, [(s["start"], s["end"]) for s in given]))[1].decode()
+                        spans_ = cut(raw, [(s["start"], s["end"]) for s in given])[0]
+                        spans_ = [(a, b) for a, b in spans_ if not least_words or len(raw[a:b].split()) >= least_words]
+                        value = cut(raw, whole_characters(raw, spans_))[1].decode()
                     texts.append(value)
                 columns = [pa.array(texts, pa.string()) if i == at else batch.column(i) for i in range(len(order))]
                 yield pa.RecordBatch.from_arrays(columns, names=order)

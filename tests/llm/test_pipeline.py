@@ -64,6 +64,14 @@ def test_suffix_stage(stages):
     got = {r["doc_id"]: r for r in stages["suffix_dedup"].collect()}
     assert len(got) == len(rows)
     for r, text, mask in zip(rows, raw, gone):
+        at = 0                            # runs with too few words stay
+        while at < len(text):
+            end = at
+            while end < len(text) and mask[end]:
+                end += 1
+            if end > at and len(text[at:end].split()) < C.PASSAGE_WORDS:
+                mask[at:end] = [False] * (end - at)
+            at = end + 1
         for i, b in enumerate(text):      # a character cut in part goes whole
             if mask[i] and b & 0xC0 != 0x80:
                 j = i + 1
@@ -81,6 +89,16 @@ def test_suffix_stage(stages):
         assert got[r["doc_id"]]["text"] == kept and got[r["doc_id"]]["n_chars"] == len(kept)
 
 
+def test_fifty_one_short_words_are_cut_and_fifty_stay(spark):
+    passage = " ".join(f"{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(51))
+    few = " ".join(f"short{i}phrase" for i in range(30))
+    rows = [(1, f"11 {passage} 22"), (2, f"33 {passage} 44"), (3, f"55 {few} 66"), (4, f"77 {few} 88")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows],
+                                 "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    got = {r["doc_id"]: r["text"] for r in C.cut_repeats(spark, docs, "").collect()}
+    assert passage not in got[1] + got[2] and got[1].startswith("11") and got[3] == rows[2][1] and got[4] == rows[3][1]
+
+
 def test_packing_stage(stages):
     rows = stages["packing"].collect()
     assert {r["doc_id"] for r in rows} == {r["doc_id"] for r in stages["suffix_dedup"].collect()}
@@ -96,5 +114,5 @@ def test_empty_input(spark):
 
 def test_registered():
     found = {re.match(r"op(\d+)_", q)[1] for q in E.queries() if q.startswith("op")}
-    assert found == {str(n) for n in range(1, 11)} and "pipeline" in E.queries()
+    assert found == {str(n) for n in range(1, 14)} and "pipeline" in E.queries()
     assert jaccard_join.prefix_length(148, 90) == 15

@@ -10,8 +10,10 @@ folder and reads it back as the next one's input.
 2. ``quality_rules``: rows that fail a rule of the latest policy go.
 3. ``jaccard_join``: of each group of near duplicates (five-word shingles,
    similarity 0.8 or more) the row with the smallest id stays.
-4. ``suffix_dedup``: strings of ``PASSAGE_BYTES`` that occur more than once are
-   cut out of the texts; every row stays, ``n_chars`` follows the text.
+4. ``suffix_dedup``: passages of over fifty words that occur more than once are
+   cut out of the texts; every row stays, ``n_chars`` follows the text. Found
+   are repeated strings of ``PASSAGE_BYTES``, so passages of one-letter words
+   can be too short to be found.
 5. ``packing``: what is left becomes sequences of at most 1024 tokens.
 """
 
@@ -24,8 +26,8 @@ from pyspark.sql import functions as F
 from sentinela.llm import jaccard_join, language_id, packing, quality_ledger, suffix_dedup
 from sentinela.llm.base import materialise, read_table
 
-#: Passages of over fifty words are at least this long.
-PASSAGE_BYTES = 200
+#: Passages of over fifty words: 51 words of two bytes, with spaces between, are 152 bytes.
+PASSAGE_WORDS, PASSAGE_BYTES = 51, 152
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +44,7 @@ def join_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cleaned = suffix_dedup.remove_repeats(docs, length=PASSAGE_BYTES)
+    cleaned = suffix_dedup.remove_repeats(docs, length=PASSAGE_BYTES, least_words=PASSAGE_WORDS)
     if "n_chars" in docs.columns:
         cleaned = cleaned.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"]))
     return cleaned.select(*docs.columns)

@@ -92,10 +92,16 @@ def main(argv: list[str] | None = None) -> None:
         from sentinela.streaming import alerts as sal
         from sentinela.streaming import events as sev
         raw = sev.kafka_source(spark, a.kafka, a.topic) if a.kafka else sev.text_source(spark, a.source)
-        q = sal.start_alert_stream(raw, a.out, a.checkpoint or f"{a.out}/_checkpoint",
-                                   available_now=not a.continuous, mode=a.mode)
-        q.awaitTermination()
-        print(json.dumps([r.asDict() for r in sal.alert_rate(spark, a.out).collect()]))
+        checkpoint = a.checkpoint or f"{a.out}/_checkpoint"
+        if a.continuous:
+            for start in (lambda: sal.start_detector(raw, a.out, checkpoint, False, mode=a.mode),
+                          lambda: sal.start_alert_sink(spark, a.out, checkpoint, False),
+                          lambda: sal.start_counters(spark, a.out, checkpoint, False)):
+                start()
+            spark.streams.awaitAnyTermination()
+        else:
+            sal.run_available(raw, a.out, checkpoint, mode=a.mode)
+        print(json.dumps([r.asDict() for r in sal.alert_rate(spark, checkpoint).collect()]))
 
 
 if __name__ == "__main__":

@@ -603,55 +603,55 @@ def q_keyed_json_records(spark, sf_dir):
     return rec.select("key", F.from_json("value", sev.EVENT_SCHEMA).alias("v")).select("key", "v.*")
 
 
-def _run_stream(spark, sf_dir, layout="events", slices=2, order=None, drain=False, **options):
+def _run_stream(spark, sf_dir, layout="events", slices=2, order=None, drain=False, parts=(), **options):
     """Replay the tables slice by slice; each slice is one ``availableNow`` run.
 
-    Every run after the first restarts the query from its checkpoint, so the
-    velocity state is read back between slices. ``order`` is the order in which
+    Every run after the first restarts the queries from their checkpoints, so the
+    keyed state is read back between slices. ``order`` is the order in which
     the slices arrive.
     """
     from sentinela.streaming import alerts as sal
     from sentinela.streaming import events as sev
     root = scratch_path(spark, "stream")
     sliced = sev.stage_slices(sev.events_from_tables(_silver(spark, sf_dir, layout)), f"{root}/staged", slices)
-    sink = sal.AlertSink(spark, f"{root}/out", f"{root}/chk/velocidade", **options)
+    run = lambda: sal.run_available(sev.text_source(spark, f"{root}/in"), f"{root}/out", f"{root}/chk", parts, **options)
     for s in order or range(slices):
         sev.write_slice(sliced, f"{root}/in", s)
-        sal.start_alert_stream(sev.text_source(spark, f"{root}/in"), f"{root}/out", f"{root}/chk",
-                               sink=sink).awaitTermination()
+        run()
     if drain:
-        sink.drain()
+        sev.write_end(spark, f"{root}/in", sal.END_ID)
+        run()
     return sal, root
 
 
 @register("stream_alerts")
 def q_stream_alerts(spark, sf_dir):
-    """Alert documents of the streaming detector, velocity counted against written state."""
-    sal, root = _run_stream(spark, sf_dir)
+    """Alert documents of the streaming detector, velocity in keyed state, JSON file sink."""
+    sal, root = _run_stream(spark, sf_dir, parts=("alertas",))
     return rules.flatten_alerts(sal.read_alerts(spark, f"{root}/out"))
 
 
 @register("alert_rate")
 def q_alert_rate(spark, sf_dir):
-    """Processed / alerted counters summed over all micro-batches."""
-    sal, root = _run_stream(spark, sf_dir)
-    return sal.alert_rate(spark, f"{root}/out")
+    """Processed / alerted counters of a streaming aggregation, read from its state after two restarts."""
+    sal, root = _run_stream(spark, sf_dir, slices=3, parts=("contadores",))
+    return sal.alert_rate(spark, f"{root}/chk")
 
 
 @register("stream_velocity")
 def q_stream_velocity(spark, sf_dir):
     """Trailing count of every line item, from a stream whose slices arrive out of time order."""
     # The delay covers a slice (a third of the period), so each run releases a part of what waits.
-    _, root = _run_stream(spark, sf_dir, "orders", 3, (1, 0, 2), drain=True, mode="event_time", keep_counts=True,
-                          delay_seconds=3 * 366 * 86_400)
-    return spark.read.parquet(f"{root}/out/avaliadas").select(
+    sal, root = _run_stream(spark, sf_dir, "orders", 3, (1, 0, 2), drain=True, mode="event_time",
+                            delay_seconds=3 * 366 * 86_400)
+    return sal.read_evaluated(spark, f"{root}/out").select(
         "evento_id", "id_conta", "janela_n", rules.velocity().alias("alerta"))
 
 
 @register("stream_alerts_multi")
 def q_stream_alerts_multi(spark, sf_dir):
     """Alerts of the stream over line items, where the value and velocity rules fire as well."""
-    sal, root = _run_stream(spark, sf_dir, "orders")
+    sal, root = _run_stream(spark, sf_dir, "orders", parts=("alertas",))
     return rules.flatten_alerts(sal.read_alerts(spark, f"{root}/out"))
 
 

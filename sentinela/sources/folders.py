@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -15,6 +17,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def make(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.mkdirs(p)
+
+
 def children(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders directly below ``path``, sorted; none if it does not exist."""
     fs, p = _fs(spark, path)
@@ -46,14 +53,16 @@ def read_text(spark: SparkSession, path: str) -> str | None:
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small file in one step: under another name first, then renamed."""
+    """Write a small file in one step: under another name first, then renamed over the old one."""
     fs, p = _fs(spark, path)
-    work = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.tmp")
+    work = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex[:12]}.tmp")
     stream = fs.create(work, True)
     try:
         stream.write(bytearray(text, "utf-8"))
     finally:
         stream.close()
-    if fs.exists(p):
-        fs.delete(p, False)
-    fs.rename(work, p)
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri(), spark._jsc.hadoopConfiguration())
+    options = spark._jvm.java.lang.reflect.Array.newInstance(
+        spark._jvm.java.lang.Class.forName("org.apache.hadoop.fs.Options$Rename"), 1)
+    options[0] = getattr(spark._jvm, "org.apache.hadoop.fs.Options$Rename").OVERWRITE
+    context.rename(work, p, options)

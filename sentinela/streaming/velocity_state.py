@@ -1,150 +1,166 @@
-"""Velocity state of the stream: the recent events of all accounts, in a written table.
+"""Velocity count of the stream in Spark's own keyed state.
 
-Each micro-batch is counted with the batch plan (:func:`trailing_count`) over
-its own events and the retained history, so a hot account is spread over its
-time sub-buckets like in the stored case, nothing leaves the JVM and no event
-is held in a Python process. The state is two small Parquet tables,
+``transformWithState`` keeps, per (account, hour of event time), the times of the
+events in a list of the RocksDB state store; an event-time timer removes them
+``retention_seconds`` after the watermark has passed the hour. Spark checkpoints
+the store with the query, so a restart goes on where the last committed batch
+ended and a replayed batch finds the state before it. What a batch reads and
+writes are the lists of the (account, hour) groups it has events for, not the
+history.
 
-* ``historico``: (account, time, order) of the retained events,
-* ``pendentes``: whole events that wait for the watermark (event-time mode),
-
-each written as a new version per micro-batch. A replayed batch reads the
-version before it and rewrites its own, so a failure never counts twice; older
-versions are removed.
+A hot account is cut into its hours. The window of an event reaches at most one
+hour back, so an event within a window's length of its hour's end is also
+entered, as a bare time, under the hour after it.
 
 Modes
 -----
-``arrival``     counts on event time, at once: an event sees the retained events
-                in the window before it that arrived earlier.
-``clock``       counts on arrival time: every event of a batch arrives at the
-                batch's clock (an argument, so tests can inject it).
-``event_time``  holds events until the newest event time seen, less the delay,
-                passes them; out-of-order input then gets the batch counts.
-
-No mode drops an event. One that is late, or has no time, is evaluated at once:
-late ones against the history still retained (``retention`` behind the newest
-event time), those without a time with a count of 1.
+``arrival``     counts on event time, at once: an event sees the events in the
+                window before it that arrived earlier (at one instant the
+                earlier batches come first, then its own batch in event order).
+``clock``       counts on arrival time (a column; by default the batch's time).
+``event_time``  holds the events of an hour until the watermark passes its end;
+                out-of-order input then gets the batch counts.
+
+No mode drops an event: the watermark column is not handed to the operator, so
+Spark's late-row filter does not apply. A late event is counted at once against
+the times still kept; once its hour's times have been removed the count may be
+too low, and ``janela_completa`` is false. An event without a time has a count
+of 1.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from bisect import bisect_right
+from collections.abc import Iterator
 from dataclasses import dataclass
-from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from sentinela.functions.timefn import epoch_micros
-from sentinela.operators.velocity import trailing_count
-from sentinela.sources import folders
+from sentinela.streaming.events import event_json, parse_events
 
 MODES = ("arrival", "clock", "event_time")
 US = 1_000_000
-KEPT_VERSIONS = 2
-
-
-def utc_now() -> datetime:
-    return datetime.now(timezone.utc).replace(tzinfo=None)
-
-
-class Versions:
-    """A table with one folder per micro-batch; a batch reads the newest one before it."""
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: Groups among which events without a time are spread.
+TIMELESS_GROUPS = 64
+TIMELESS = "sem data"
+#: The event that ends a finite stream: it moves the watermark past all others and is not counted.
+END_ID = "__fim__"
 
-    def __init__(self, spark: SparkSession, root: str, schema: T.StructType):
-        self.spark, self.root, self.schema = spark, root, schema
 
-    def _numbers(self) -> list[int]:
-        return sorted(int(n.split("=")[1]) for n in folders.children(self.spark, self.root) if n.startswith("versao="))
+@dataclass(frozen=True)
+class Velocity:
+    """Options of the count. ``window_seconds`` is at most ``bucket_seconds``."""
 
-    def before(self, batch_id: int) -> DataFrame:
-        older = [n for n in self._numbers() if n < batch_id]
-        if not older:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(f"{self.root}/versao={older[-1]}")
-
-    def write(self, df: DataFrame, batch_id: int) -> None:
-        df.select(*self.schema.names).write.mode("overwrite").parquet(f"{self.root}/versao={batch_id}")
-        for n in [n for n in self._numbers() if n <= batch_id][:-KEPT_VERSIONS]:
-            folders.remove(self.spark, f"{self.root}/versao={n}")
-
-
-@dataclass
-class VelocityState:
-    """Counts micro-batches against the retained history below ``root``."""
-
-    spark: SparkSession
-    root: str
     key: str = "id_conta"
     window_seconds: int = 60
     mode: str = "arrival"
     delay_seconds: int = 120
     retention_seconds: int = 3600
+    bucket_seconds: int = 3600
     order_col: str = "evento_id"
     ts_col: str = "event_ts"
-    clock: Callable[[], datetime] = utc_now
+    clock: Column | None = None
 
     def __post_init__(self):
         if self.mode not in MODES:
             raise ValueError(f"mode must be one of {MODES}")
-
-    def _history(self, events: T.StructType) -> Versions:
-        key = T.StructField(self.key, events[self.key].dataType)
-        schema = T.StructType([key, T.StructField("_us", T.LongType()), T.StructField("_ordem", T.StringType())])
-        return Versions(self.spark, f"{self.root}/historico", schema)
-
-    def _pending(self, events: T.StructType) -> Versions:
-        return Versions(self.spark, f"{self.root}/pendentes", events)
-
-    def count(self, batch: DataFrame, batch_id: int, drain: bool = False) -> DataFrame:
-        """The events that are due now, each once, with ``janela_n``. Writes the state after ``batch_id``.
-
-        ``drain`` makes every waiting event due (the end of a finite input).
-        """
-        history, pending = self._history(batch.schema), self._pending(batch.schema)
-        before = history.before(batch_id)
-        if self.mode == "clock":
-            arrived = int(self.clock().replace(tzinfo=timezone.utc).timestamp() * US)
-            timed = batch.withColumn("_us", F.lit(arrived).cast("long"))
-        else:
-            timed = batch.withColumn("_us", epoch_micros(self.ts_col))
-        if self.mode == "event_time":
-            held = pending.before(batch_id).withColumn("_us", epoch_micros(self.ts_col))
-            known = timed.unionByName(held)
-            newest = self._newest(known, before)
-            due_until = None if newest is None else newest - self.delay_seconds * US
-            if drain or due_until is None:
-                due, rest = known, known.limit(0)
+        if not 0 < self.window_seconds <= self.bucket_seconds:
+            raise ValueError("the window must be positive and no longer than a bucket")
+
+
+def counts_of(batch: list[tuple], before: list[int], window_us: int) -> Iterator[tuple[str, int]]:
+    """(document, count) of a group's events ``batch`` (time, order, document), sorted here, after the sorted times ``before``.
+
+    A row without a document is a bare time of the hour before; it stands first at its time.
+    """
+    batch.sort(key=lambda r: (r[0], r[2] is not None, r[1] or ""))
+    own = [r[0] for r in batch]
+    for place, (us, _, doc) in enumerate(batch):
+        if doc is not None:
+            low = us - window_us
+            yield doc, (bisect_right(before, us) - bisect_right(before, low) + place + 1 - bisect_right(own, low))
+
+
+def processor(window_us: int, bucket_ms: int, retention_ms: int, waits: bool) -> StatefulProcessor:
+    """The keyed operator; a class of its own call, so that it travels to the workers by value."""
+    out = Row("doc", "janela_n", "janela_completa")
+
+    class VelocityProcessor(StatefulProcessor):
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.handle = handle
+            self.times = handle.getListState("tempos", "us bigint")
+            self.waiting = handle.getListState("espera", "us bigint, ordem string, doc string")
+
+        def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+            if key[0] == TIMELESS:
+                for r in rows:
+                    if r.doc is not None:
+                        yield out(r.doc, 1, True)
+                return
+            batch = [(r.us, r.ordem, r.doc) for r in rows]
+            watermark, end = timerValues.getCurrentWatermarkInMs(), (key[1] + 1) * bucket_ms
+            if waits and watermark < end:
+                if not self.waiting.exists():
+                    self.handle.registerTimer(end)
+                self.waiting.appendList(batch)
+                return
+            yield from self.counted(batch, end, watermark < end + retention_ms)
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+            end = (key[1] + 1) * bucket_ms
+            if self.waiting.exists():
+                batch = [tuple(r) for r in self.waiting.get()]
+                self.waiting.clear()
+                yield from self.counted(batch, end, True)
             else:
-                waits = F.col("_us").isNotNull() & (F.col("_us") > due_until)
-                due, rest = known.filter(~waits), known.filter(waits)
-            pending.write(rest, batch_id)
-        else:
-            due, newest = timed, self._newest(timed, before)
-        counted = self._counted(due, before)
-        self._retain(due, before, newest, batch_id, history)
-        return counted
-
-    def _newest(self, events: DataFrame, before: DataFrame) -> int | None:
-        """Newest known time; history and waiting events remember it between batches."""
-        times = events.select("_us").unionByName(before.select("_us"))
-        return times.agg(F.max("_us")).first()[0]
-
-    def _counted(self, due: DataFrame, before: DataFrame) -> DataFrame:
-        # At one instant the history comes first, then the batch in event order.
-        own = due.withColumns({"_t": F.timestamp_micros("_us"), "_antes": F.lit(False),
-                               "_seq": F.struct(F.lit(1).alias("lote"), F.col(self.order_col).cast("string").alias("id"))})
-        past = before.select(F.col(self.key), F.timestamp_micros("_us").alias("_t"), F.lit(True).alias("_antes"),
-                             F.struct(F.lit(0).alias("lote"), F.col("_ordem").alias("id")).alias("_seq"))
-        both = own.unionByName(past, allowMissingColumns=True)
-        counted = trailing_count(both, self.key, "_t", "_seq", self.window_seconds)
-        return counted.filter(~F.col("_antes")).drop("_us", "_t", "_antes", "_seq")
-
-    def _retain(self, due: DataFrame, before: DataFrame, newest: int | None, batch_id: int, history: Versions) -> None:
-        span = self.window_seconds if self.mode == "clock" else max(self.retention_seconds, self.window_seconds)
-        seen = (due.select(self.key, "_us", F.col(self.order_col).cast("string").alias("_ordem"))
-                .filter("_us is not null").unionByName(before))
-        if newest is not None:
-            seen = seen.filter(F.col("_us") > newest - span * US - (self.delay_seconds * US if self.mode == "event_time" else 0))
-        history.write(seen, batch_id)
+                self.times.clear()
+
+        def counted(self, batch: list[tuple], end: int, complete: bool) -> Iterator[Row]:
+            before = sorted(r[0] for r in self.times.get())
+            if not before:
+                self.handle.registerTimer(end + retention_ms + 1)
+            for doc, n in counts_of(batch, before, window_us):
+                yield out(doc, n, complete)
+            self.times.appendList([(r[0],) for r in batch])
+
+        def close(self) -> None:
+            pass
+
+    return VelocityProcessor()
+
+
+def count_stream(events: DataFrame, options: Velocity) -> DataFrame:
+    """Every event of the stream once, with ``janela_n`` and ``janela_completa``; END_ID events go."""
+    spark = events.sparkSession
+    spark.conf.set(PROVIDER, ROCKSDB)
+    window_us, bucket_us = options.window_seconds * US, options.bucket_seconds * US
+    us = epoch_micros(options.ts_col)
+    if options.mode == "clock":
+        us = F.unix_micros((options.clock if options.clock is not None else F.current_timestamp()).cast("timestamp"))
+    ends = F.col("evento_id").eqNullSafe(END_ID)
+    seen = events.select("*", us.alias("_us"), ends.alias("_fim"))
+    seen = (seen.withColumn("_relogio", F.timestamp_micros("_us"))
+            .withWatermark("_relogio", f"{options.delay_seconds} seconds"))
+    ordem = F.coalesce(F.col(options.order_col).cast("string"), F.lit(""))
+    bucket = F.floor(F.col("_us") / bucket_us)
+    own = F.struct(bucket.alias("balde"), ordem.alias("ordem"), event_json(seen).alias("doc"))
+    later = F.struct((bucket + 1).alias("balde"), F.lit(None).cast("string").alias("ordem"), F.lit(None).cast("string").alias("doc"))
+    timeless = F.struct(F.pmod(F.xxhash64(ordem), F.lit(TIMELESS_GROUPS)).alias("balde"), ordem.alias("ordem"), event_json(seen).alias("doc"))
+    reaches = F.pmod(F.col("_us"), F.lit(bucket_us)) >= bucket_us - window_us
+    # The end goes through the operator without a document: a filter would be moved below the watermark.
+    end = F.struct(F.lit(0).cast("long").alias("balde"), F.lit("").alias("ordem"), F.lit(None).cast("string").alias("doc"))
+    entered = F.when(F.col("_fim"), F.array(end)).when(F.col("_us").isNull(), F.array(timeless)).when(reaches, F.array(own, later)).otherwise(F.array(own))
+    # The name of the group: events without an account form one account.
+    account = F.when(F.col("_fim") | F.col("_us").isNull(), TIMELESS).otherwise(F.concat(F.lit("c"), F.coalesce(F.col(options.key).cast("string"), F.lit(""))))
+    # The watermark's column stays behind here.
+    rows = (seen.select(account.alias("conta"), F.coalesce("_us", F.lit(0)).alias("us"), F.explode(entered).alias("e"))
+            .select("conta", F.col("e.balde").alias("balde"), "us", F.col("e.ordem").alias("ordem"), F.col("e.doc").alias("doc")))
+    done = rows.groupBy("conta", "balde").transformWithState(
+        processor(window_us, options.bucket_seconds * 1000, options.retention_seconds * 1000, options.mode == "event_time"),
+        "doc string, janela_n bigint, janela_completa boolean", "Append", "EventTime")
+    return parse_events(done, "doc", ("janela_n", "janela_completa"))

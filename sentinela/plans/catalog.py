@@ -476,6 +476,18 @@ def q_write_read_roundtrip(spark, sf_dir):
                                                              round_money(F.sum("valor")).alias("valor_total"))
 
 
+@register("backfill_days")
+def q_backfill_days(spark, sf_dir):
+    """Several dates in one write: the weekend days are loaded again and exactly these are replaced (K2)."""
+    path = lake.layer_path(scratch_path(spark, "backfill"), "silver", "transacoes")
+    t = _silver(spark, sf_dir)["transacoes"]
+    lake.write_days(t.withColumn("_versao", F.lit(1)), path, F.col("data_transacao"))
+    weekend = t.filter(F.dayofweek("data_transacao").isin(1, 7))
+    lake.write_days(weekend.withColumn("_versao", F.lit(2)), path, F.col("data_transacao"))
+    return lake.read_layer(spark, path).groupBy("ano", "mes", "dia", "_versao").agg(
+        F.count(F.lit(1)).alias("linhas"), round_money(F.sum("valor")).alias("valor_total"))
+
+
 @register("union_snapshots")
 def q_union_snapshots(spark, sf_dir):
     """Every load date of a table, by column name, duplicates kept."""

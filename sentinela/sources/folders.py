@@ -40,6 +40,22 @@ def rename(spark: SparkSession, old: str, new: str) -> bool:
     return fs.rename(p, spark._jvm.org.apache.hadoop.fs.Path(new))
 
 
+def replace(spark: SparkSession, new: str, old: str) -> None:
+    """Put folder ``new`` in the place of ``old`` (which may not exist); if that fails, ``old`` is put back."""
+    aside = f"{new}-antes"
+    fs, p = _fs(spark, old)
+    fs.mkdirs(p.getParent())
+    had = fs.exists(p)
+    if had and not rename(spark, old, aside):
+        raise OSError(f"could not move {old}")
+    if not rename(spark, new, old):
+        if had:
+            rename(spark, aside, old)
+        raise OSError(f"could not move {new} to {old}")
+    if had:
+        remove(spark, aside)
+
+
 def read_text(spark: SparkSession, path: str) -> str | None:
     """Content of a small file, or None if there is none."""
     fs, p = _fs(spark, path)

@@ -12,6 +12,7 @@ reads state the schema and open no footers; new columns are added to it.
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
@@ -88,14 +89,48 @@ def day_folder(path: str, load_ts: datetime) -> str:
 def write_partitioned(df: DataFrame, path: str, load_ts: datetime | None = None) -> str:
     """Write ``df`` as the load date's ``ano/mes/dia`` folder, replacing it; returns the folder.
 
-    Files are capped at ``MAX_RECORDS_PER_FILE`` rows.
+    The rows are written beside the table first and then take the day's place, so
+    a failed load leaves the old day readable. Files are capped at
+    ``MAX_RECORDS_PER_FILE`` rows.
     """
-    folder = day_folder(path, load_ts or datetime.now())
-    df.write.mode("overwrite").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).parquet(folder)
-    _keep_schema(df.sparkSession, path, df.schema)
+    spark, folder = df.sparkSession, day_folder(path, load_ts or datetime.now())
+    merged_schema(spark, path, df.schema)
+    staged = _staging(path)
+    df.write.option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).parquet(staged)
+    _keep_schema(spark, path, df.schema)
+    folders.replace(spark, staged, folder)
     return folder
 
 
+def write_days(df: DataFrame, path: str, ts: Column) -> list[str]:
+    """Write rows of several dates in one job (a backfill): exactly the days that ``ts`` names are replaced (K2).
+
+    Rows without a date are refused. Each day takes its place in one step, after all have been written.
+    """
+    spark = df.sparkSession
+    merged_schema(spark, path, df.schema)
+    staged = _staging(path)
+    known = F.when(ts.isNull(), F.raise_error(F.lit("a row without a date cannot be placed in a day"))).otherwise(ts)
+    dated = df.withColumns(dict(zip(PARTITION_COLUMNS, partition_columns(known))))
+    dated.write.option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).partitionBy(*PARTITION_COLUMNS).parquet(staged)
+    _keep_schema(spark, path, df.schema)
+    days = [f"{y}/{m}/{d}" for y in _parts(spark, staged) for m in _parts(spark, f"{staged}/{y}")
+            for d in _parts(spark, f"{staged}/{y}/{m}")]
+    for day in days:
+        folders.replace(spark, f"{staged}/{day}", f"{path}/{day}")
+    folders.remove(spark, staged)
+    return days
+
+
+def _parts(spark: SparkSession, path: str) -> list[str]:
+    return [n for n in folders.children(spark, path) if "=" in n]
+
+
+def _staging(path: str) -> str:
+    """A new folder beside the days; its name keeps readers of the table from seeing it."""
+    return f"{path.rstrip('/')}/_carga-{uuid.uuid4().hex[:12]}"
+
+
 SCHEMA_FILE = "_schema.json"
 
 
@@ -105,12 +140,27 @@ def table_schema(spark: SparkSession, path: str) -> T.StructType | None:
     return None if text is None else T.StructType.fromJson(json.loads(text))
 
 
-def _keep_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
+def merged_schema(spark: SparkSession, path: str, schema: T.StructType) -> T.StructType:
+    """The table's columns after a load with ``schema``; a column of another type than before is refused."""
     known = table_schema(spark, path)
     fields = {f.name: f for f in (known.fields if known else [])}
-    fields.update((f.name, T.StructField(f.name, f.dataType, True)) for f in schema.fields if f.name not in PARTITION_COLUMNS)
-    merged = T.StructType(list(fields.values()))
-    if merged != known:
+    for f in schema.fields:
+        if f.name in PARTITION_COLUMNS:
+            continue
+        before = fields.get(f.name)
+        if before is not None and before.dataType != f.dataType:
+            raise ValueError(f"column {f.name} of {path} is {before.dataType.simpleString()}, the load has "
+                             f"{f.dataType.simpleString()}: cast it, or load into another table")
+        fields[f.name] = T.StructField(f.name, f.dataType, True)
+    return T.StructType(list(fields.values()))
+
+
+def _keep_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """Add new columns to the kept schema; read again after the write, so that a load beside this one is not lost."""
+    for _ in range(10):
+        merged = merged_schema(spark, path, schema)
+        if merged == table_schema(spark, path):
+            return
         folders.write_text(spark, f"{path}/{SCHEMA_FILE}", merged.json())
 
 

@@ -23,6 +23,46 @@ def test_same_day_rerun_replaces_only_that_day(spark):
     assert lake.read_snapshots(spark, path, "latest").count() == 3
 
 
+def three_days(spark, days, n, fail_at=None):
+    from pyspark.sql import functions as F
+    ts = F.make_timestamp_ntz(F.lit(2026), F.lit(6), F.element_at(F.array(*[F.lit(d) for d in days]),
+                                                                  (F.col("id") % len(days) + 1).cast("int")),
+                              F.lit(1), F.lit(2), F.lit(3.0))
+    df = spark.range(n).withColumn("ts", ts)
+    return df if fail_at is None else df.filter(F.when(F.col("id") == fail_at, F.raise_error(F.lit("lost"))).otherwise(True))
+
+
+def test_backfill_replaces_exactly_its_days_and_a_failed_one_nothing(spark):
+    import pytest
+    from pyspark.sql import functions as F
+    path = lake.layer_path(scratch_path(spark, "t-backfill"), "silver", "x")
+    count = lambda: {r["dia"]: r["count"] for r in lake.read_layer(spark, path).groupBy("dia").count().collect()}
+    lake.write_days(three_days(spark, [1, 2, 3, 4, 5], 50), path, F.col("ts"))
+    assert lake.write_days(three_days(spark, [2, 3, 4], 9), path, F.col("ts")) == [f"ano=2026/mes=06/dia=0{d}" for d in (2, 3, 4)]
+    want = {"01": 10, "02": 3, "03": 3, "04": 3, "05": 10}
+    assert count() == want
+    for bad in (three_days(spark, [1, 2], 100, fail_at=99), three_days(spark, [1], 4).withColumn("ts", F.lit(None).cast("timestamp_ntz"))):
+        with pytest.raises(Exception):
+            lake.write_days(bad, path, F.col("ts"))
+        assert count() == want
+    with pytest.raises(Exception):
+        lake.write_partitioned(three_days(spark, [1], 100, fail_at=99), path, datetime(2026, 6, 5))
+    assert count() == want
+
+
+def test_a_type_change_is_refused_and_nothing_is_written(spark):
+    import pytest
+    path = lake.layer_path(scratch_path(spark, "t-types"), "bronze", "x")
+    lake.write_partitioned(spark.range(3).selectExpr("cast(id AS int) AS v"), path, D1)
+    for write in (lambda df: lake.write_partitioned(df, path, D2),
+                  lambda df: lake.write_days(df, path, df["v"].cast("timestamp_ntz"))):
+        with pytest.raises(ValueError, match="column v"):
+            write(spark.range(3).selectExpr("cast(id AS string) AS v"))
+    assert [r["v"] for r in lake.read_snapshots(spark, path).orderBy("v").collect()] == [0, 1, 2]
+    lake.write_partitioned(spark.range(2).selectExpr("cast(id AS int) AS v", "1 AS w"), path, D2)
+    assert lake.read_snapshots(spark, path).count() == 5
+
+
 def test_empty_rerun_replaces_the_day(spark):
     path = lake.layer_path(scratch_path(spark, "t-empty"), "bronze", "x")
     lake.write_partitioned(spark.range(5), path, D1)

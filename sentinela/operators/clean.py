@@ -36,14 +36,13 @@ def median_of(df: DataFrame, column: str) -> Column:
     return df.agg(F.median(column)).scalar()
 
 
-def clean_clientes(df: DataFrame, with_stamp: bool = True, median_source: DataFrame | None = None) -> DataFrame:
+def clean_clientes(df: DataFrame, with_stamp: bool = True, median: float | None = None) -> DataFrame:
     """Trim/case names, e-mails, cities and states; CPF digits; median-filled scores.
 
-    ``median_source`` (default ``df``) is the frame the median is taken from,
-    so a caller that attached ``observe`` metrics to ``df`` does not collect
-    them a second time inside the median subquery.
+    ``median`` is the score's, where it is known already (a layer run selects it
+    once, see :mod:`selection`); else it is a scalar subquery of the plan.
     """
-    median = median_of(median_source if median_source is not None else df, "score_credito")
+    median = median_of(df, "score_credito") if median is None else F.lit(median)
     cleaned = df.withColumns({
         "nome": title_case(strip("nome")),
         "email": F.lower(strip("email")),

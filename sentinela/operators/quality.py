@@ -88,13 +88,13 @@ REPORT_SCHEMA = T.StructType([
 
 # ---------------------------------------------------------------- metrics
 
-def quality_metrics(table: str) -> dict[str, Column]:
-    """Aggregate expressions over the *Bronze* rows of ``table``."""
+def quality_metrics(table: str, median: float | None = None) -> dict[str, Column]:
+    """Aggregate expressions over the *Bronze* rows of ``table``; ``median`` is the score's, where it is known already."""
     m: dict[str, Column] = {"total_original": F.count(F.lit(1))}
     if table == "clientes":
         m["cpf_invalidos"] = F.count_if(cpf_invalid(digits_only("cpf")))
         m["scores_nulos"] = F.count_if(F.col("score_credito").isNull())
-        m["mediana_score"] = F.median("score_credito")
+        m["mediana_score"] = F.median("score_credito") if median is None else F.max(F.lit(median))
         m["total_silver"] = F.count(F.lit(1))
     elif table == "transacoes":
         ok = coerce_timestamp("data_transacao").isNotNull()

@@ -426,6 +426,8 @@ SELECT '2026' AS ano, '06' AS mes, '04' AS dia, 2 AS _versao, CAST(COUNT(*) AS B
   CAST(ROUND(SUM(valor), 2) AS DOUBLE) AS valor_total FROM silver_transacoes
 UNION ALL
 SELECT '2026', '06', '05', 2, CAST(COUNT(*) AS BIGINT), CAST(ROUND(SUM(valor), 2) AS DOUBLE) FROM silver_transacoes""")
+ORACLE["median_valor"] = _q(["bronze_transacoes_o"], """
+SELECT median(CAST(valor AS DOUBLE)) AS mediana_valor FROM bronze_transacoes_o""")
 ORACLE["backfill_days"] = _q(["silver_transacoes"], """
 SELECT strftime(data_transacao, '%Y') AS ano, strftime(data_transacao, '%m') AS mes, strftime(data_transacao, '%d') AS dia,
   CASE WHEN dayofweek(data_transacao) IN (0, 6) THEN 2 ELSE 1 END AS _versao, CAST(COUNT(*) AS BIGINT) AS linhas,

@@ -17,6 +17,7 @@ from sentinela import functions as fn
 from sentinela.functions.numeric import dk_round, mean, pct, round_money
 from sentinela.functions.timefn import coerce_timestamp, hour_of_day
 from sentinela.operators import clean, marts, quality, rules
+from sentinela.operators.selection import exact_median
 from sentinela.operators.velocity import ranked_trailing_count, trailing_count
 from sentinela.plans.layers import Layers
 from sentinela.session import scratch_path
@@ -264,8 +265,16 @@ def q_median_fill(spark, sf_dir):
 
 @register("agg_median")
 def q_agg_median(spark, sf_dir):
+    """Exact median by distributed selection (A10)."""
     c = _bronze(spark, sf_dir)["clientes"]
-    return c.agg(F.median("score_credito").alias("mediana_score"))
+    return spark.createDataFrame([(exact_median(c, "score_credito"),)], "mediana_score double")
+
+
+@register("median_valor")
+def q_median_valor(spark, sf_dir):
+    """Exact median of the line items' values: many different values (A10)."""
+    t = _bronze(spark, sf_dir, "orders")["transacoes"]
+    return spark.createDataFrame([(exact_median(t, "valor"),)], "mediana_valor double")
 
 
 @register("ts_coerce")

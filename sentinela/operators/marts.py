@@ -47,6 +47,12 @@ def account_partials(transacoes: DataFrame) -> DataFrame:
     )
 
 
+def merge_account_partials(parts: DataFrame) -> DataFrame:
+    """One row per account from the partials of several loads."""
+    additive = ["n", "n_fraude", "s_valor", "n_valor", "s_valor_fraude", "s_score", "n_score", "n_fora"]
+    return parts.groupBy("id_conta").agg(*[F.sum(c).alias(c) for c in additive], F.max("max_valor").alias("max_valor"))
+
+
 def _rollup(extra=()) -> list:
     s = F.sum
     return [s("n").alias("n"), s("n_fraude").alias("n_fraude"), s("s_valor").alias("s_valor"),
@@ -56,7 +62,11 @@ def _rollup(extra=()) -> list:
 
 def gold_fraude_estado(transacoes: DataFrame, contas: DataFrame, clientes: DataFrame) -> DataFrame:
     """Mart 1: fraud summary per customer state (inner joins fact->account->customer)."""
-    per_account = account_partials(transacoes)
+    return estado_from_accounts(account_partials(transacoes), contas, clientes)
+
+
+def estado_from_accounts(per_account: DataFrame, contas: DataFrame, clientes: DataFrame) -> DataFrame:
+    """Mart 1 from account partials."""
     joined = (per_account
               .join(contas.select("id_conta", "id_cliente"), "id_conta")
               .join(clientes.select("id_cliente", "estado"), "id_cliente"))
@@ -76,8 +86,13 @@ def gold_fraude_estado(transacoes: DataFrame, contas: DataFrame, clientes: DataF
 
 def gold_por_hora(transacoes: DataFrame) -> DataFrame:
     """Mart 2: activity per hour of day (only hours that occur)."""
+    return hora_from_groups(per_account_then(transacoes, hour_of_day("data_transacao"), "hora_dia",
+                                             {"n_fraude": F.col("is_fraude")}))
+
+
+def hora_from_groups(g: DataFrame) -> DataFrame:
+    """Mart 2 from measures per hour."""
     c = F.col
-    g = per_account_then(transacoes, hour_of_day("data_transacao"), "hora_dia", {"n_fraude": c("is_fraude")})
     return g.select(
         "hora_dia",
         c("n").cast("bigint").alias("total_transacoes"),
@@ -117,7 +132,11 @@ def risk_class(mean_score):
 
 def gold_perfil_risco(transacoes: DataFrame, contas: DataFrame, clientes: DataFrame) -> DataFrame:
     """Mart 3: per-customer risk profile (customers without transactions drop out)."""
-    per_account = account_partials(transacoes)
+    return risco_from_accounts(account_partials(transacoes), contas, clientes)
+
+
+def risco_from_accounts(per_account: DataFrame, contas: DataFrame, clientes: DataFrame) -> DataFrame:
+    """Mart 3 from account partials."""
     joined = (per_account
               .join(contas.select("id_conta", "id_cliente"), "id_conta")
               .join(clientes.select("id_cliente", "nome", "estado", "score_credito"), "id_cliente"))
@@ -144,11 +163,32 @@ def gold_perfil_risco(transacoes: DataFrame, contas: DataFrame, clientes: DataFr
 
 def gold_diario(transacoes: DataFrame) -> DataFrame:
     """Mart 4: daily KPIs."""
-    c = F.col
+    return diario_from_groups(per_account_then(transacoes, F.to_date("data_transacao"), "data",
+                                               {"n_fraude": F.col("is_fraude"), **daily_counts()}))
+
+
+def daily_counts() -> dict[str, Column]:
+    """Conditions that the daily mart counts."""
     status = {"aprovadas": "aprovada", "negadas": "negada", "canceladas": "cancelada", "suspeitas": "suspeita"}
     canal = {"via_app": "app", "via_web": "web", "via_pos": "pos"}
-    counts = {**{k: c("status") == v for k, v in status.items()}, **{k: c("canal") == v for k, v in canal.items()}}
-    g = per_account_then(transacoes, F.to_date("data_transacao"), "data", {"n_fraude": c("is_fraude"), **counts})
+    return {**{k: F.col("status") == v for k, v in status.items()}, **{k: F.col("canal") == v for k, v in canal.items()}}
+
+
+def instant_measures() -> list[Column]:
+    """Additive measures of the hourly and daily marts."""
+    counts = {"n_fraude": F.col("is_fraude"), **daily_counts()}
+    return [F.count(F.lit(1)).alias("n"), F.sum("valor").alias("s_valor"), F.count("valor").alias("n_valor"),
+            *[F.count_if(cond).alias(k) for k, cond in counts.items()]]
+
+
+def merge_instants(parts: DataFrame, key: str) -> DataFrame:
+    """The measures per date or per hour, summed over partials."""
+    return parts.groupBy(key).agg(*[F.sum(k).alias(k) for k in ("n", "s_valor", "n_valor", "n_fraude", *daily_counts())])
+
+
+def diario_from_groups(g: DataFrame) -> DataFrame:
+    """Mart 4 from measures per date."""
+    c = F.col
     return g.select(
         "data",
         c("n").cast("bigint").alias("total_transacoes"),
@@ -156,7 +196,7 @@ def gold_diario(transacoes: DataFrame) -> DataFrame:
         round_money(c("s_valor")).alias("volume_total"),
         dk_round(mean(c("s_valor"), c("n_valor")), 2).alias("ticket_medio"),
         c("n_fraude").cast("bigint").alias("total_fraudes"),
-        *[c(x).cast("bigint").alias(x) for x in counts],
+        *[c(x).cast("bigint").alias(x) for x in daily_counts()],
         pct(c("n_fraude"), c("n"), 4).alias("taxa_fraude_pct"),
     )
 

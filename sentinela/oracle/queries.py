@@ -433,6 +433,19 @@ SELECT strftime(data_transacao, '%Y') AS ano, strftime(data_transacao, '%m') AS
   CASE WHEN dayofweek(data_transacao) IN (0, 6) THEN 2 ELSE 1 END AS _versao, CAST(COUNT(*) AS BIGINT) AS linhas,
   CAST(ROUND(SUM(valor), 2) AS DOUBLE) AS valor_total
 FROM silver_transacoes GROUP BY ALL""")
+ORACLE["incremental_estado"] = mart_estado()
+ORACLE["incremental_hora"] = mart_hora()
+ORACLE["incremental_risco_multi"] = mart_risco("_o")
+ORACLE["incremental_diario_multi"] = mart_diario("_o")
+ORACLE["gold_tables"] = mart_diario()
+ORACLE["distinct_monthly"] = _q(["silver_transacoes_o"], """
+SELECT strftime(data_transacao, '%Y-%m') AS mes, CAST(COUNT(DISTINCT id_conta) AS BIGINT) AS contas,
+  CAST(COUNT(DISTINCT tipo) AS BIGINT) AS tipos
+FROM silver_transacoes_o GROUP BY ALL""")
+ORACLE["incremental_load"] = _q(["bronze_transacoes"], """
+SELECT t.*, CASE WHEN id_transacao <= lo + (hi - lo) // 4 THEN '04' WHEN id_transacao <= lo + (hi - lo) * 3 // 4 THEN '05'
+  ELSE '06' END AS dia
+FROM bronze_transacoes t, (SELECT MIN(id_transacao) AS lo, MAX(id_transacao) AS hi FROM bronze_transacoes)""")
 ORACLE["union_snapshots"] = _q(["bronze_clientes"], """
 SELECT *, CAST(NULL AS INTEGER) AS _lote FROM bronze_clientes
 UNION ALL

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from sentinela import functions as fn
 from sentinela.functions.numeric import dk_round, mean, pct, round_money
 from sentinela.functions.timefn import coerce_timestamp, hour_of_day
-from sentinela.operators import clean, marts, quality, rules
+from sentinela.operators import clean, distinct, marts, quality, rules
 from sentinela.operators.selection import exact_median
 from sentinela.operators.velocity import ranked_trailing_count, trailing_count
 from sentinela.plans.layers import Layers
@@ -470,6 +470,7 @@ def q_alert_velocity_by_type(spark, sf_dir):
 
 DAY1 = datetime(2026, 6, 4, 21, 1, 22)
 DAY2 = datetime(2026, 6, 5, 15, 57, 22)
+DAY3 = datetime(2026, 6, 6, 9, 0, 0)
 
 
 @register("write_read_roundtrip")
@@ -497,6 +498,85 @@ def q_backfill_days(spark, sf_dir):
         F.count(F.lit(1)).alias("linhas"), round_money(F.sum("valor")).alias("valor_total"))
 
 
+# ------------------------------------------------------------------ loads by increments
+
+def _two_loads(spark, sf_dir, layout):
+    """Partials after two loads, the first half of each month and then the rest; refreshed after each."""
+    from sentinela.plans import incremental
+    root, t = scratch_path(spark, "incremental"), _silver(spark, sf_dir, layout)["transacoes"]
+    path = lake.layer_path(root, "silver", "transacoes")
+    for day, rows in ((DAY1, F.dayofmonth("data_transacao") <= 15), (DAY2, F.dayofmonth("data_transacao") > 15)):
+        lake.write_partitioned(t.filter(rows), path, day)
+        incremental.refresh(spark, root)
+    s = _silver(spark, sf_dir, layout)
+    return incremental.marts_of(incremental.read_partials(spark, root), s["contas"], s["clientes"])
+
+
+@register("incremental_estado")
+def q_incremental_estado(spark, sf_dir):
+    """Fraud by state from stored partials of two loads (A1)."""
+    return _two_loads(spark, sf_dir, "events")["gold_resumo_fraudes_por_estado"]
+
+
+@register("incremental_hora")
+def q_incremental_hora(spark, sf_dir):
+    """Activity per hour from stored partials of two loads, accounts by merged bit sets (A2)."""
+    return _two_loads(spark, sf_dir, "events")["gold_transacoes_por_hora"]
+
+
+@register("incremental_risco_multi")
+def q_incremental_risco_multi(spark, sf_dir):
+    """Risk profile from stored partials of two loads of line items (A3)."""
+    return _two_loads(spark, sf_dir, "orders")["gold_perfil_risco_cliente"]
+
+
+@register("incremental_diario_multi")
+def q_incremental_diario_multi(spark, sf_dir):
+    """Daily KPIs from stored partials of two loads of line items (A4)."""
+    return _two_loads(spark, sf_dir, "orders")["gold_resumo_executivo_diario"]
+
+
+@register("distinct_monthly")
+def q_distinct_monthly(spark, sf_dir):
+    """Accounts and kinds of transaction per month: day partials are written and merged, the rows not read again."""
+    root, t = scratch_path(spark, "distinct"), _silver(spark, sf_dir, "orders")["transacoes"]
+    day = {"data": F.to_date("data_transacao")}
+    stored = {}
+    for name, key in (("contas", "id_conta"), ("tipos", "tipo")):
+        path = f"{root}/{name}"
+        distinct.partials(t, day, key).write.parquet(path)
+        stored[name] = spark.read.parquet(path)
+    month = {"mes": F.date_format("data", "yyyy-MM")}
+    return (distinct.counts(stored["contas"], month, "contas")
+            .join(distinct.counts(stored["tipos"], month, "tipos"), "mes"))
+
+
+@register("incremental_load")
+def q_incremental_load(spark, sf_dir):
+    """Three loads of a growing source by its high-water mark, the second one run twice; every row once."""
+    path = lake.layer_path(scratch_path(spark, "marcas"), "bronze", "transacoes")
+    t = _bronze(spark, sf_dir)["transacoes"]
+    ends = t.agg(F.min("id_transacao"), F.max("id_transacao")).first()
+    cut = lambda part: ends[0] + (ends[1] - ends[0]) * part // 4
+    for day, part in ((DAY1, 1), (DAY2, 2), (DAY2, 3), (DAY3, 4)):
+        source = lake.TableSource(lambda name, p=part: t.filter(F.col("id_transacao") <= cut(p)))
+        lake.incremental_load(spark, source, "transacoes", "id_transacao", path, day)
+    back = lake.read_layer(spark, path)
+    return back.select(*t.columns, "dia")
+
+
+@register("gold_tables")
+def q_gold_tables(spark, sf_dir):
+    """The daily mart as a catalog table that was published twice, read through SQL (K3)."""
+    from sentinela.plans import tables
+    root, layers = scratch_path(spark, "tabelas"), Layers(spark, sf_dir)
+    spark.sql("CREATE DATABASE IF NOT EXISTS sentinela_gold")
+    for _ in range(2):
+        tables.publish(marts.ordered("gold_resumo_executivo_diario", layers.mart_diario()),
+                       "gold_resumo_executivo_diario", root, "sentinela_gold")
+    return spark.sql("SELECT * FROM sentinela_gold.gold_resumo_executivo_diario")
+
+
 @register("union_snapshots")
 def q_union_snapshots(spark, sf_dir):
     """Every load date of a table, by column name, duplicates kept."""

@@ -30,6 +30,14 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
 
 
+def files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files directly in ``path``, sorted; none if it does not exist."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isFile())
+
+
 def remove(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.delete(p, True)

@@ -58,14 +58,21 @@ class TableSource:
 def jdbc_source(spark: SparkSession, url: str, properties: dict, partitioning: dict | None = None) -> TableSource:
     """A JDBC source read in parallel ranges of a numeric key.
 
-    ``partitioning`` maps table -> (column, lower, upper, num_partitions); each
+    ``partitioning`` maps table -> (column, lower, upper, num_partitions), or
+    (column, num_partitions) to have the database state the column's ends; each
     executor then reads one key range instead of one task reading the table.
     """
-    partitioning = partitioning or {}
+    partitioning = dict(partitioning or {})
+
+    def ends(table: str, col: str) -> tuple:
+        query = f"(SELECT min({col}) AS lo, max({col}) AS hi FROM {table}) pontas"
+        lo, hi = spark.read.jdbc(url, query, properties=properties).first()
+        return (0, 1) if lo is None else (lo, hi)      # an empty table has no ends
 
     def read(table: str) -> DataFrame:
         if table in partitioning:
-            col, lo, hi, n = partitioning[table]
+            given = partitioning[table]
+            col, lo, hi, n = given if len(given) == 4 else (given[0], *ends(table, given[0]), given[1])
             return spark.read.jdbc(url, table, column=col, lowerBound=lo, upperBound=hi,
                                    numPartitions=n, properties=properties)
         return spark.read.jdbc(url, table, properties=properties)
@@ -78,6 +85,60 @@ def full_load(source: TableSource, table: str) -> DataFrame:
     return add_audit_columns(source.read(table), table, source.uri)
 
 
+MARKS_FILE = "_marcas.json"
+
+
+def load_marks(spark: SparkSession, path: str) -> dict[str, dict]:
+    """Load date -> ``{"de", "ate", "aberta"}``: the slice of the mark column that the date holds, ends as text."""
+    return json.loads(folders.read_text(spark, f"{path}/{MARKS_FILE}") or "{}")
+
+
+def slice_between(df: DataFrame, mark: str, low: str | None, high: str | None) -> DataFrame:
+    """Rows with ``low < mark <= high``, the ends given as text and compared in the column's own type.
+
+    Both are plain comparisons with literals, which Spark hands to the source (Parquet statistics, a database's WHERE).
+    """
+    kind, c = df.schema[mark].dataType, F.col(mark)
+    if high is None:
+        return df.filter(F.lit(False))
+    within = c <= F.lit(high).cast(kind)
+    return df.filter(within if low is None else within & (c > F.lit(low).cast(kind)))
+
+
+def incremental_load(spark: SparkSession, source: TableSource, table: str, mark: str, path: str,
+                     load_ts: datetime | None = None) -> dict:
+    """Load the rows that came since the last load into this load date's folder (S1); returns the date's mark.
+
+    ``mark`` is a column that grows: a row that comes later has a greater value (an id, a commit time). What a
+    date holds is kept in ``_marcas.json`` as ``low < mark <= high``, the low end being the former date's high end.
+
+    * A second run on the same date begins again at the date's low end and replaces its folder, so nothing is lost or doubled.
+    * The slice is noted as open before the write and closed after it. A run on a later date removes the folder of
+      an open date and loads its rows itself.
+    * A load date before a date already loaded is refused, and so are rows without a mark, which no slice would hold.
+    * Without new rows the date has an empty folder and the mark stays.
+    """
+    load_ts = load_ts or datetime.now()
+    day, marks = f"{load_ts:%Y-%m-%d}", load_marks(spark, path)
+    if any(d > day for d in marks):
+        raise ValueError(f"{path} already holds load date {max(marks)}, later than {day}")
+    for broken in [d for d, m in marks.items() if m["aberta"] and d < day]:
+        folders.remove(spark, day_folder(path, datetime.strptime(broken, "%Y-%m-%d")))
+        del marks[broken]
+    low = marks[max(d for d in marks if d < day)]["ate"] if any(d < day for d in marks) else None
+    rows = source.read(table)
+    newest, unmarked = rows.agg(F.max(mark).cast("string"), F.count_if(F.col(mark).isNull())).first()
+    if unmarked:
+        raise ValueError(f"{unmarked} rows of {table} have no {mark}")
+    fresh = slice_between(rows, mark, low, newest)
+    marks[day] = {"de": low, "ate": low if newest is None else newest, "aberta": True}
+    folders.write_text(spark, f"{path}/{MARKS_FILE}", json.dumps(marks))
+    write_partitioned(add_audit_columns(fresh, table, source.uri), path, load_ts)
+    marks[day]["aberta"] = False
+    folders.write_text(spark, f"{path}/{MARKS_FILE}", json.dumps(marks))
+    return marks[day]
+
+
 def layer_path(root: str, layer: str, table: str) -> str:
     return f"{root.rstrip('/')}/{layer}/{table}"
 

@@ -21,6 +21,8 @@ NULL keys are not counted; a group with only NULL keys counts 0, like
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -71,3 +73,32 @@ def counts(parts: DataFrame, by: dict[str, Column] | list[str], name: str) -> Da
     merged = merge(parts, by)
     n = F.sum(F.bitmap_count(BITS)) if BITS in parts.columns else F.count(KEY)
     return merged.groupBy(*by).agg(n.cast("bigint").alias(name))
+
+
+#: A column is dense enough for bit sets if its range holds at most this many numbers a row (a row then costs 8 bytes of bits at most).
+SPARSE = 64
+
+
+def dense_columns(columns: dict[str, tuple[DataFrame, str]]) -> list[str]:
+    """Names (name -> frame, column) of integer columns whose values lie densely, by one job for all of them."""
+    whole = {n: (df, c) for n, (df, c) in columns.items() if is_integer(df, c)}
+    by_frame: dict[int, tuple[DataFrame, list]] = {}
+    for n, (df, c) in whole.items():
+        by_frame.setdefault(id(df), (df, []))[1].append((n, c))
+    each = [df.agg(F.array(*[F.struct(F.lit(n).alias("name"), F.count(c).alias("n"), F.min(c).cast("bigint").alias("lo"),
+                                      F.max(c).cast("bigint").alias("hi")) for n, c in mine]).alias("s"))
+            for df, mine in by_frame.values()]
+    if not each:
+        return []
+    rows = [x for r in reduce(DataFrame.unionAll, each).collect() for x in r["s"]]
+    return [x["name"] for x in rows if x["n"] and (x["hi"] - x["lo"] + 1) <= SPARSE * x["n"]]
+
+
+def repeating_buckets(keys: DataFrame) -> DataFrame:
+    """(name, ``balde``) of the buckets of (name, ``chave`` integer) rows that have more rows than different keys.
+
+    A row leaves its task as a bit, so keys that occur once are not shuffled.
+    """
+    return (keys.groupBy("name", bucket_of(F.col(KEY)).alias(BUCKET))
+            .agg(F.count(KEY).alias("n"), F.bitmap_construct_agg(bit_of(F.col(KEY))).alias(BITS))
+            .filter(F.col("n") > F.bitmap_count(BITS)).select("name", BUCKET))

@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from sentinela.functions.text import cpf_invalid, digits_only
 from sentinela.functions.timefn import coerce_timestamp
+from sentinela.operators import distinct
 
 # Problem messages of the quality report (printf-style).
 MSG_CPF = "%d CPFs com tamanho inválido"
@@ -218,20 +219,61 @@ def _per_name(found: DataFrame, names: list[str], keys: str, rows: str) -> DataF
     return every.join(counts, "name", "left").select("name", zero(keys), zero(rows))
 
 
-def audit_unique(tables: dict[str, DataFrame]) -> DataFrame:
-    """Duplicate keys per unique column: keys seen more than once and their rows. One scan per table."""
+#: Buckets with repeated keys that are looked up by a broadcast (16 bytes each); with more, all keys are grouped.
+REPEATING_BUCKETS = 100_000
+
+
+def _integer_keys(tables: dict[str, DataFrame], names: list[tuple[str, str]]) -> DataFrame:
+    """(name, ``chave``): the non-NULL values of dense integer columns, one scan per table."""
     parts = []
-    for table, df in tables.items():
-        columns = {c: c for c in UNIQUE.get(table, [])}
-        if not columns:
-            continue
-        dup = _unpivot(df, columns).groupBy("name", "k").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-        parts.append(_per_name(dup, list(columns), "chaves_duplicadas", "linhas_duplicadas")
-                     .select(F.lit(table).alias("tabela"), F.col("name").alias("coluna"),
-                             "chaves_duplicadas", "linhas_duplicadas"))
+    for table in dict.fromkeys(t for t, _ in names):
+        each = F.explode(F.array(*[F.struct(F.lit(f"{t}.{c}").alias("name"), F.col(c).cast("bigint").alias(distinct.KEY))
+                                   for t, c in names if t == table]))
+        parts.append(tables[table].select(each.alias("e")).select("e.*").filter(F.col(distinct.KEY).isNotNull()))
     return reduce(DataFrame.unionByName, parts)
 
 
+def repeated_integers(tables: dict[str, DataFrame], names: list[tuple[str, str]],
+                      most: int = REPEATING_BUCKETS) -> DataFrame | None:
+    """(name, ``n``) per integer key that occurs more than once; None if there is none.
+
+    Rows are first held against set bits per bucket of 32,768 keys. Only the keys of buckets that disagree are
+    grouped; with more than ``most`` such buckets all keys are, which is then no more work.
+    """
+    spark, keys = next(iter(tables.values())).sparkSession, _integer_keys(tables, names)
+    found = distinct.repeating_buckets(keys).limit(most + 1).collect()
+    if not found:
+        return None
+    if len(found) <= most:
+        buckets = spark.createDataFrame(found, "name string, b bigint")
+        keys = keys.withColumn("b", distinct.bucket_of(F.col(distinct.KEY))).join(F.broadcast(buckets), ["name", "b"], "left_semi")
+    return keys.groupBy("name", distinct.KEY).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("name", "n")
+
+
+def audit_unique(tables: dict[str, DataFrame]) -> DataFrame:
+    """Duplicate keys per unique column: keys seen more than once and their rows (Q5).
+
+    Dense integer columns are audited by bit sets (:func:`repeated_integers`), so their unique keys are neither
+    shuffled nor grouped; columns of other types, and sparse ones, are grouped, one scan per table.
+    """
+    columns = [(t, c) for t in tables for c in UNIQUE.get(t, [])]
+    held = {t: tables[t] for t in dict.fromkeys(t for t, _ in columns)}
+    dense = set(distinct.dense_columns({f"{t}.{c}": (held[t], c) for t, c in columns}))
+    bits = [(t, c) for t, c in columns if f"{t}.{c}" in dense]
+    repeated = [] if not bits else [repeated_integers(held, bits)]
+    for table, df in held.items():
+        plain = {f"{table}.{c}": c for t, c in columns if t == table and f"{t}.{c}" not in dense}
+        if plain:
+            repeated.append(_unpivot(df, plain).groupBy("name", "k").agg(F.count(F.lit(1)).alias("n"))
+                            .filter("n > 1").select("name", "n"))
+    spark = next(iter(tables.values())).sparkSession
+    none = spark.createDataFrame([], "name string, n bigint")
+    every = _per_name(reduce(DataFrame.unionByName, [r for r in repeated if r is not None] or [none]),
+                      [f"{t}.{c}" for t, c in columns], "chaves_duplicadas", "linhas_duplicadas")
+    place = F.split("name", "\\.")
+    return every.select(place[0].alias("tabela"), place[1].alias("coluna"), "chaves_duplicadas", "linhas_duplicadas")
+
+
 def audit_fk_orphans(tables: dict[str, DataFrame]) -> DataFrame:
     """Child rows whose non-NULL reference has no parent row (anti join). One scan per child table.
 

@@ -257,6 +257,12 @@ ORACLE["audit_unique"] = _q([cte for _, cte in UNIQUE_SQL], "\nUNION ALL\n".join
     f"(SELECT {c}, COUNT(*) AS n FROM {cte} WHERE {c} IS NOT NULL GROUP BY {c} HAVING COUNT(*) > 1) d"
     for (t, cte), cols in UNIQUE_SQL.items() for c in cols))
 
+ORACLE["audit_unique_multi"] = _q(["silver_contas_o", "silver_transacoes_o"], "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS tabela, '{c}' AS coluna, CAST(COUNT(*) AS BIGINT) AS chaves_duplicadas, "
+    f"CAST(coalesce(SUM(len(r)), 0) AS BIGINT) AS linhas_duplicadas FROM "
+    f"(SELECT list({c}) AS r FROM silver_{t}_o WHERE {c} IS NOT NULL GROUP BY {c}) d WHERE len(r) > 1"
+    for t, c in (("contas", "id_conta"), ("contas", "numero_conta"), ("transacoes", "id_transacao"))))
+
 FK_SQL = [("contas", "id_cliente", "clientes", "id_cliente", "silver_contas", "silver_clientes"),
           ("transacoes", "id_conta", "contas", "id_conta", "silver_transacoes", "silver_contas"),
           ("transacoes", "id_categoria", "categorias_transacao", "id_categoria", "silver_transacoes",

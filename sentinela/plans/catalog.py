@@ -219,6 +219,13 @@ def q_audit_unique(spark, sf_dir):
     return quality.audit_unique(_silver(spark, sf_dir))
 
 
+@register("audit_unique_multi")
+def q_audit_unique_multi(spark, sf_dir):
+    """Line-item transactions, whose ids repeat, beside accounts that are unique (Q5)."""
+    s = _silver(spark, sf_dir, "orders")
+    return quality.audit_unique({t: s[t] for t in ("contas", "transacoes")})
+
+
 @register("audit_fk_orphans")
 def q_audit_fk_orphans(spark, sf_dir):
     return quality.audit_fk_orphans(_silver(spark, sf_dir))

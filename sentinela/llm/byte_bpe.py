@@ -7,11 +7,12 @@ integers in a binary column, and optionally character offsets; decoding maps
 ids back to byte strings and joins them, so a character split over several
 tokens comes back whole.
 
-Most words of a corpus repeat. A text is cut at single spaces, before a stop or
+Many words of a corpus repeat. A text is cut at single spaces, before a stop or
 comma that ends a word, and around single line breaks, where every pattern of
-this family has a token border, and the ids of each piece are kept in a task's
-bounded two-generation cache; only pieces not seen lately reach the library.
-Texts with other white space around a space are encoded in one go.
+this family has a token border; Arrow cuts and numbers the pieces of a batch,
+and only different pieces not seen lately reach the library. Their ids are kept
+in a task's bounded cache. Texts with other white space around a space are
+encoded in one go.
 
 Defined results: null counts as the empty text and has no ids; special-token
 strings inside a text are ordinary text; ids outside the vocabulary cannot be
@@ -27,26 +28,33 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sentinela.llm.base import map_batches, pieces, strings, worker_table
+from sentinela.llm.base import map_batches, pieces, utf8, worker_table
 
-#: Pieces kept per cache generation and task (about 40 MB each); the cache goes with the task.
-CACHE_PIECES = 200_000
-#: Words sent to the library in one call.
-CALL_WORDS = 20_000
+#: Pieces whose ids a task keeps (about 30 MB); the cache goes with the task.
+CACHE_PIECES = 700_000
+#: Pieces sent to the library in one call.
+CALL_PIECES = 20_000
+#: Pieces whose ids are put in place at a time.
+GATHER_PIECES = 1 << 20
 LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"  # letters in every Unicode version
-#: Put before a piece that no space precedes; texts that hold it are encoded in one go.
+MARKS = ".,;:!?*$%&#-"
+#: Put before a piece that no space precedes; texts that hold it are encoded in one go, so it also ends pieces in a call.
 BARE = "\x01"
-_SPLIT_UNSAFE = re.compile(rf"\s \s|{BARE}")
-_CUTS = [(re.compile(rf"\.(?<=[{LETTERS}]\.)(?=[ \n]|\Z)"), f" {BARE}."),
-         (re.compile(rf",(?<=[{LETTERS}],)(?=[ \n]|\Z)"), f" {BARE},"),
-         (re.compile(r"\n(?<=\S\n)(?=\S)"), f" {BARE}\n {BARE}")]
-_PLAIN = re.compile(rf"[{LETTERS}.,;:!?*$%&#-]+(?:\n[{LETTERS}.,;:!?*$%&#-]+)*\Z")
-_TOKENS = re.compile(rf" ?[{LETTERS}]+| ?[.,;:!?*$%&#-]+|\n")
-_MARKS = (".", ",")
-_WORD = re.compile(rf"[{LETTERS}]+\Z")
+#: Stands for a space that belongs to a piece while plain spaces part the library's words.
+LEAD = "\x02"
+#: White space as Python's and Unicode's patterns see it (Arrow's own class has ASCII only).
+WHITE = "\t-\r\x1c- \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_SPLIT_UNSAFE = rf"[{WHITE}] [{WHITE}]|{BARE}"
+#: Arrow patterns have no look-around: a line break shares its neighbours with the next one, so its cut runs twice.
+_LINE = (rf"([^{WHITE}])\n([^{WHITE}])", f"\\1 {BARE}\n {BARE}\\2")
+_CUTS = [(rf"([{LETTERS}])([.,])([ \n]|\z)", rf"\1 {BARE}\2\3"), _LINE, _LINE]
+#: Pieces of letters and marks are cut into the pattern's words by where the two kinds meet.
+_PLAIN = rf"\A{BARE}?[{LETTERS}{MARKS}]+\z"
+_MEET = [(rf"([{LETTERS}])([{MARKS}])", r"\1 \2"), (rf"([{MARKS}])([{LETTERS}])", r"\1 \2")]
 
 
 def byte_chars() -> list[str]:
@@ -59,7 +67,8 @@ def byte_chars() -> list[str]:
 
 CHARS = byte_chars()
 BYTES = {c: b for b, c in enumerate(CHARS)}
-SPACE = CHARS[0x20]
+#: Byte to character, for words parted by plain spaces.
+_MAPPED = [CHARS[0x20] if b == ord(LEAD) else " " if b == 0x20 else c for b, c in enumerate(CHARS)]
 
 
 def to_chars(data: bytes) -> str:
@@ -109,108 +118,121 @@ def read_vocabulary(path: str):
     return tokenizer, [table.get(i) for i in range(max(table) + 1)]
 
 
-def cut_pieces(text: str) -> list[str]:
-    """The pieces of a text; the first stands at its start, the others follow a space or are marked ``BARE``."""
+def cut_pieces(texts: pa.Array) -> pa.ListArray:
+    """The pieces of each text; a piece that no space precedes is marked ``BARE``, the others follow a space."""
     for pattern, mark in _CUTS:
-        text = pattern.sub(mark, text)
-    return text.split(" ")
+        texts = pc.replace_substring_regex(texts, pattern, mark)
+    return pc.split_pattern(pc.binary_join_element_wise(BARE, texts, ""), " ")
+
+
+def gather(ids: np.ndarray, sizes: np.ndarray, index: np.ndarray) -> Iterator[np.ndarray]:
+    """``ids`` holds a run of ``sizes[k]`` ids per k; yields the runs that ``index`` names, in order, in blocks."""
+    starts = np.cumsum(sizes) - sizes
+    for at in range(0, len(index), GATHER_PIECES):
+        block = index[at:at + GATHER_PIECES]
+        n = sizes[block]
+        ends = np.cumsum(n)
+        yield ids[np.arange(ends[-1]) + np.repeat(starts[block] - (ends - n), n)]
 
 
 class PieceEncoder:
-    """Ids of texts, each as little-endian unsigned 32-bit integers."""
+    """Ids of texts, each as little-endian unsigned 32-bit integers.
+
+    Arrow cuts a batch of texts into pieces and numbers the different ones;
+    those not kept from before go to the library, and numpy puts the ids of all
+    in place. Past ``capacity`` the pieces not seen for longest are forgotten.
+    """
 
     def __init__(self, path: str, capacity: int = CACHE_PIECES):
         from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer, table = load(path)
-        self.spaced = np.array([bool(t) and t.startswith(b" ") for t in table])
         self.words = Tokenizer(self.tokenizer.model)   # words given in mapped characters, one space between
         self.words.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+        self.spaced = np.array([bool(t) and t.startswith(b" ") for t in table])
+        self.end = table.index(BARE.encode())
         self.capacity = capacity
-        self.new: dict[str, bytes] = {}                # pieces as they follow a space
-        self.old: dict[str, bytes] = {}
-        self.bare: dict[str, bytes] = {}               # pieces without a space before
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [None if _SPLIT_UNSAFE.search(t) else cut_pieces(t) for t in texts]
-        seen: set[str] = set()
-        for p in cut:
-            if p is not None:
-                seen.update(p[1:])
-        if len(self.new) + len(seen) > self.capacity:
-            self.old, self.new = self.new, {}
-        self._learn(seen)
-        look = self.new.__getitem__
-        whole = iter(self._plain_encode([t for t, p in zip(texts, cut) if p is None]))
-        heads = iter(self._heads([p[0] for p in cut if p is not None]))
-        return [next(whole) if p is None else next(heads) + b"".join(map(look, p[1:])) for p in cut]
-
-    def _plain_encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes()
+        self.known = pa.array([], pa.string())
+        self.ids = np.empty(0, "<u4")                  # of all known pieces, one after the other
+        self.sizes = np.empty(0, np.int64)
+        self.seen = np.empty(0, np.int64)              # the batch that had the piece last
+        self.batch = 0
+
+    def encode(self, texts: pa.Array | list[str]) -> list[bytes]:
+        texts = (texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())).cast(pa.string()).fill_null("")
+        unsafe = pc.match_substring_regex(texts, _SPLIT_UNSAFE)
+        cut = iter(self._cut_encode(texts.filter(pc.invert(unsafe))))
+        whole = iter(self._plain_encode(texts.filter(unsafe).to_pylist()))
+        return [(next(whole) if u else next(cut)).tobytes() for u in unsafe.to_pylist()]
+
+    def _plain_encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4")
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
 
-    def _heads(self, texts: list[str]) -> list[bytes]:
-        look = self._learn_bare(set(texts))
-        return [look[t] for t in texts]
-
-    def _learn_bare(self, texts: set[str]) -> dict[str, bytes]:
-        """Ids of pieces that no space precedes."""
-        if len(self.bare) > self.capacity // 4:
-            self.bare = {}
-        todo = [t for t in texts if t not in self.bare]
-        self.bare.update(zip(todo, self._plain_encode(todo)))
-        return self.bare
-
-    def _learn(self, seen: set[str]) -> None:
-        """Puts the ids of every piece of ``seen`` into the new generation."""
-        new, old = self.new, self.old
-        todo = seen.difference(new)
-        kept = [p for p in todo if p in old]
-        new.update(zip(kept, map(old.__getitem__, kept)))
-        todo.difference_update(kept)
-        bare = [p for p in todo if p[:1] == BARE]
-        known = self._learn_bare({p[1:] for p in bare})
-        new.update((p, known[p[1:]]) for p in bare)
-        todo.difference_update(bare)
-        words = {p for p in todo if p.isalpha() and (p.isascii() or _WORD.match(p))}
-        # A word and one mark is cut by hand; words with more, also over lines, by the pattern's own tokens.
-        rest = todo.difference(words)
-        marked = [p for p in rest if p.endswith(_MARKS) and p.isascii() and p[:-1].isalpha()]
-        plain, other = [], []
-        for piece in rest.difference(marked):
-            if _PLAIN.match(piece):
-                first, *more = _TOKENS.findall(" " + piece)
-                if more:
-                    plain.append((piece, first[1:], more))
-                    continue
-            other.append(piece)
-        firsts = {p[:-1] for p in marked}
-        firsts.update(f for _, f, _ in plain)
-        for first in firsts.difference(words):
-            if first in old:
-                new[first] = old[first]
-            elif first not in new:
-                if _WORD.match(first):
-                    words.add(first)
-                else:
-                    other.append(first)
-        ordered = list(words)
-        for at in range(0, len(ordered), CALL_WORDS):
-            self._learn_words(ordered[at:at + CALL_WORDS])
-        new.update(zip(other, self._plain_encode([" " + p for p in other])))
-        bare = self._learn_bare({*_MARKS, *(t for _, _, more in plain for t in more)})
-        new.update({p: new[p[:-1]] + bare[p[-1]] for p in marked})
-        for piece, first, more in plain:
-            new[piece] = new[first] + b"".join([bare[t] for t in more])
-
-    def _learn_words(self, words: list[str]) -> None:
-        mapped = [w if w.isascii() else to_chars(w.encode()) for w in words]
-        found = self.words.encode_batch_fast([SPACE + (" " + SPACE).join(mapped)], add_special_tokens=False)[0]
-        ids = np.array(found.ids, "<u4")
-        raw = ids.tobytes()
-        # A word is a space and letters, so exactly its first token begins with the space.
-        starts = [*(np.flatnonzero(self.spaced[ids]) * 4).tolist(), len(raw)]
-        for word, start, end in zip(words, starts, starts[1:]):
-            self.new[word] = raw[start:end]
+    def _cut_encode(self, texts: pa.Array) -> list[np.ndarray]:
+        if not len(texts):
+            return []
+        cut = cut_pieces(texts)
+        coded = cut.flatten().dictionary_encode()
+        index = self._places(coded.dictionary)[coded.indices.to_numpy()]
+        ids = np.concatenate(list(gather(self.ids, self.sizes, index)))
+        bounds = cut.offsets.to_numpy() - cut.offsets[0].as_py()
+        ends = np.concatenate([[0], np.cumsum(self.sizes[index])])[bounds].tolist()
+        return [ids[a:b] for a, b in zip(ends, ends[1:])]
+
+    def _places(self, different: pa.Array) -> np.ndarray:
+        """Where pieces that are all different stand among the known ones, after learning the new ones."""
+        self.batch += 1
+        at = pc.index_in(different, value_set=self.known).fill_null(-1).to_numpy().astype(np.int64)
+        self.seen[at[at >= 0]] = self.batch
+        if len(self.known) + int((at < 0).sum()) > self.capacity:
+            moved = self._forget()
+            at = np.where(at < 0, -1, moved[at]) if len(moved) else at
+        new = np.flatnonzero(at < 0)
+        fresh = different.take(pa.array(new))
+        plain = pc.match_substring_regex(fresh, _PLAIN)
+        bare = pc.and_(plain, pc.starts_with(fresh, BARE))
+        kinds = [pc.and_not(plain, bare), bare, pc.invert(plain)]
+        ordered = np.concatenate([new[k.to_numpy(zero_copy_only=False)] for k in kinds])
+        at[ordered] = len(self.known) + np.arange(len(ordered))
+        spaced, bare, others = map(fresh.filter, kinds)
+        learnt = [(self.ids, self.sizes), *self._learn(spaced, False), *self._learn(bare, True), self._learn_others(others)]
+        self.ids, self.sizes = (np.concatenate(x) for x in zip(*learnt))
+        self.known = pa.concat_arrays([self.known, different.take(pa.array(ordered))])
+        self.seen = np.concatenate([self.seen, np.full(len(ordered), self.batch)])
+        return at
+
+    def _forget(self) -> np.ndarray:
+        """Keeps this batch's pieces and those of the latest before it, up to half the capacity; returns the new places."""
+        since = np.cumsum(np.bincount(self.seen, minlength=self.batch + 1)[::-1])[::-1]   # pieces had by batch k or later
+        keep = self.seen >= min(int(np.searchsorted(-since, -(self.capacity // 2))), self.batch)
+        kept = np.flatnonzero(keep)
+        moved = np.cumsum(keep) - 1
+        self.ids = np.concatenate([np.empty(0, "<u4"), *gather(self.ids, self.sizes, kept)])
+        self.known = self.known.take(pa.array(kept))
+        self.sizes, self.seen = self.sizes[kept], self.seen[kept]
+        return moved
+
+    def _learn(self, found: pa.Array, bare: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Ids and sizes of pieces of letters and marks, by the pattern's words in mapped characters.
+
+        Of a piece that follows a space exactly the first token begins with it; a bare piece gets an end of its own.
+        """
+        for pattern, mark in _MEET:
+            found = pc.replace_substring_regex(found, pattern, mark)
+        for at in range(0, len(found), CALL_PIECES):
+            part = found.slice(at, CALL_PIECES).to_pylist()
+            line = f" {BARE} ".join([p[1:] for p in part] + [""]) if bare else LEAD + f" {LEAD}".join(part)
+            mapped = line.encode().decode("latin-1").translate(_MAPPED)
+            ids = np.array(self.words.encode_batch_fast([mapped], add_special_tokens=False)[0].ids, "<u4")
+            if bare:
+                ends = ids == self.end
+                yield ids[~ends], np.diff(np.flatnonzero(ends), prepend=-1) - 1
+            else:
+                yield ids, np.diff(np.flatnonzero(self.spaced[ids]), append=len(ids))
+
+    def _learn_others(self, found: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        ids = self._plain_encode([p[1:] if p[:1] == BARE else " " + p for p in found.to_pylist()])
+        return np.concatenate([np.empty(0, "<u4"), *ids]), np.array([len(x) for x in ids], np.int64)
 
 
 def char_offsets(text: bytes, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -235,13 +257,13 @@ def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
         enc, table = PieceEncoder(path), load(path)[1]
         sizes = np.array([len(t or b"") for t in table], np.int64)
         for whole in batches:
-            for batch in pieces(whole, "text", 2 << 20):
-                texts = strings(batch, "text")
-                ids = enc.encode(texts)
+            for batch in pieces(whole, "text", 6 << 20):
+                ids = enc.encode(batch.column(1))
                 cols = [batch.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())]
                 names = ["id", "n_tokens", "ids"]
                 if offsets:
-                    spans = [char_offsets(t.encode(), sizes[np.frombuffer(x, "<u4")]) for t, x in zip(texts, ids)]
+                    texts = utf8(batch, "text")
+                    spans = [char_offsets(t, sizes[np.frombuffer(x, "<u4")]) for t, x in zip(texts, ids)]
                     cols += [pa.array([s[k] for s in spans], pa.list_(pa.int64())) for k in (0, 1)]
                     names += ["starts", "ends"]
                 yield pa.RecordBatch.from_arrays(cols, names=names)

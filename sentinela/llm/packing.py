@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sentinela.llm.base import map_batches, pieces, strings
+from sentinela.llm.base import map_batches, pieces
 from sentinela.llm.byte_bpe import PieceEncoder
 
 TIERS = (128, 256, 512, 1024)
@@ -37,8 +37,6 @@ TIERS = (128, 256, 512, 1024)
 BUFFER_TOKENS = 1 << 20
 #: Windows of one tier that a step group takes from a flush.
 GROUP_WINDOWS = 32
-#: Pieces of text whose ids a task keeps per cache generation (about 70 MB each).
-CACHE_PIECES = 350_000
 ID_BYTES = 4
 CLOSING = (0).to_bytes(ID_BYTES, "little")
 
@@ -157,7 +155,7 @@ def pack(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text
     names = [c.strip().split(" ")[0] for c in schema.split(",")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, packer, types = PieceEncoder(path, CACHE_PIECES), Packer(tiers), None
+        enc, packer, types = PieceEncoder(path), Packer(tiers), None
         base = TaskContext.get().partitionId() << 40
 
         def written(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
@@ -176,7 +174,7 @@ def pack(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text
             types = whole.column(0).type
             for batch in pieces(whole, "text", 6 << 20):
                 docs = batch.column(0).to_pylist()
-                for doc, ids in zip(docs, enc.encode(strings(batch, "text"))):
+                for doc, ids in zip(docs, enc.encode(batch.column(1))):
                     ids += CLOSING
                     packer.add((doc, len(ids) // ID_BYTES), ids)
                 if packer.waiting >= BUFFER_TOKENS or len(packer.windows) >= 4096:

@@ -12,6 +12,12 @@ rows it has, and its buckets spread over the cluster. The form suits surrogate
 ids, which are dense; a bucket with few keys still has 4 KB (mostly zeros, which
 shuffle and Parquet compress).
 
+Groups that are many and hold few of the keys each (days, hours) ask for ``sparse``
+sets: 4 KB a bucket would be mostly zeros, and Spark sorts whole sets to merge
+them. There a row holds one word, key ``k`` as bit ``k mod 64`` of word
+``floor(k / 64)``, merged by ``bit_or`` in a hash aggregate. A set has no more rows
+than different keys, so it grows no faster than the input.
+
 Keys of any other type are kept as distinct (group, key) rows and merged by
 another distinct.
 
@@ -28,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BUCKET, BITS = "balde", "mapa"
+WORD, WORD_BITS = "palavra", "bits"
 KEY = "chave"
 #: Bits of a set that ``bitmap_construct_agg`` builds; a power of two.
 SET_BITS = 32_768
@@ -48,12 +55,19 @@ def bit_of(key: Column) -> Column:
     return key.cast("bigint").bitwiseAND(F.lit(SET_BITS - 1))
 
 
-def partials(df: DataFrame, by: dict[str, Column] | list[str], key: str) -> DataFrame:
-    """The distinct keys of each group: ``by`` and (``balde``, ``mapa``) for integer keys, else ``by`` and ``chave``."""
+def partials(df: DataFrame, by: dict[str, Column] | list[str], key: str, sparse: bool = False) -> DataFrame:
+    """The distinct keys of each group: ``by`` and (``balde``, ``mapa``) for integer keys, (``palavra``, ``bits``) if
+    ``sparse``; else ``by`` and ``chave``."""
     named = {c: F.col(c) for c in by} if isinstance(by, list) else by
     groups = [v.alias(k) for k, v in named.items()]
     if not is_integer(df, key):
         return df.select(*groups, F.col(key).alias(KEY)).distinct()
+    if sparse:
+        k = F.col(key).cast("bigint")
+        bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), k.bitwiseAND(F.lit(63)).cast("int"))
+        # A NULL key has no word: its row has no bits and keeps the group.
+        return df.groupBy(*groups, F.shiftright(k, 6).alias(WORD)).agg(
+            F.bit_or(F.coalesce(bit, F.lit(0).cast("bigint"))).alias(WORD_BITS))
     # A NULL key has no bucket: its row has an empty set and keeps the group.
     return df.groupBy(*groups, bucket_of(F.col(key)).alias(BUCKET)).agg(
         F.bitmap_construct_agg(bit_of(F.col(key))).alias(BITS))
@@ -63,6 +77,8 @@ def merge(parts: DataFrame, by: dict[str, Column] | list[str]) -> DataFrame:
     """Partials of coarser groups from partials (of several loads too), in the same form."""
     named = {c: F.col(c) for c in by} if isinstance(by, list) else by
     groups = [v.alias(k) for k, v in named.items()]
+    if WORD_BITS in parts.columns:
+        return parts.groupBy(*groups, WORD).agg(F.bit_or(WORD_BITS).alias(WORD_BITS))
     if BITS not in parts.columns:
         return parts.select(*groups, KEY).distinct()
     return parts.groupBy(*groups, BUCKET).agg(F.bitmap_or_agg(BITS).alias(BITS))
@@ -71,7 +87,10 @@ def merge(parts: DataFrame, by: dict[str, Column] | list[str]) -> DataFrame:
 def counts(parts: DataFrame, by: dict[str, Column] | list[str], name: str) -> DataFrame:
     """Exact number of distinct keys of each group of ``by``, from partials of this or a finer level."""
     merged = merge(parts, by)
-    n = F.sum(F.bitmap_count(BITS)) if BITS in parts.columns else F.count(KEY)
+    if WORD_BITS in parts.columns:
+        n = F.sum(F.bit_count(WORD_BITS))
+    else:
+        n = F.sum(F.bitmap_count(BITS)) if BITS in parts.columns else F.count(KEY)
     return merged.groupBy(*by).agg(n.cast("bigint").alias(name))
 
 

@@ -551,7 +551,7 @@ def q_distinct_monthly(spark, sf_dir):
     stored = {}
     for name, key in (("contas", "id_conta"), ("tipos", "tipo")):
         path = f"{root}/{name}"
-        distinct.partials(t, day, key).write.parquet(path)
+        distinct.partials(t, day, key, sparse=True).write.parquet(path)
         stored[name] = spark.read.parquet(path)
     month = {"mes": F.date_format("data", "yyyy-MM")}
     return (distinct.counts(stored["contas"], month, "contas")

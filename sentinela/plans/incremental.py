@@ -7,11 +7,11 @@ a load grows with the load and not with the history:
 
 * ``por_conta``: per account, additive measures (fraud by state, risk profile);
 * ``por_instante``: per date and hour, additive measures (hourly, daily);
-* ``contas_por_instante``: per date and hour, which accounts were active, as
+* ``contas_ativas``: per date and hour, which accounts were active, as sparse
   bit sets (:mod:`sentinela.operators.distinct`), since distinct counts do not add up.
 
 A load date is known by the names of its data files, which are new at every
-write; they are kept in ``_cargas.json`` after the date's partials have all been
+write; they are kept in ``_cargas_2.json`` after the date's partials have all been
 written. A run that dies between leaves its date pending, and the next run
 replaces that date's partials whole. A load date that left Silver leaves the
 partials too.
@@ -32,8 +32,9 @@ from sentinela.functions.timefn import hour_of_day
 from sentinela.operators import distinct, marts
 from sentinela.sources import folders, lake
 
-LAYER, STATE = "parciais", "_cargas.json"
-BY_ACCOUNT, BY_INSTANT, ACCOUNTS = "por_conta", "por_instante", "contas_por_instante"
+# The state's number goes up when the form of a partial changes: all load dates are then pending again.
+LAYER, STATE = "parciais", "_cargas_2.json"
+BY_ACCOUNT, BY_INSTANT, ACCOUNTS = "por_conta", "por_instante", "contas_ativas"
 PARTIALS = (BY_ACCOUNT, BY_INSTANT, ACCOUNTS)
 
 
@@ -78,7 +79,7 @@ def partials_of(transacoes: DataFrame) -> dict[str, DataFrame]:
     return {
         BY_ACCOUNT: marts.account_partials(transacoes),
         BY_INSTANT: transacoes.groupBy(*[v.alias(k) for k, v in instant.items()]).agg(*marts.instant_measures()),
-        ACCOUNTS: distinct.partials(transacoes, instant, "id_conta"),
+        ACCOUNTS: distinct.partials(transacoes, instant, "id_conta", sparse=True),
     }
 
 

@@ -46,6 +46,24 @@ def test_hot_group_leaves_a_task_as_one_row_per_bucket(spark):
     assert plan.count("Exchange hashpartitioning") == 1 and "partial_bitmap_construct_agg" in plan
 
 
+def test_sparse_sets_grow_with_the_keys(spark):
+    """Many groups of few keys: a row of a word each, merged without a sort of 4 KB sets; the counts stay exact."""
+    rows = [(g, k) for g in ("a", "b", None) for k in KEYS for _ in range(2)] + [("vazio", None)]
+    df = spark.createDataFrame(rows, "g string, k bigint")
+    parts = distinct.partials(df, ["g"], "k", sparse=True)
+    assert {r["g"]: r["n"] for r in distinct.counts(parts, ["g"], "n").collect()} == {"a": 9, "b": 9, None: 9, "vazio": 0}
+    assert distinct.counts(parts.unionByName(parts), {"t": F.lit(1)}, "n").first()["n"] == 9
+    days = spark.range(20_000).select((F.col("id") % 500).alias("dia"), (F.col("id") * 911 % 1_000_003).alias("k"))
+    parts = incremental.partials_of(days.select(F.timestamp_seconds(F.col("dia") * 86_400).cast("timestamp_ntz").alias("data_transacao"),
+                                                F.col("k").alias("id_conta"), F.lit(1).cast("decimal(12,2)").alias("valor"),
+                                                F.lit(0.5).alias("score_fraude"), F.lit(False).alias("is_fraude"),
+                                                F.lit("aprovada").alias("status"), F.lit("web").alias("canal"),
+                                                F.lit("pix").alias("tipo"), F.lit(False).alias("fora_horario")))[incremental.ACCOUNTS]
+    assert sum(f.dataType.typeName() == "binary" for f in parts.schema) == 0 and parts.count() <= 20_000
+    merged = distinct.merge(parts, {"mes": F.date_format("data", "yyyy-MM")})._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in merged and "HashAggregate" in merged
+
+
 def test_distinct_of_no_rows(spark):
     for kind in ("bigint", "string"):
         df = spark.createDataFrame([], f"g string, k {kind}")

@@ -55,10 +55,10 @@ def test_sparse_sets_grow_with_the_keys(spark):
     assert distinct.counts(parts.unionByName(parts), {"t": F.lit(1)}, "n").first()["n"] == 9
     days = spark.range(20_000).select((F.col("id") % 500).alias("dia"), (F.col("id") * 911 % 1_000_003).alias("k"))
     parts = incremental.partials_of(days.select(F.timestamp_seconds(F.col("dia") * 86_400).cast("timestamp_ntz").alias("data_transacao"),
-                                                F.col("k").alias("id_conta"), F.lit(1).cast("decimal(12,2)").alias("valor"),
+                                                F.col("k").alias("id_conta"), F.col("k").alias("id_transacao"), F.lit(1).cast("decimal(12,2)").alias("valor"),
                                                 F.lit(0.5).alias("score_fraude"), F.lit(False).alias("is_fraude"),
                                                 F.lit("aprovada").alias("status"), F.lit("web").alias("canal"),
-                                                F.lit("pix").alias("tipo"), F.lit(False).alias("fora_horario")))[incremental.ACCOUNTS]
+                                                F.lit("pix").alias("tipo"), F.lit(False).alias("fora_horario_comercial")))[incremental.ACCOUNTS]
     assert sum(f.dataType.typeName() == "binary" for f in parts.schema) == 0 and parts.count() <= 20_000
     merged = distinct.merge(parts, {"mes": F.date_format("data", "yyyy-MM")})._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in merged and "HashAggregate" in merged

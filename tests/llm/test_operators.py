@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sentinela.llm import (
-    byte_bpe, chat_format, components, jaccard_join, language_id, packing, quality_ledger, simhash, suffix_dedup,
+    byte_bpe, chat_format, components, jaccard_join, language_id, packing, quality_ledger, queries, simhash, suffix_dedup,
     toxicity, url_filter,
 )
 
@@ -274,6 +274,29 @@ def test_suffix_dedup_blocks(spark, monkeypatch):
     check_dedup(spark, raw, 50)
 
 
+def test_suffix_dedup_query(spark, tmp_path):
+    """The registered query over several files: passages of over fifty words on both sides of its 400 bytes."""
+    rng = random.Random(9)
+    prose = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(n))
+    short, long, own = prose(57) + ".", prose(57) + ".!", prose(57) + "!."       # 399, 400 and 400 bytes
+    pool = [prose(rng.randint(52, 90)) + " é" for _ in range(8)]
+    raw = [(1, "1" + short + "2"), (2, "3" + short + "4"), (3, "5" + long + "6"), (4, "7" + long + "8"),
+           (5, "9" + own + "-" + own + "0"), (6, None), (7, ""), (8, "é" * 300), (8, "é" * 300), (None, prose(80))]
+    raw += [(i, prose(rng.randint(1, 40)) + rng.choice(pool)[rng.randint(0, 60):] + prose(rng.randint(1, 40))) for i in range(10, 70)]
+    (spark.createDataFrame(raw, "doc_id bigint, text string").repartition(6)
+     .write.parquet(str(tmp_path / "documents.parquet")))
+    want = []
+    texts = [(t or "").encode() for _, t in raw]
+    for (i, _), text, gone in zip(raw, texts, plain_removed(texts, 400)):
+        kept = bytes(b for b, g in zip(text, gone) if not g)
+        spans = int((np.diff(np.concatenate([[0], gone, [0]]).astype(int)) == 1).sum())
+        want.append((key(i), len(text), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest()))
+    rows = queries.op4_suffix_dedup(spark, str(tmp_path)).collect()
+    assert sorted((key(r[0]), *r[1:5]) for r in rows) == sorted(want)
+    got = {r["doc_id"]: r for r in rows}
+    assert [got[i]["n_removed"] for i in range(1, 6)] == [0, 0, 400, 400, 800] and got[5]["text"] == "9-0"
+
+
 def test_reaches_random():
     rng = random.Random(5)
     for trial in range(120):
